@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxtally.functions.boxes import smallest_linked
 from voxtally.session import cut_lineage, drop_written
 
 # A node on more edge rows than this is joined by broadcast instead of by shuffle.
 HOT_ROWS = 200_000
+# A counted edge table of at most this many rows (16 bytes each) is finished in one task.
+SMALL_EDGES = 1_000_000
 
 
 def _star_step(edges: DataFrame, node: str, out_hi, out_lo, changed, size: int) -> DataFrame:
@@ -36,6 +43,22 @@ def _star_step(edges: DataFrame, node: str, out_hi, out_lo, changed, size: int)
     return rewritten.filter("hi <> lo").groupBy("hi", "lo").agg(F.max("changed").alias("changed"))
 
 
+def _finish_small(table: DataFrame) -> DataFrame:
+    """Label a small edge table at once; only called behind a check of its size."""
+
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [[b.column(c).to_numpy() for c in ("hi", "lo")] for b in batches]
+        if not parts:
+            return
+        ends = np.concatenate([np.stack(p) for p in parts], axis=1)
+        nodes, at = np.unique(ends, return_inverse=True)
+        hi, lo = at.reshape(ends.shape)
+        roots = nodes[smallest_linked(nodes.size, hi, lo)]
+        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(roots)], names=["node", "root"])
+
+    return table.select("hi", "lo").repartition(1).mapInArrow(label, "node bigint, root bigint")
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """Smallest reachable node of every node that has an edge.
 
@@ -53,6 +76,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     table = cut_lineage(table, "edges")
     while True:
         size = table.count()
+        if size <= SMALL_EDGES:
+            return _finish_small(table)
         fresh = table.withColumn("changed", F.lit(False))
         small = F.coalesce("lowest", "lo")
         large = _star_step(fresh, "lo", F.col("hi"), small, F.col("lowest").isNotNull(), size)
