@@ -126,10 +126,10 @@ _NEIGHBOURS = {
 def _reach(connectivity: int) -> str:
     """Flood fill: every voxel carries the raster index of earlier voxels it can reach."""
     return f"""
-        named_v as (select z, y, x, (z * 640 + y) * 96 + x as r from voxels_v),
+        named_v as materialized (select z, y, x, (z * 640 + y) * 96 + x as r from voxels_v),
         steps_v as (select * from (values (-1), (0), (1)) a(dz), (values (-1), (0), (1)) b(dy), (values (-1), (0), (1)) c(dx)
                     where {_NEIGHBOURS[connectivity]}),
-        links_v as (select p.r as a, n.r as b from named_v p cross join steps_v
+        links_v as materialized (select p.r as a, n.r as b from named_v p cross join steps_v
                     join named_v n on n.z = p.z + dz and n.y = p.y + dy and n.x = p.x + dx),
         reach_v(node, root) as (
             select r, r from named_v
