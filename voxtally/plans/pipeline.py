@@ -1,0 +1,260 @@
+"""Whole runs over one brain: detect, filter, assign, report, extract, redraw.
+
+Stages are lazy DataFrame chains; cells are written once after detection and
+once after filtering and assignment together.
+"""
+
+from __future__ import annotations
+
+import logging
+import os
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
+
+from voxtally.config import Biomarker, RunConfig
+from voxtally.operators import atlas, coloc, filtering, report, volume
+from voxtally.operators.components import detect_cells
+from voxtally.operators.structures import Region, find_region, subtree_ids
+from voxtally.plans.journal import StageRun, cells_fingerprint, read_manifest, same_fingerprint
+from voxtally.schema import Shape, VolumeMeta
+from voxtally.session import cut_lineage
+from voxtally.sources import tables
+from voxtally.sources.reader import Volume, open_volume
+from voxtally.sources.writer import expected_output_path, write_volume
+
+log = logging.getLogger(__name__)
+
+
+def _detect(spark: SparkSession, config: RunConfig, mark: Biomarker, mask: Volume, folder: Path) -> str:
+    path = str(folder / "cells.parquet")
+    if tables.is_complete(spark, path):
+        log.info("%s: cells are complete, detection skipped", mark.name)
+        return path
+    with StageRun("detect", folder, config={"biomarker": mark.name, "brain_id": config.brain.id}) as run:
+        run.input("mask_path", mark.mask_path)
+        found = detect_cells(
+            mask.blocks(), mask.meta, mark.name, config.brain.id, run.run_id, config.brain.voxel_size_um,
+            connectivity=mark.detection.connectivity, z_chunk=mark.detection.z_chunk,
+        )
+        tables.write_cells(found, path)
+        run.result("cells_detected", tables.read_cells(spark, path).count())
+    return path
+
+
+def _filtered(spark: SparkSession, path: str, mark: Biomarker) -> DataFrame:
+    cells = tables.read_cells(spark, path)
+    return filtering.apply_volume_filter(cells, mark.name, mark.filter.min_volume_voxels, mark.filter.max_volume_voxels)
+
+
+def _filter_summary(cells: DataFrame, mark: Biomarker) -> dict:
+    return filtering.filter_summary(cells, mark.name).first().asDict()
+
+
+def _redraw(spark: SparkSession, path: str, mark: Biomarker, folder: Path, native: Shape, to_atlas: Shape | None) -> dict:
+    """Redraw unless the outputs exist and were made from the same cells."""
+    cells = tables.read_cells(spark, path, mark.name, True, ["biomarker", "passed_filter", "z", "y", "x"])
+    plans = {"native": (f"{mark.name}_redraw_native", "scroll-tiff", native)}
+    if to_atlas:
+        plans["atlas"] = (f"{mark.name}_redraw_atlas", "zarr", to_atlas)
+    outputs = {k: expected_output_path(str(folder), name, kind) for k, (name, kind, _) in plans.items()}
+    current = cells_fingerprint(cells)
+    last = read_manifest(folder).get("stages", {}).get("redraw", {}).get("fingerprints", {}).get("cells")
+    if all(os.path.exists(p) for p in outputs.values()) and same_fingerprint(last, current):
+        log.info("%s: cells unchanged, redraw skipped", mark.name)
+        return outputs
+    with StageRun("redraw", folder, config={"biomarker": mark.name}) as run:
+        run.fingerprint("cells", current)
+        for key, (name, kind, shape) in plans.items():
+            if key == "native":
+                drawn = volume.redraw_native(cells, mark.name, shape)
+            else:
+                drawn = volume.redraw_atlas(cells, mark.name, native, shape)
+            write_volume(drawn, VolumeMeta(shape, "uint8"), str(folder), name, kind)
+            run.result(f"{key}_redraw_path", outputs[key])
+    return outputs
+
+
+def extract_region(
+    annotation: DataFrame,
+    atlas_shape: Shape,
+    structures: DataFrame,
+    region: Region,
+    native: Shape,
+    folder: str,
+    name: str,
+    output_type: str = "single-tiff",
+    resize_order: int = 0,
+    skip_existing: bool = True,
+) -> str | None:
+    """One region with its descendants at native resolution; None when it has no voxels."""
+    path = expected_output_path(str(folder), name, output_type)
+    if skip_existing and os.path.exists(path):
+        return path
+    selected = volume.relabel(annotation, subtree_ids(structures, region), region.id)
+    if selected.isEmpty():
+        log.warning("region %s (%d) has no voxels", region.name, region.id)
+        return None
+    grown = volume.resample(selected, atlas_shape, native, resize_order)
+    return write_volume(grown, VolumeMeta(native, "uint32"), str(folder), name, output_type)
+
+
+def extract_regions(
+    annotation: DataFrame, atlas_shape: Shape, structures: DataFrame, acronyms: list[str], native: Shape, folder: str, **options
+) -> dict[str, dict]:
+    """Several regions; unknown acronyms are logged and left out."""
+    out = {}
+    for acronym in acronyms:
+        try:
+            region = find_region(structures, acronym)
+        except ValueError as error:
+            log.warning("%s", error)
+            continue
+        name = f"{acronym}_atlas"
+        path = extract_region(annotation, atlas_shape, structures, region, native, folder, name, **options)
+        out[acronym] = {"id": region.id, "name": region.name, "output_path": path}
+    return out
+
+
+def run_registered(
+    spark: SparkSession,
+    config: RunConfig,
+    output_dir=None,
+    roi_acronyms: list[str] | None = None,
+    functional_system: dict | None = None,
+    cells_midline: bool = False,
+    atlas_voxel_size_um: tuple[float, float, float] | None = None,
+) -> dict:
+    """All biomarkers of a brain with an annotation.
+
+    Volumes are atlas voxels times ``voxel_size_um`` of the native grid unless
+    ``atlas_voxel_size_um`` gives the true size of an atlas voxel.
+    """
+    reg = config.registration
+    if not config.brain.needs_registration or reg is None:
+        raise ValueError(f"brain {config.brain.id} is not registered")
+    out = Path(output_dir or config.paths.output_dir)
+    structures = tables.read_structures(spark, config.paths.structures_csv)
+    annotation = open_volume(spark, reg.annotation_path, reg.transpose_order)
+    sides = open_volume(spark, reg.hemisphere_path, reg.transpose_order) if reg.hemisphere_path else None
+    labels = cut_lineage(atlas.label_table(annotation.voxels(), sides.voxels() if sides else None), "labels")
+    midline = None if sides else annotation.meta.shape[2] // 2
+    size = atlas_voxel_size_um or config.brain.voxel_size_um
+    geometry = cut_lineage(report.geometry_report(labels, structures, size, midline), "geometry")
+    regions = labels.selectExpr("z", "y", "x", "region_id as value").filter("value <> 0")
+
+    results = {}
+    for name, mark in config.biomarkers.items():
+        folder = out / name
+        folder.mkdir(parents=True, exist_ok=True)
+        mask = open_volume(spark, mark.mask_path)
+        native = mask.meta.shape
+        path = _detect(spark, config, mark, mask, folder)
+
+        with StageRun("filter", folder, config={"biomarker": name}) as run:
+            cells = _filtered(spark, path, mark)
+            summary = _filter_summary(cells, mark)
+            run.result("filter_summary", summary)
+        with StageRun("assign_regions", folder, config={"biomarker": name}) as run:
+            cells = atlas.assign_regions(cells, labels, native, annotation.meta.shape, name, cells_midline and not sides)
+            tables.write_cells(cells, path, stage="filter")
+            cells = tables.read_cells(spark, path)
+            assigned = atlas.assigned_count(cells, name).first().asDict()
+            run.result("assign_summary", assigned)
+
+        report_path = str(folder / f"{name}_region_report.xlsx")
+        with StageRun("report", folder, config={"biomarker": name, "functional_system": functional_system}) as run:
+            tiered = cut_lineage(report.tiered_cell_report(cells, structures, geometry, name), "report")
+            target = None
+            if functional_system:
+                target = report.target_summary(
+                    tiered,
+                    functional_system.get("keywords", []),
+                    functional_system.get("acronyms", []),
+                    functional_system.get("exact_acronym_match", False),
+                    functional_system.get("cell_threshold", 0),
+                )
+            tables.write_tiered_report(tiered, report_path, target)
+            run.result("report_path", report_path)
+
+        roi = None
+        if roi_acronyms:
+            with StageRun("roi_extract", folder, config={"biomarker": name, "acronyms": roi_acronyms}) as run:
+                roi = extract_regions(
+                    regions, annotation.meta.shape, structures, roi_acronyms, native, str(folder / "roi_extract")
+                )
+                run.result("roi_results", {k: v["output_path"] for k, v in roi.items()})
+
+        results[name] = {
+            "cells_path": path,
+            "filter": summary,
+            "assign_regions": assigned,
+            "report_path": report_path,
+            "roi_extract": roi,
+            "redraw": _redraw(spark, path, mark, folder, native, annotation.meta.shape),
+        }
+    return results
+
+
+def run_unregistered(spark: SparkSession, config: RunConfig, output_dir=None) -> dict:
+    """All biomarkers of a brain without an annotation: whole-brain counts only."""
+    if config.brain.needs_registration:
+        raise ValueError(f"brain {config.brain.id} is registered")
+    out = Path(output_dir or config.paths.output_dir)
+    results = {}
+    for name, mark in config.biomarkers.items():
+        folder = out / name
+        folder.mkdir(parents=True, exist_ok=True)
+        mask = open_volume(spark, mark.mask_path)
+        path = _detect(spark, config, mark, mask, folder)
+        with StageRun("filter", folder, config={"biomarker": name}) as run:
+            tables.write_cells(_filtered(spark, path, mark), path, stage="filter")
+            cells = tables.read_cells(spark, path)
+            summary = _filter_summary(cells, mark)
+            run.result("filter_summary", summary)
+        report_path = str(folder / f"{name}_whole_brain_report.csv")
+        with StageRun("report", folder, config={"biomarker": name}) as run:
+            tables.write_csv(report.whole_brain_report(cells), report_path)
+            run.result("report_path", report_path)
+            run.result("total_cells", cells.filter("passed_filter").count())
+        redrawn = _redraw(spark, path, mark, folder, mask.meta.shape, None)["native"]
+        results[name] = {"cells_path": path, "filter": summary, "report_path": report_path, "redraw_path": redrawn}
+    return results
+
+
+def run_brain(spark: SparkSession, config: RunConfig, output_dir=None, roi_acronyms=None, functional_system=None) -> dict:
+    if config.brain.needs_registration:
+        return run_registered(spark, config, output_dir, roi_acronyms, functional_system)
+    if roi_acronyms or functional_system:
+        log.warning("brain %s is not registered: regions and functional system are ignored", config.brain.id)
+    return run_unregistered(spark, config, output_dir)
+
+
+def colocalize_tables(spark: SparkSession, pairs, cells_paths: dict[str, str], mask_paths: dict[str, str]) -> dict:
+    """Test each (larger, smaller) pair and keep the flag in the smaller one's table."""
+    out = {}
+    for larger, smaller in pairs:
+        path = cells_paths[smaller]
+        mask = open_volume(spark, mask_paths[larger]).voxels()
+        flagged = coloc.colocalize_pair(tables.read_cells(spark, path), larger, smaller, mask)
+        tables.write_cells(flagged, path, stage="colocalize")
+        out[larger, smaller] = coloc.coloc_summary(tables.read_cells(spark, path), larger, smaller).first().asDict()
+    return out
+
+
+def prepare_registration_input(
+    spark: SparkSession, source, factor: Shape, order, folder: str, name: str, resize_order: int = 1
+) -> str:
+    """Downsample a reference channel, permute its axes and store it as Zarr."""
+    raw = open_volume(spark, source)
+    small, shape = volume.registration_input(raw.voxels(), raw.meta.shape, factor, order, resize_order)
+    return write_volume(small, VolumeMeta(shape, raw.meta.dtype), folder, name, "zarr")
+
+
+def resample_to_native(
+    spark: SparkSession, source, order, native: Shape, folder: str, name: str, output_type="single-tiff", resize_order: int = 0
+) -> str:
+    """An atlas-space volume at native size and axis order."""
+    stored = open_volume(spark, source, order)
+    grown = volume.resample(stored.voxels(), stored.meta.shape, native, resize_order)
+    return write_volume(grown, VolumeMeta(native, stored.meta.dtype), folder, name, output_type)
