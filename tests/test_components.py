@@ -63,7 +63,8 @@ def test_random_voxels_match_flood_fill(spark, connectivity, monkeypatch):
     assert as_set(found) == flood(mask, connectivity)
 
 
-def test_dense_blocks_match_flood_fill(spark):
+def test_dense_blocks_match_flood_fill(spark, monkeypatch):
+    monkeypatch.setattr(comp, "LABEL_SIDE", 3)
     rng = np.random.default_rng(7)
     mask = rng.random((9, 14, 10)) < 0.3
     meta = VolumeMeta(mask.shape, "uint8")

@@ -47,8 +47,13 @@ def label_box(mask: np.ndarray, origin, shape, connectivity: int, z_chunk: int |
         return empty
     z, y, x = (axis.astype(np.int64) + o for axis, o in zip(local, origin))
     raster = (z * shape[1] + y) * shape[2] + x
-    grid = np.full([s + 2 for s in mask.shape], -1, dtype=np.int64)
-    grid[local[0] + 1, local[1] + 1, local[2] + 1] = np.arange(n)
+    grid = np.full([s + 2 for s in mask.shape], -1, dtype=np.int32)
+    grid[local[0] + 1, local[1] + 1, local[2] + 1] = np.arange(n, dtype=np.int32)
+    face = np.zeros(n, dtype=bool)
+    for axis, size in zip(local, mask.shape):
+        face |= (axis == 0) | (axis == size - 1)
+    at = np.flatnonzero(face)
+    fz, fy, fx = z[at], y[at], x[at]
 
     links = []
     leaving: list[tuple[np.ndarray, np.ndarray, bool]] = []
@@ -56,18 +61,18 @@ def label_box(mask: np.ndarray, origin, shape, connectivity: int, z_chunk: int |
         near = grid[local[0] + 1 + oz, local[1] + 1 + oy, local[2] + 1 + ox]
         hit = np.flatnonzero(near >= 0)
         links.append((hit, near[hit]))
-        tz, ty, tx = z + oz, y + oy, x + ox
-        outside = np.zeros(n, dtype=bool)
-        for axis, o, size in zip(local, (oz, oy, ox), mask.shape):
-            outside |= (axis + o < 0) | (axis + o >= size)
-        outside &= (tz < shape[0]) & (ty >= 0) & (ty < shape[1]) & (tx >= 0) & (tx < shape[2])
+        tz, ty, tx = fz + oz, fy + oy, fx + ox
+        gone = np.zeros(at.size, dtype=bool)
+        for t, start, size in zip((tz, ty, tx), origin, mask.shape):
+            gone |= (t < start) | (t >= start + size)
+        gone &= (tz < shape[0]) & (ty >= 0) & (ty < shape[1]) & (tx >= 0) & (tx < shape[2])
         target = (tz * shape[1] + ty) * shape[2] + tx
-        crosses = outside & (tz // z_chunk != z // z_chunk) if z_chunk else np.zeros(n, dtype=bool)
-        within = np.flatnonzero(outside & ~crosses)
-        leaving.append((within, target[within], False))
+        crosses = gone & (tz // z_chunk != fz // z_chunk) if z_chunk else np.zeros(at.size, dtype=bool)
+        within = np.flatnonzero(gone & ~crosses)
+        leaving.append((at[within], target[within], False))
         if (oz, oy, ox) == (1, 0, 0):
             down = np.flatnonzero(crosses)
-            leaving.append((down, target[down], True))
+            leaving.append((at[down], target[down], True))
     parent = smallest_linked(n, np.concatenate([a for a, _ in links]), np.concatenate([b for _, b in links]))
     heads, label = np.unique(parent, return_inverse=True)
     k = heads.size
@@ -77,10 +82,6 @@ def label_box(mask: np.ndarray, origin, shape, connectivity: int, z_chunk: int |
         np.add.at(out, label, v)
         return out
 
-    face = np.zeros(n, dtype=bool)
-    for axis, size in zip(local, mask.shape):
-        face |= (axis == 0) | (axis == size - 1)
-
     def lists(owner, values):
         pairs = np.unique(np.stack([owner, values]), axis=1)
         cuts = np.searchsorted(pairs[0], np.arange(1, k))
@@ -92,7 +93,6 @@ def label_box(mask: np.ndarray, origin, shape, connectivity: int, z_chunk: int |
             return [np.empty(0, np.int64)] * k
         return lists(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
 
-    at = np.flatnonzero(face)
     return {
         "root": raster[heads],
         "n": total(1),

@@ -31,22 +31,21 @@ def lookup_labels(points: DataFrame, labels: DataFrame, native: Shape, atlas: Sh
 
     Scaled coordinates are clamped into the atlas, so every point reads one
     voxel; a voxel missing from the sparse table is background, label 0. The
-    left equi-join has unique keys on the right: Spark broadcasts the labels
-    when they are below its size threshold, and otherwise sort-merge joins,
-    where adaptive execution splits atlas voxels crowded with points.
+    left equi-join runs on the voxel's raster index, unique on the right: Spark
+    broadcasts the labels when they are below its size threshold, and otherwise
+    shuffles both sides, where adaptive execution splits crowded atlas voxels.
     """
-    keys = [clamp(c, size).cast("int").alias(f"_a{axis}") for axis, c, size in zip(AXES, native_to_atlas(native, atlas), atlas)]
+    z, y, x = [clamp(c, size) for c, size in zip(native_to_atlas(native, atlas), atlas)]
+    key = (z * atlas[1] + y) * atlas[2] + x
+    at = (F.col("z").cast("bigint") * atlas[1] + F.col("y")) * atlas[2] + F.col("x")
     right = labels.select(
-        *[F.col(axis).cast("int").alias(f"_a{axis}") for axis in AXES],
-        F.col("region_id").cast("int").alias("_region"),
-        F.col("hemisphere_id").cast("byte").alias("_side"),
+        at.alias("_voxel"), F.col("region_id").cast("int").alias("_region"), F.col("hemisphere_id").cast("byte").alias("_side")
     )
-    columns = points.columns
     return (
-        points.select("*", *keys)
-        .join(right, [f"_a{axis}" for axis in AXES], "left")
+        points.select("*", key.alias("_voxel"))
+        .join(right, "_voxel", "left")
         .select(
-            *columns,
+            *points.columns,
             F.coalesce("_region", F.lit(0)).alias("found_region"),
             F.coalesce("_side", F.lit(HEMISPHERE_NA).cast("byte")).alias("found_hemisphere"),
         )

@@ -13,14 +13,21 @@ from voxtally.schema import coloc_column
 def points_in_mask(points: DataFrame, mask: DataFrame, flag: str = "in_mask") -> DataFrame:
     """Flag each point that lies on a foreground voxel of the mask.
 
-    Points outside the volume match nothing and are False. The mask is made
-    unique on its coordinates first, which also leaves it partitioned for the
-    join, so no point is ever duplicated.
+    Points outside the volume match nothing and are False. A table with a
+    ``value`` column is a volume, with one row per voxel; any other is made
+    unique first, so that no point is duplicated. The join key packs Z and Y
+    into one number, which keeps both sides plain shuffles that adaptive
+    execution can split where points crowd on one voxel.
     """
-    voxels = mask.filter("value > 0") if "value" in mask.columns else mask
-    voxels = voxels.select(*[F.col(a).cast("int").alias(a) for a in AXES]).distinct().withColumn("_hit", F.lit(True))
+    voxels = mask.filter("value > 0") if "value" in mask.columns else mask.select(*AXES).distinct()
+    packed = F.col("z").cast("bigint") * 2**32 + F.col("y")
+    hits = voxels.select(packed.alias("_zy"), F.col("x").cast("int").alias("_x"), F.lit(True).alias("_hit"))
     columns = [c for c in points.columns if c != flag]
-    return points.join(voxels, list(AXES), "left").select(*columns, F.col("_hit").isNotNull().alias(flag))
+    return (
+        points.select("*", packed.alias("_zy"), F.col("x").cast("int").alias("_x"))
+        .join(hits, ["_zy", "_x"], "left")
+        .select(*columns, F.col("_hit").isNotNull().alias(flag))
+    )
 
 
 def colocalize_pair(cells: DataFrame, larger: str, smaller: str, mask: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ resulting contact graph is reduced to stars, and the sums are added per star.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,8 @@ _PARTIAL_ARROW = pa.schema(
 
 # Brick edge for voxel tables; at most 64, so that a brick's X row fits in one word.
 BRICK = 64
+# Longest side of a box labelled at once when the input is dense.
+LABEL_SIDE = 128
 # Cells up to this many are numbered by one window; more are numbered by range.
 ONE_WINDOW_ROWS = 1_000_000
 
@@ -80,22 +83,29 @@ def label_voxels(voxels: DataFrame, shape: Shape, connectivity: int, z_chunk: in
 
 
 def label_blocks(blocks: DataFrame, meta: VolumeMeta, connectivity: int, z_chunk: int | None = None) -> DataFrame:
-    """Partial components of dense blocks; no shuffle, one block at a time.
+    """Partial components of dense blocks; no shuffle, one bounded box at a time.
 
-    Blocks must tile the volume. With ``z_chunk`` a block is cut where it
-    crosses a chunk boundary.
+    Blocks must tile the volume. They are cut to at most LABEL_SIDE voxels a
+    side, and with ``z_chunk`` also where they cross a chunk boundary.
     """
-    shape, dtype = meta.shape, np.dtype(meta.dtype)
+    shape, dtype, side = meta.shape, np.dtype(meta.dtype), LABEL_SIDE
+
+    def cuts(start: int, size: int, chunk: int | None = None) -> list[tuple[int, int]]:
+        at = {start, start + size, *range(start, start + size, side)}
+        if chunk:
+            at |= set(range(start + -start % chunk, start + size, chunk))
+        marks = sorted(at)
+        return list(zip(marks, marks[1:]))
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                box = np.frombuffer(row["data"], dtype=dtype).reshape(row["dz"], row["dy"], row["dx"]) > 0
-                z0, z1 = row["z0"], row["z0"] + row["dz"]
-                cuts = [z0] + ([c for c in range(z0 + 1, z1) if c % z_chunk == 0] if z_chunk else []) + [z1]
-                for a, b in zip(cuts, cuts[1:]):
-                    origin = (a, row["y0"], row["x0"])
-                    found = label_box(box[a - z0 : b - z0], origin, shape, connectivity, z_chunk)
+            for r in batch.to_pylist():
+                start, size = (r["z0"], r["y0"], r["x0"]), (r["dz"], r["dy"], r["dx"])
+                box = np.frombuffer(r["data"], dtype=dtype).reshape(size) > 0
+                spans = [cuts(s, n, c) for s, n, c in zip(start, size, (z_chunk, None, None))]
+                for part in product(*spans):
+                    piece = box[tuple(slice(a - s, b - s) for (a, b), s in zip(part, start))]
+                    found = label_box(piece, [a for a, _ in part], shape, connectivity, z_chunk)
                     yield from _partial_table(found).to_batches()
 
     return blocks.mapInArrow(label, PARTIAL_DDL)

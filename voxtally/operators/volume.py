@@ -5,12 +5,16 @@ A voxel that is absent has value 0, so every operator keeps non-zero rows only.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxtally.functions.coords import AXES, in_bounds, native_to_atlas, permute, permute_shape
 from voxtally.operators.structures import Region, subtree_ids
-from voxtally.schema import Shape
+from voxtally.schema import BLOCK_SCHEMA, VOXEL_SCHEMA, Shape, VolumeMeta
 
 
 def crop(voxels: DataFrame, lo: Shape, hi: Shape) -> DataFrame:
@@ -66,40 +70,42 @@ def resample_nearest(voxels: DataFrame, source: Shape, target: Shape) -> DataFra
     return out
 
 
-def _linear_targets(axis: str, n: int, t: int) -> Column:
-    """Structs ``(j, w)``: targets that read source index i, with weight w / (2 t).
+def _linear_step(voxels: DataFrame, axis: str, n: int, t: int) -> DataFrame:
+    """Send each voxel along one axis to the targets that read it, times weight * 2t.
 
     Target j reads position ``((2j + 1) n - t) / (2t)``, mirrored at both ends.
     Weights are integers, so sums are exact and do not depend on row order.
     """
-    i = F.col(axis).cast("bigint")
+    i, unit = F.col(axis).cast("bigint"), 2 * t
     if n == 1:
-        return F.transform(F.sequence(F.lit(0), F.lit(t - 1)), lambda j: F.struct(j.cast("int").alias("j"), F.lit(2 * t).cast("bigint").alias("w")))
-    unit = 2 * t
-    low = F.when(i <= 1, 0).otherwise(F.greatest(F.lit(0), _div((i - 1) * unit + t, 2 * n) - 1))
-    high = F.when(i >= n - 2, t - 1).otherwise(F.least(F.lit(t - 1), _div((i + 1) * unit + t, 2 * n) + 1))
-
-    def weight(j: Column) -> Column:
-        pos = F.abs((2 * j + 1) * n - t)
-        pos = F.when(pos > (n - 1) * unit, 2 * (n - 1) * unit - pos).otherwise(pos)
-        return F.struct(j.cast("int").alias("j"), (unit - F.abs(pos - i * unit)).alias("w"))
-
-    spans = F.when(high >= low, F.sequence(low, high)).otherwise(F.array().cast("array<bigint>"))
-    return F.filter(F.transform(spans, weight), lambda s: s["w"] > 0)
+        low, high = F.lit(0), F.lit(t - 1)
+    else:
+        first = (2 * i - 1) * t - n
+        low = F.when((i <= 1) | (first < 0), 0).otherwise(_div(first, 2 * n) + 1)
+        last = (2 * i + 3) * t - n - 1
+        high = F.when(i >= n - 2, t - 1).when(last < 0, -1).otherwise(F.least(F.lit(t - 1), _div(last, 2 * n)))
+    j = F.col("_j").cast("bigint")
+    pos = F.abs((2 * j + 1) * n - t)
+    pos = F.lit(0) if n == 1 else F.when(pos > (n - 1) * unit, 2 * (n - 1) * unit - pos).otherwise(pos)
+    weight = unit - F.abs(pos - i * unit)
+    spread = voxels.withColumn("_j", F.explode(F.when(high >= low, F.sequence(low, high))))
+    kept = spread.withColumn("_w", weight).filter("_w > 0")
+    return kept.withColumns({axis: F.col("_j").cast("int"), "value": F.col("value") * F.col("_w")}).drop("_j", "_w")
+
+
+def _add_up(parts: DataFrame, scale: int) -> DataFrame:
+    """Sum the shares of each target voxel and divide, truncating."""
+    total = F.call_function("div", F.sum("value"), F.lit(scale).cast("bigint"))
+    return parts.groupBy(*AXES).agg(total.alias("value")).filter("value <> 0")
 
 
 def _linear_pass(voxels: DataFrame, steps: list[tuple[str, int, int]]) -> DataFrame:
-    """One truncating pass over some axes: explode weights, add up, divide."""
+    """One truncating pass over some axes."""
     steps = [s for s in steps if s[1] != s[2]]
-    if not steps:
-        return voxels
     out, scale = voxels, 1
     for axis, n, t in steps:
-        out = out.withColumn("_t", F.explode(_linear_targets(axis, n, t)))
-        out = out.withColumns({axis: F.col("_t.j"), "value": F.col("value") * F.col("_t.w")}).drop("_t")
-        scale *= 2 * t
-    total = F.call_function("div", F.sum("value"), F.lit(scale).cast("bigint"))
-    return out.groupBy(*AXES).agg(total.alias("value")).filter("value <> 0")
+        out, scale = _linear_step(out, axis, n, t), scale * 2 * t
+    return _add_up(out, scale) if steps else voxels
 
 
 def resample_linear(voxels: DataFrame, source: Shape, target: Shape) -> DataFrame:
@@ -117,6 +123,72 @@ def resample(voxels: DataFrame, source: Shape, target: Shape, order: int = 0) ->
     return (resample_nearest if order == 0 else resample_linear)(voxels, source, target)
 
 
+def _nearest_block(start: int, size: int, n: int, t: int) -> tuple[int, np.ndarray]:
+    """First target of a block along one axis, and the local source of each target."""
+    first, end = ((2 * t * i + n - 1) // (2 * n) for i in (start, start + size))
+    return first, (2 * np.arange(first, end) + 1) * n // (2 * t) - start
+
+
+def _linear_block(start: int, size: int, n: int, t: int) -> tuple[np.ndarray, np.ndarray]:
+    """Targets that read a block along one axis, and the matrix of their weights * 2t."""
+    if n == t:
+        return np.arange(start, start + size), np.eye(size, dtype=np.int64)
+    j = np.arange(t, dtype=np.int64)
+    top = (n - 1) * 2 * t
+    pos = np.abs((2 * j + 1) * n - t) if n > 1 else np.zeros_like(j)
+    pos = np.where(pos > top, 2 * top - pos, pos)
+    i = np.arange(start, start + size, dtype=np.int64)
+    weights = np.maximum(0, 2 * t - np.abs(pos[:, None] - i[None, :] * 2 * t))
+    used = np.flatnonzero(weights.any(axis=1))
+    return used, weights[used]
+
+
+def resample_blocks(blocks: DataFrame, meta: VolumeMeta, target: Shape, order: int = 0) -> DataFrame:
+    """Resize dense blocks without turning every source voxel into a row.
+
+    Order 0 maps each block to the block of its targets and gives blocks. Order
+    1 gives voxels: each task weighs its block along Y and X, on the slices
+    that any target reads, and only these shares are shuffled.
+    """
+    dtype, source = np.dtype(meta.dtype), meta.shape
+
+    def boxes(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            for r in batch.to_pylist():
+                size = (r["dz"], r["dy"], r["dx"])
+                yield (r["z0"], r["y0"], r["x0"]), size, np.frombuffer(r["data"], dtype).reshape(size)
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for start, size, data in boxes(batches):
+            picks = [_nearest_block(*args) for args in zip(start, size, source, target)]
+            out = data[np.ix_(*[p for _, p in picks])]
+            if out.size:
+                row = [first for first, _ in picks] + list(out.shape)
+                arrays = [pa.array([v], pa.int32()) for v in row] + [pa.array([out.tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, names=BLOCK_SCHEMA.names)
+
+    def plane(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for start, size, data in boxes(batches):
+            (_, wz), (ty, wy), (tx, wx) = (_linear_block(*args) for args in zip(start, size, source, target))
+            read = np.flatnonzero(wz.any(axis=0)) if source[0] != target[0] else np.arange(size[0])
+            for z in read:
+                shares = wy @ data[z].astype(np.int64) @ wx.T
+                y, x = np.nonzero(shares)
+                full = np.full(y.size, start[0] + z, np.int32)
+                columns = [full, ty[y].astype(np.int32), tx[x].astype(np.int32), shares[y, x]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=VOXEL_SCHEMA.names)
+
+    if order == 0:
+        return blocks.mapInArrow(nearest, BLOCK_SCHEMA)
+    if order != 1 or dtype.kind not in "uib":
+        raise ValueError(f"cannot resize {dtype} with order {order}")
+    scale = 1
+    for n, t in zip(source[1:], target[1:]):
+        scale *= 1 if n == t else 2 * t
+    planes = _add_up(blocks.mapInArrow(plane, VOXEL_SCHEMA), scale)
+    return _linear_pass(planes, [("z", source[0], target[0])])
+
+
 def pyramid_shapes(shape: Shape, levels: int = 5, factor: int = 2) -> list[Shape]:
     """Shape of each level; a side never drops below one voxel."""
     shapes = [tuple(shape)]

@@ -287,6 +287,20 @@ _BODIES = {
     "extract_region_o80": _nearest(f"({_region('R4', 14)})", _ATLAS, _NATIVE),
     "registration_input_o82": f"select y as z, z as y, x, value from ({_linear('intensity_v', _NATIVE, _SMALL)})",
     "pyramid_levels_o83": _pyramid(),
+    "zarr_scan_o4": "select z, y, x, value from annotation_v",
+    "tiff_scan_o2": "select z, y, x, value from annotation_v",
+    "nifti_scan_o3": "select z, y, x, value from annotation_v",
+    "slice_folder_o6": "select z, y, x, value from annotation_v",
+    "nifti_folder_o10e": "select z, y, x, value from annotation_v",
+    "permuted_read_o8": "select z, y, x, value from annotation_v",
+    "convert_o12": "select z, y, x, value from annotation_v",
+    "ome_zarr_level_o10b": _nearest("annotation_v", _ATLAS, _halves()[1]),
+    "box_read_o7": """select z, y, x, value from annotation_v, shape_v
+        where z >= 1 and z < az and y >= 10 and y < 120 and x >= 5 and x < 20""",
+    "cells_scan_o14": """select cell_id, z, y, x, volume_voxels, cast(0 as tinyint) as hemisphere_id from cells_v
+        where biomarker = 'GFAP' and passed""",
+    "structures_csv_o16": "select * from structures_v",
+    "whole_brain_csv_o17": "select biomarker, count(*) as total_cells from cells_v where passed group by biomarker",
     "distinct_regions_o60": "select distinct cast(region_id as int) as region_id from assigned_v",
 }
 
@@ -310,6 +324,22 @@ ORACLE = {name: _with(_wrap(body)) for name, body in _BODIES.items()}
 ORACLE["tier_rollup_o46"] = _with(_ROLLUP, recursive=True, extra=_CLIMB)
 for _n in (6, 18, 26):
     ORACLE[f"components_{_n}_o47"] = _with(_SUMS, recursive=True, extra=_reach(_n))
+ORACLE["components_of_blocks_o47"] = ORACLE["components_18_o47"]
+_LO, _HI = (2, 60)
+ORACLE["registered_brain_o88"] = _with(
+    f"""select row_number() over (order by root) as cell_id, f.z, f.y, f.x, cast(n as int) as volume_voxels,
+        cast(coalesce(region_id, 0) as int) as region_id, cast(coalesce(hemisphere_id, 0) as tinyint) as hemisphere_id,
+        n between {_LO} and {_HI} as passed_filter
+        from ({_SUMS}) f cross join shape_v s left join labels_v l on l.z = least(f.z * s.az // s.nz, s.az - 1)
+             and l.y = f.y * 160 // 640 and l.x = f.x * 24 // 96""",
+    recursive=True,
+    extra=_reach(18),
+)
+ORACLE["unregistered_brain_o89"] = _with(
+    f"select distinct z, y, x, cast(255 as bigint) as value from ({_SUMS}) where n between {_LO} and {_HI}",
+    recursive=True,
+    extra=_reach(18),
+)
 ORACLE["detect_cells_o47"] = _with(
     f"""select row_number() over (order by root) as cell_id, z, y, x, cast(n as int) as volume_voxels,
         cast(n * 16.0 as float) as volume_um3, 'cFos' as biomarker, cast(0 as tinyint) as hemisphere_id, 'B1' as brain_id,

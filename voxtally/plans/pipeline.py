@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import logging
 import os
+import shutil
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from voxtally.operators.components import detect_cells
 from voxtally.operators.structures import Region, find_region, subtree_ids
 from voxtally.plans.journal import StageRun, cells_fingerprint, read_manifest, same_fingerprint
 from voxtally.schema import Shape, VolumeMeta
-from voxtally.session import cut_lineage
+from voxtally.session import cut_lineage, shared_path
 from voxtally.sources import tables
 from voxtally.sources.reader import Volume, open_volume
 from voxtally.sources.writer import expected_output_path, write_volume
@@ -247,8 +248,15 @@ def prepare_registration_input(
 ) -> str:
     """Downsample a reference channel, permute its axes and store it as Zarr."""
     raw = open_volume(spark, source)
-    small, shape = volume.registration_input(raw.voxels(), raw.meta.shape, factor, order, resize_order)
-    return write_volume(small, VolumeMeta(shape, raw.meta.dtype), folder, name, "zarr")
+    shape = volume.registration_shape(raw.meta.shape, factor)
+    meta = VolumeMeta(shape, raw.meta.dtype)
+    temp = shared_path(spark, "registration")
+    small = write_volume(volume.resample_blocks(raw.blocks(), raw.meta, shape, resize_order), meta, temp, name, "zarr")
+    turned = open_volume(spark, small, order)
+    try:
+        return write_volume(turned.blocks(), turned.meta, folder, name, "zarr")
+    finally:
+        shutil.rmtree(temp, ignore_errors=True)
 
 
 def resample_to_native(
@@ -256,5 +264,5 @@ def resample_to_native(
 ) -> str:
     """An atlas-space volume at native size and axis order."""
     stored = open_volume(spark, source, order)
-    grown = volume.resample(stored.voxels(), stored.meta.shape, native, resize_order)
+    grown = volume.resample_blocks(stored.blocks(), stored.meta, native, resize_order)
     return write_volume(grown, VolumeMeta(native, stored.meta.dtype), folder, name, output_type)

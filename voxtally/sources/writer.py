@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxtally.operators.volume import crop, pyramid_shapes, resample
+from voxtally.operators.volume import crop, pyramid_shapes, resample_blocks
 from voxtally.schema import Shape, VolumeMeta
 from voxtally.session import cut_lineage
 from voxtally.sources import nifti, tiff, zarr2
@@ -217,8 +217,8 @@ def _write_ome(volume: DataFrame, meta: VolumeMeta, path: str, chunk: Shape, lev
     current = volume
     for k, shape in enumerate(shapes):
         if k:
-            previous = open_volume(spark, f"{path}/{k - 1}/").voxels()
-            current = resample(previous, shapes[k - 1], shape, order)
+            previous = open_volume(spark, f"{path}/{k - 1}/")
+            current = resample_blocks(previous.blocks(), previous.meta, shape, order)
         _write_zarr(current, VolumeMeta(shape, meta.dtype), os.path.join(path, str(k)), chunk)
     with open(os.path.join(path, ".zattrs"), "w") as f:
         f.write(zarr2.multiscales(levels, factor))
