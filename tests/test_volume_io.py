@@ -84,10 +84,23 @@ def test_comparisons_prune_boxes(spark, tmp_path):
     reader = VolumeReader({"path": path})
     rest = list(reader.pushFilters([GreaterThanOrEqual(("z",), 3), LessThan(("z",), 5), EqualTo(("x",), 2)]))
     assert len(rest) == 3
-    cells = sum(p.last - p.first for p in reader.partitions())
+    cells = sum(r.last - r.first for task in reader.partitions() for r in task.ranges)
     assert cells == 2
 
 
+def test_tasks_split_large_and_group_small_files():
+    from voxtally.sources.reader import Stack, plan_tasks
+
+    whole = tuple((0, n) for n in (40, 8, 8))
+    big = Stack((layout.FileLayout("a", "tiff", (40, 8, 8), "|u1", (1, 8, 8)),))
+    assert len(plan_tasks(big, whole, 8)) == 8
+    small = Stack(tuple(layout.FileLayout(str(k), "tiff", (1, 8, 8), "|u1", (1, 8, 8)) for k in range(40)))
+    tasks = plan_tasks(small, whole, 4)
+    assert [len(t.ranges) for t in tasks] == [10] * 4
+    assert [r.z_offset for t in tasks for r in t.ranges] == list(range(40))
+    assert len(plan_tasks(small, ((5, 7), *whole[1:]), 4)) == 2
+
+
 def test_folder_stacks_by_name(spark, tmp_path):
     rng = np.random.default_rng(0)
     array = rng.integers(0, 9, (4, 5, 6)).astype("uint8")

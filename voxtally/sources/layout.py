@@ -16,7 +16,7 @@ NIFTI_SUFFIXES = (".nii", ".nii.gz", ".gz")
 IMAGE_SUFFIXES = (".png", ".jpg", ".jpeg", ".bmp")
 
 # Raw bytes of one block and of one read task.
-BLOCK_BYTES = 16 * 1024**2
+BLOCK_BYTES = 4 * 1024**2
 TASK_BYTES = 128 * 1024**2
 
 

@@ -82,8 +82,8 @@ def describe_stack(path: str) -> Stack:
     return Stack(tuple(layouts))
 
 
-@dataclass
-class BoxRange(InputPartition):
+@dataclass(frozen=True)
+class BoxRange:
     """Cells ``first..last`` of the grid of one file, inside a wanted box."""
 
     layout: FileLayout
@@ -92,25 +92,46 @@ class BoxRange(InputPartition):
     first: int
     last: int
 
+
+@dataclass
+class ReadTask(InputPartition):
+    """Box ranges of one or more files, read by one task."""
+
+    ranges: list[BoxRange]
+
     def __post_init__(self):
         super().__init__(None)
 
 
-def plan_partitions(stack: Stack, wanted: Box) -> list[BoxRange]:
-    """Only files and boxes that overlap the wanted part of the raw volume."""
-    out = []
+def plan_tasks(stack: Stack, wanted: Box, parallel: int = 1) -> list[ReadTask]:
+    """Only files and boxes that overlap the wanted part, in evenly sized tasks.
+
+    Large files are split between tasks and small ones share a task.
+    """
+    spans = []
     for layout, start in zip(stack.files, stack.starts):
         local = clip(((wanted[0][0] - start, wanted[0][1] - start), *wanted[1:]), tuple((0, s) for s in layout.shape))
-        if is_empty(local):
-            continue
-        cells = prod(b - a for a, b in grid_span(layout.shape, layout.grid, local))
-        step = cells if layout.sequential else max(1, TASK_BYTES // layout.box_bytes())
-        out += [BoxRange(layout, start, local, a, min(a + step, cells)) for a in range(0, cells, step)]
-    return out
+        if not is_empty(local):
+            cells = prod(b - a for a, b in grid_span(layout.shape, layout.grid, local))
+            spans.append((layout, start, local, cells))
+    total = sum(layout.box_bytes() * cells for layout, _, _, cells in spans)
+    room = max(1, min(TASK_BYTES, total // max(1, parallel)))
+    tasks, filled = [], room
+    for layout, start, local, cells in spans:
+        step = cells if layout.sequential else max(1, room // layout.box_bytes())
+        for first in range(0, cells, step):
+            last = min(first + step, cells)
+            size = (last - first) * layout.box_bytes()
+            if filled + size > room:
+                tasks.append(ReadTask([]))
+                filled = 0
+            tasks[-1].ranges.append(BoxRange(layout, start, local, first, last))
+            filled += size
+    return tasks
 
 
 def read_range(part: BoxRange) -> Iterator[tuple[Box, np.ndarray]]:
-    """Boxes of one partition in raw stack coordinates, native byte order."""
+    """Boxes of one range in raw stack coordinates, native byte order."""
     layout = part.layout
     span = grid_span(layout.shape, layout.grid, part.wanted)
     boxes = (clip(grid_box(layout.shape, layout.grid, span, k), part.wanted) for k in range(part.first, part.last))
@@ -141,6 +162,7 @@ class VolumeReader(DataSourceReader):
         order = options.get("order")
         self.order = check_order(order.split(",")) if order else (0, 1, 2)
         self.blocks = options.get("layout", "voxels") == "blocks"
+        self.parallel = int(options.get("parallel", 1))
         self.bounds = {a: [int(options.get(f"{a}_start", 0)), int(options.get(f"{a}_end", 2**31 - 1))] for a in AXES}
 
     def pushFilters(self, filters: list[Filter]):
@@ -162,18 +184,17 @@ class VolumeReader(DataSourceReader):
         for logical, axis in enumerate(self.order):
             lo, hi = self.bounds[AXES[logical]]
             raw[axis] = (max(0, lo), min(hi, stack.shape[axis]))
-        return plan_partitions(stack, tuple(raw))
+        return plan_tasks(stack, tuple(raw), self.parallel)
 
-    def read(self, partition: BoxRange | None) -> Iterator[pa.RecordBatch]:
-        if not isinstance(partition, BoxRange):
-            return  # nothing overlaps the wanted box
+    def read(self, partition: ReadTask | None) -> Iterator[pa.RecordBatch]:
         pack = block_batch if self.blocks else voxel_batch
-        for box, data in read_range(partition):
-            yield pack(tuple(box[a] for a in self.order), data.transpose(self.order))
+        for part in getattr(partition, "ranges", []):  # None when nothing overlaps the wanted box
+            for box, data in read_range(part):
+                yield pack(tuple(box[a] for a in self.order), data.transpose(self.order))
 
 
 class VolumeSource(DataSource):
-    """``spark.read.format('voxtally')`` with options path, order, layout and z/y/x_start/_end."""
+    """``spark.read.format('voxtally')`` with options path, order, layout, parallel and z/y/x_start/_end."""
 
     @classmethod
     def name(cls) -> str:
@@ -199,6 +220,7 @@ class Volume:
         if kind_of(volume_files(self.path)[0][0]) == "image":
             return _image_rows(self, layout, lo, hi)
         reader = self.spark.read.format("voxtally").option("path", self.path).option("layout", layout)
+        reader = reader.option("parallel", self.spark.sparkContext.defaultParallelism)
         if self.order:
             reader = reader.option("order", ",".join(map(str, self.order)))
         for axis, a, b in zip(AXES, lo or (0, 0, 0), hi or self.meta.shape):

@@ -93,6 +93,9 @@ def describe(path: str) -> FileLayout:
     }
     shape = (len(slots) * samples, height, width)
     grid = raster_grid(shape, dtype.itemsize)
+    if detail["deflate"]:
+        rows = detail["tile"][0]
+        grid = (grid[0], min(height, max(rows, grid[1] // rows * rows)), width)
     if samples > 1:
         grid = (samples, *grid[1:])
     return FileLayout(path, "tiff", shape, dtype.str, grid, detail)
@@ -119,6 +122,7 @@ def read_box(layout: FileLayout, box: Box) -> np.ndarray:
     samples, (th, tw) = d["samples"], d["tile"]
     _, height, width = layout.shape
     across, down = -(-width // tw), -(-height // th)
+    by_row = not d["deflate"] and d["predictor"] == 1 and samples == 1 and tw == width
     out = np.zeros((z1 - z0, y1 - y0, x1 - x0), np.dtype(layout.dtype))
     with open(layout.path, "rb") as f:
         for z in range(z0, z1):
@@ -127,8 +131,13 @@ def read_box(layout: FileLayout, box: Box) -> np.ndarray:
                 for tx in range(x0 // tw, -(-x1 // tw)):
                     k = ty * across + tx + (sample * across * down if d["planar"] else 0)
                     rows = th if tw != width or th * down == height else min(th, height - ty * th)
-                    tile = _tile(f, page, k, layout, (rows, tw, 1 if d["planar"] else samples))
                     ya, yb = max(y0, ty * th), min(y1, ty * th + rows, height)
+                    if by_row:
+                        f.seek(page[0][k] + (ya - ty * th) * width * out.itemsize)
+                        raw = f.read((yb - ya) * width * out.itemsize)
+                        out[z - z0, ya - y0 : yb - y0] = np.frombuffer(raw, out.dtype).reshape(yb - ya, width)[:, x0:x1]
+                        continue
+                    tile = _tile(f, page, k, layout, (rows, tw, 1 if d["planar"] else samples))
                     xa, xb = max(x0, tx * tw), min(x1, tx * tw + tw, width)
                     part = tile[ya - ty * th : yb - ty * th, xa - tx * tw : xb - tx * tw, 0 if d["planar"] else sample]
                     out[z - z0, ya - y0 : yb - y0, xa - x0 : xb - x0] = part
