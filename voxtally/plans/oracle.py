@@ -134,7 +134,21 @@ def _reach(connectivity: int) -> str:
         reach_v(node, root) as (
             select r, r from named_v
             union select b, root from reach_v join links_v on node = a where root < b),
-        roots_v as (select node, min(root) as root from reach_v group by node)"""
+        roots_v as materialized (select node, min(root) as root from reach_v group by node)"""
+
+
+def _chunked(connectivity: int, depth: int) -> str:
+    """The chunk rule: flood fill inside chunks, then one contact upwards per component."""
+    inside = _reach(connectivity).replace("n.x = p.x + dx)", f"n.x = p.x + dx where p.z % {depth} + dz between 0 and {depth - 1})")
+    return f"""{inside},
+        met_v as materialized (select u.root as a, l.root as b, n.r as voxel from named_v p
+                  join named_v n on n.z = p.z + 1 and n.y = p.y and n.x = p.x
+                  join roots_v u on u.node = p.r join roots_v l on l.node = n.r where n.z % {depth} = 0),
+        chosen_v as materialized (select b, arg_min(a, voxel) as a from met_v group by b),
+        both_v as materialized (select a, b from chosen_v union all select b, a from chosen_v),
+        climb_v(node, root) as (select a, a from both_v union select b, root from climb_v join both_v on node = a where root < b),
+        tops_v as materialized (select node, min(root) as top from climb_v group by node),
+        final_v as (select r.node, coalesce(top, root) as root from roots_v r left join tops_v t on t.node = r.root)"""
 
 
 _SUMS = """
@@ -294,6 +308,7 @@ _BODIES = {
     "nifti_folder_o10e": "select z, y, x, value from annotation_v",
     "permuted_read_o8": "select z, y, x, value from annotation_v",
     "convert_o12": "select z, y, x, value from annotation_v",
+    "image_folder_o5": "select z, y, x, value % 256 as value from annotation_v where value % 256 <> 0",
     "ome_zarr_level_o10b": _nearest("annotation_v", _ATLAS, _halves()[1]),
     "box_read_o7": """select z, y, x, value from annotation_v, shape_v
         where z >= 1 and z < az and y >= 10 and y < 120 and x >= 5 and x < 20""",
@@ -324,6 +339,7 @@ ORACLE = {name: _with(_wrap(body)) for name, body in _BODIES.items()}
 ORACLE["tier_rollup_o46"] = _with(_ROLLUP, recursive=True, extra=_CLIMB)
 for _n in (6, 18, 26):
     ORACLE[f"components_{_n}_o47"] = _with(_SUMS, recursive=True, extra=_reach(_n))
+ORACLE["components_chunked_o47"] = _with(_SUMS.replace("roots_v", "final_v"), recursive=True, extra=_chunked(18, 5))
 ORACLE["components_of_blocks_o47"] = ORACLE["components_18_o47"]
 _LO, _HI = (2, 60)
 ORACLE["registered_brain_o88"] = _with(

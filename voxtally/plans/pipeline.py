@@ -19,7 +19,7 @@ from voxtally.operators.components import detect_cells
 from voxtally.operators.structures import Region, find_region, subtree_ids
 from voxtally.plans.journal import StageRun, cells_fingerprint, read_manifest, same_fingerprint
 from voxtally.schema import Shape, VolumeMeta
-from voxtally.session import cut_lineage, shared_path
+from voxtally.session import cut_lineage, shared_folder
 from voxtally.sources import tables
 from voxtally.sources.reader import Volume, open_volume
 from voxtally.sources.writer import expected_output_path, write_volume
@@ -250,7 +250,7 @@ def prepare_registration_input(
     raw = open_volume(spark, source)
     shape = volume.registration_shape(raw.meta.shape, factor)
     meta = VolumeMeta(shape, raw.meta.dtype)
-    temp = shared_path(spark, "registration")
+    temp = shared_folder(spark, "registration")
     small = write_volume(volume.resample_blocks(raw.blocks(), raw.meta, shape, resize_order), meta, temp, name, "zarr")
     turned = open_volume(spark, small, order)
     try:

@@ -3,7 +3,12 @@
 from __future__ import annotations
 
 import os
+import struct
+import zlib
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 import yaml
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +20,7 @@ from voxtally.plans import pipeline, views
 from voxtally.plans.queries import register
 from voxtally.plans.views import VOXEL_SIZE_UM, Brain
 from voxtally.schema import VolumeMeta
-from voxtally.session import shared_path
+from voxtally.session import shared_folder
 from voxtally.sources import tables
 from voxtally.sources.reader import Volume, open_volume
 from voxtally.sources.writer import convert_volume, write_volume
@@ -25,7 +30,7 @@ RUN_BOUNDS = (2, 60)
 
 
 def _folder(b: Brain, name: str) -> str:
-    return shared_path(b.spark, name)
+    return shared_folder(b.spark, name)
 
 
 def _annotation(b: Brain, kind: str, **options) -> Volume:
@@ -69,6 +74,38 @@ def _(b: Brain) -> DataFrame:
     return open_volume(b.spark, os.path.join(stored.path, "1")).voxels()
 
 
+def _png(image: np.ndarray) -> bytes:
+    """A grey 8-bit PNG; only this query writes images."""
+
+    def chunk(tag: bytes, data: bytes) -> bytes:
+        return struct.pack(">I", len(data)) + tag + data + struct.pack(">I", zlib.crc32(tag + data))
+
+    rows = b"".join(b"\0" + row.tobytes() for row in image)
+    head = struct.pack(">IIBBBBB", image.shape[1], image.shape[0], 8, 0, 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b"")
+
+
+@register("image_folder_o5")
+def _(b: Brain) -> DataFrame:
+    """Each atlas slice as an image, read back by Spark's image source."""
+    folder, shape = _folder(b, "images"), b.atlas[1:]
+    os.makedirs(folder)
+
+    def draw(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        image = np.zeros(shape, np.uint8)
+        for batch in batches:
+            y, x, value = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "x", "value"))
+            image[y[x >= 0], x[x >= 0]] = value[x >= 0]
+        with open(os.path.join(folder, f"slice_{key[0].as_py():09d}.png"), "wb") as f:
+            f.write(_png(image))
+        yield pa.RecordBatch.from_arrays([pa.array([image.size], pa.int64())], names=["pixels"])
+
+    pixels = views.annotation(b).select("z", "y", "x", F.expr("value % 256 as value"))
+    every = b.spark.range(b.atlas[0]).selectExpr("cast(id as int) z", "0 y", "-1 x", "0L value")
+    pixels.unionByName(every).groupBy("z").applyInArrow(draw, "pixels bigint").count()
+    return open_volume(b.spark, folder).voxels()
+
+
 @register("box_read_o7")
 def _(b: Brain) -> DataFrame:
     stored = _annotation(b, "zarr", chunk=(4, 32, 8))

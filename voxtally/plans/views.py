@@ -7,7 +7,7 @@ volume at the same density. All values are integers.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,13 +30,17 @@ class Brain:
     folder: str
     native: Shape
     atlas: Shape
+    tables: dict[str, DataFrame] = field(default_factory=dict, compare=False)
 
     @property
     def meta(self) -> VolumeMeta:
         return VolumeMeta(self.native, "uint8")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """One DataFrame per table and query, so that its footer is read once."""
+        if name not in self.tables:
+            self.tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.tables[name]
 
 
 @lru_cache(maxsize=16)

@@ -48,6 +48,15 @@ def shared_path(spark: SparkSession, stem: str) -> str:
     return os.path.join(shared_dir(spark), f"{stem}-{uuid.uuid4().hex[:12]}")
 
 
+def shared_folder(spark: SparkSession, stem: str) -> str:
+    """A new path below the shared folder as the file system of every node sees it."""
+    path = shared_path(spark, stem)
+    local = path.removeprefix("file://").removeprefix("file:")
+    if "://" in local:
+        raise ValueError(f"volume files need a mounted folder, spark.checkpoint.dir is {path}")
+    return local
+
+
 def cut_lineage(df: DataFrame, stem: str = "step") -> DataFrame:
     """Write to the shared folder and read back.
 

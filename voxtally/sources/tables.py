@@ -80,11 +80,10 @@ def read_cells(
     columns: list[str] | None = None,
 ) -> DataFrame:
     """Scan with filter and column pushdown; ``path`` is a table or a folder of tables."""
-    tables = [str(path)]
-    if os.path.isdir(path) and not any(n.endswith(".parquet") and os.path.isfile(os.path.join(path, n)) for n in os.listdir(path)):
-        nested = [os.path.join(path, n) for n in sorted(os.listdir(path)) if n.endswith(".parquet")]
-        tables = nested or tables
-    cells = spark.read.option("mergeSchema", "true").parquet(*tables)
+    names = sorted(os.listdir(path)) if os.path.isdir(path) else []
+    nested = [os.path.join(path, n) for n in names if n.endswith(".parquet") and os.path.isdir(os.path.join(path, n))]
+    reader = spark.read.option("mergeSchema", "true") if nested else spark.read
+    cells = reader.parquet(*(nested or [str(path)]))
     if biomarker is not None:
         cells = cells.filter(F.col("biomarker") == biomarker)
     if passed_filter is not None:

@@ -36,6 +36,15 @@ SUFFIXES = {
     "single-nii": ".nii.gz",
     "scroll-nii": ".scroll-nii",
 }
+# Label of each output type in user interfaces (fixed values).
+TYPE_LABELS = {
+    "OME-Zarr": "ome-zarr",
+    "Zarr": "zarr",
+    "Tif": "single-tiff",
+    "Nifti": "single-nii",
+    "Scroll-Tif": "scroll-tiff",
+    "Scroll-Nifti": "scroll-nii",
+}
 CHUNK = (128, 128, 128)
 _KEYS = ["_pz", "_py", "_px"]
 _DONE_DDL = "z0 int, y0 int, x0 int, bytes bigint"
@@ -243,6 +252,25 @@ def _write_tiff(volume: DataFrame, meta: VolumeMeta, path: str, sliced: bool) ->
     _store(volume, meta, grid, RasterSink(path, meta.shape, offset, sliced)).count()
 
 
+def _offsets(done: DataFrame, depth: int, sliced: bool, head: int) -> DataFrame:
+    """Byte position of every part: a running sum of the sizes before it.
+
+    For one large file the sum runs inside at most 1000 Z groups at once, on
+    top of the running sum of the group sizes.
+    """
+
+    def before(order):
+        return F.coalesce(F.sum("bytes").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    if sliced:
+        return done.select("z0", "y0", (before(Window.partitionBy("z0").orderBy("y0")) + head).alias("at"))
+    grouped = done.withColumn("_g", F.expr(f"cast(z0 div {-(-depth // 1000)} as int)"))
+    starts = grouped.groupBy("_g").agg(F.sum("bytes").alias("bytes"))
+    starts = starts.select("_g", before(Window.orderBy("_g")).alias("_start"))
+    inside = before(Window.partitionBy("_g").orderBy("z0", "y0"))
+    return grouped.withColumn("_in", inside).join(F.broadcast(starts), "_g").select("z0", "y0", (F.col("_in") + F.col("_start") + head).alias("at"))
+
+
 def _write_nifti(volume: DataFrame, meta: VolumeMeta, path: str, sliced: bool) -> None:
     z, y, x = meta.shape
     spark = volume.sparkSession
@@ -252,9 +280,7 @@ def _write_nifti(volume: DataFrame, meta: VolumeMeta, path: str, sliced: bool) -
     depth, rows, width = raster_grid(meta.shape, np.dtype(meta.dtype).itemsize)
     grid = (1 if sliced else depth, rows, width)
     done = cut_lineage(_store(volume, meta, grid, GzipPartSink(parts), every=True), "parts")
-    order = Window.partitionBy("z0").orderBy("y0") if sliced else Window.orderBy("z0", "y0")
-    before = F.coalesce(F.sum("bytes").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = done.select("z0", "y0", (before + len(head)).alias("at"))
+    placed = _offsets(done, z, sliced, len(head))
 
     def name(k: int) -> str:
         return os.path.join(path, slice_name(k, ".nii.gz")) if sliced else path
@@ -308,6 +334,7 @@ def write_volume(
     ``z_range`` writes that part of a voxel table only; single-file types then
     carry the range in their name.
     """
+    output_type = TYPE_LABELS.get(output_type, output_type)
     final = expected_output_path(str(folder), name, output_type)
     if z_range is not None:
         a, b = z_range
