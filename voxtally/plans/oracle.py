@@ -291,7 +291,8 @@ _BODIES = {
     "resample_nearest_down_o74": _nearest("annotation_v", _ATLAS, _DOWN),
     "resample_linear_up_o74": _linear("annotation_v", _ATLAS, _UP),
     "resample_linear_down_o74": _linear("annotation_v", _ATLAS, _DOWN),
-    "atlas_to_native_o76": _nearest("annotation_v", _ATLAS, _NATIVE),
+    "atlas_to_native_o76": f"""select z, value, count(*) as voxels, cast(sum(y) as bigint) as sum_y,
+        cast(sum(x) as bigint) as sum_x from ({_nearest('annotation_v', _ATLAS, _NATIVE)}) group by z, value""",
     "scatter_o77": "select distinct z, y, x - 3 as x, cast(255 as bigint) as value from cells_v where x >= 3",
     "redraw_native_o78": """select distinct z, y, x, cast(255 as bigint) as value from cells_v
         where passed and biomarker = 'TH'""",

@@ -333,9 +333,12 @@ def _(b: Brain) -> DataFrame:
 
 @register("atlas_to_native_o76")
 def _(b: Brain) -> DataFrame:
-    """An atlas stored as (Y, Z, X), read with its order and resized to native."""
+    """An atlas stored as (Y, Z, X), read with its order, resized to native and summed up per slice."""
     stored = coords.permute(views.annotation(b), (1, 0, 2))
-    return volume.resample(coords.permute(stored, (1, 0, 2)), b.atlas, b.native)
+    native = volume.resample(coords.permute(stored, (1, 0, 2)), b.atlas, b.native)
+    return native.groupBy("z", "value").agg(
+        F.count(F.lit(1)).alias("voxels"), F.sum("y").alias("sum_y"), F.sum("x").alias("sum_x")
+    )
 
 
 @register("scatter_o77")
