@@ -11,7 +11,7 @@ import pytest
 
 from voxtally.schema import VolumeMeta
 from voxtally.sources import layout
-from voxtally.sources.reader import VolumeReader, open_volume
+from voxtally.sources.reader import FilteringReader, open_volume
 from voxtally.sources.writer import convert_volume, expected_output_path, write_volume
 
 
@@ -79,9 +79,14 @@ def test_comparisons_prune_boxes(spark, tmp_path):
     path = write_volume(to_voxels(spark, array), VolumeMeta(array.shape, "uint8"), str(tmp_path), "a", "zarr", chunk=(2, 6, 6))
     volume = open_volume(spark, path)
     assert volume.voxels().filter("z >= 3 and z < 5 and x = 2").count() == 12
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
+    try:
+        assert open_volume(spark, path).voxels().filter("z >= 3 and z < 5 and x = 2").count() == 12
+    finally:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     from pyspark.sql.datasource import EqualTo, GreaterThanOrEqual, LessThan
 
-    reader = VolumeReader({"path": path})
+    reader = FilteringReader({"path": path})
     rest = list(reader.pushFilters([GreaterThanOrEqual(("z",), 3), LessThan(("z",), 5), EqualTo(("x",), 2)]))
     assert len(rest) == 3
     cells = sum(r.last - r.first for task in reader.partitions() for r in task.ranges)

@@ -165,19 +165,6 @@ class VolumeReader(DataSourceReader):
         self.parallel = int(options.get("parallel", 1))
         self.bounds = {a: [int(options.get(f"{a}_start", 0)), int(options.get(f"{a}_end", 2**31 - 1))] for a in AXES}
 
-    def pushFilters(self, filters: list[Filter]):
-        """Narrow the box by comparisons on z, y and x; Spark re-checks every row."""
-        for f in filters:
-            axis = f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else None
-            if not self.blocks and axis in AXES and isinstance(getattr(f, "value", None), int):
-                lo, hi = self.bounds[axis]
-                if isinstance(f, (GreaterThan, GreaterThanOrEqual, EqualTo)):
-                    lo = max(lo, f.value + isinstance(f, GreaterThan))
-                if isinstance(f, (LessThan, LessThanOrEqual, EqualTo)):
-                    hi = min(hi, f.value + (not isinstance(f, LessThan)))
-                self.bounds[axis] = [lo, hi]
-            yield f
-
     def partitions(self) -> list[InputPartition]:
         stack = describe_stack(self.path)
         raw: list = [None, None, None]
@@ -193,8 +180,29 @@ class VolumeReader(DataSourceReader):
                 yield pack(tuple(box[a] for a in self.order), data.transpose(self.order))
 
 
+class FilteringReader(VolumeReader):
+    """Reader for sessions with ``spark.sql.python.filterPushdown.enabled``; Spark rejects the hook in others."""
+
+    def pushFilters(self, filters: list[Filter]):
+        """Narrow the box by comparisons on z, y and x; Spark re-checks every row."""
+        for f in filters:
+            axis = f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else None
+            if not self.blocks and axis in AXES and isinstance(getattr(f, "value", None), int):
+                lo, hi = self.bounds[axis]
+                if isinstance(f, (GreaterThan, GreaterThanOrEqual, EqualTo)):
+                    lo = max(lo, f.value + isinstance(f, GreaterThan))
+                if isinstance(f, (LessThan, LessThanOrEqual, EqualTo)):
+                    hi = min(hi, f.value + (not isinstance(f, LessThan)))
+                self.bounds[axis] = [lo, hi]
+            yield f
+
+
 class VolumeSource(DataSource):
-    """``spark.read.format('voxtally')`` with options path, order, layout, parallel and z/y/x_start/_end."""
+    """``spark.read.format('voxtally')``.
+
+    Options: path, order (as ``1,0,2``), layout (voxels or blocks), z/y/x_start and
+    _end, parallel (least number of tasks), pushdown (true to narrow by filters).
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -204,7 +212,8 @@ class VolumeSource(DataSource):
         return BLOCK_SCHEMA if self.options.get("layout", "voxels") == "blocks" else VOXEL_SCHEMA
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return VolumeReader(dict(self.options))
+        options = dict(self.options)
+        return FilteringReader(options) if options.get("pushdown") == "true" else VolumeReader(options)
 
 
 @dataclass(frozen=True)
@@ -221,6 +230,7 @@ class Volume:
             return _image_rows(self, layout, lo, hi)
         reader = self.spark.read.format("voxtally").option("path", self.path).option("layout", layout)
         reader = reader.option("parallel", self.spark.sparkContext.defaultParallelism)
+        reader = reader.option("pushdown", self.spark.conf.get("spark.sql.python.filterPushdown.enabled", "false"))
         if self.order:
             reader = reader.option("order", ",".join(map(str, self.order)))
         for axis, a, b in zip(AXES, lo or (0, 0, 0), hi or self.meta.shape):
