@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,7 +25,24 @@ def get_session(app: str = "voxtally", master: str | None = None, **conf: str) -
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by the Python workers of the session."""
+    _ship(spark.sparkContext.applicationId)
+
+
+@lru_cache(maxsize=4)
+def _ship(application: str) -> None:
+    package = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="voxtally-code-")) / "voxtally_package.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    SparkSession.active().sparkContext.addPyFile(str(archive))
 
 
 def shared_dir(spark: SparkSession) -> str:
