@@ -10,7 +10,7 @@ import yaml
 
 from voxtally import __main__ as cli
 from voxtally.config import ConfigError, build_config, load_config
-from voxtally.plans import journal, pipeline
+from voxtally.plans import brain_runs, journal
 from voxtally.schema import VolumeMeta
 from voxtally.sources import tables
 from voxtally.sources.reader import open_volume
@@ -66,7 +66,7 @@ def test_registered_run(spark, tmp_path):
     paths = [store(spark, tmp_path, n, a) for n, a in (("mask", mask), ("annotation", annotation), ("sides", sides))]
     config = build_config(raw_config(tmp_path, *paths))
     system = {"keywords": [], "acronyms": ["A", "B"], "exact_acronym_match": True}
-    done = pipeline.run_brain(spark, config, roi_acronyms=["A", "nope"], functional_system=system)["cFos"]
+    done = brain_runs.run_brain(spark, config, roi_acronyms=["A", "nope"], functional_system=system)["cFos"]
     assert done["filter"] == {"total": 3, "passed": 2} and done["assign_regions"] == {"assigned": 3}
     cells = tables.read_cells(spark, done["cells_path"], "cFos", True)
     assert {(r.region_id, r.hemisphere_id, r.volume_voxels) for r in cells.collect()} == {(10, 1, 64), (20, 2, 64)}
@@ -82,7 +82,7 @@ def test_registered_run(spark, tmp_path):
     assert open_volume(spark, done["redraw"]["native"]).meta.shape == NATIVE
 
     folder = tmp_path / "out" / "cFos"
-    again = pipeline.run_brain(spark, config)["cFos"]
+    again = brain_runs.run_brain(spark, config)["cFos"]
     assert again["redraw"] == done["redraw"] and again["roi_extract"] is None
     logs = [p.name.split("_2")[0] for p in sorted((folder / "logs").glob("*.params.json"))]
     assert logs.count("detect") == 1 and logs.count("redraw") == 1 and logs.count("filter") == 2
@@ -105,15 +105,15 @@ def test_unregistered_run_and_cli(spark, tmp_path, capsys):
     # A cut-off cells table is detected again; a new threshold redraws.
     (tmp_path / "out" / "cFos" / "cells.parquet" / "_SUCCESS").unlink()
     raw["biomarkers"]["cFos"]["filter"]["min_volume_voxels"] = 20
-    again = pipeline.run_brain(spark, build_config(raw))["cFos"]
+    again = brain_runs.run_brain(spark, build_config(raw))["cFos"]
     assert again["filter"] == {"total": 3, "passed": 3}
     names = [p.name.split("_2")[0] for p in (tmp_path / "out" / "cFos" / "logs").glob("*.params.json")]
     assert names.count("detect") == 2 and names.count("redraw") == 2
     assert open_volume(spark, again["redraw_path"]).voxels().count() == 3
     with pytest.raises(ValueError):
-        pipeline.run_registered(spark, build_config(raw))
+        brain_runs.run_registered(spark, build_config(raw))
 
-    flagged = pipeline.colocalize_tables(
+    flagged = brain_runs.colocalize_tables(
         spark, [("TH", "cFos")], {"cFos": again["cells_path"]}, {"TH": raw["biomarkers"]["cFos"]["mask_path"]}
     )
     assert flagged == {("TH", "cFos"): {"tested": 3, "colocalized": 3}}
@@ -122,7 +122,7 @@ def test_unregistered_run_and_cli(spark, tmp_path, capsys):
 
 def test_empty_mask_run(spark, tmp_path):
     raw = raw_config(tmp_path, store(spark, tmp_path, "mask", np.zeros((2, 3, 4), "uint8")))
-    done = pipeline.run_brain(spark, build_config(raw))["cFos"]
+    done = brain_runs.run_brain(spark, build_config(raw))["cFos"]
     assert done["filter"] == {"total": 0, "passed": 0}
     assert open(done["report_path"]).read() == "biomarker,total_cells\n"
 
@@ -131,9 +131,9 @@ def test_volume_entry_points(spark, tmp_path):
     raw = np.zeros((20, 40, 60), "uint16")
     raw[4:8, 8:16, 12:24] = 1000
     path = store(spark, tmp_path, "raw", raw)
-    small = pipeline.prepare_registration_input(spark, path, (2, 4, 6), (1, 0, 2), str(tmp_path), "small")
+    small = brain_runs.prepare_registration_input(spark, path, (2, 4, 6), (1, 0, 2), str(tmp_path), "small")
     assert open_volume(spark, small).meta == VolumeMeta((10, 10, 10), "uint16")
-    native = pipeline.resample_to_native(spark, small, (1, 0, 2), (20, 40, 60), str(tmp_path), "back")
+    native = brain_runs.resample_to_native(spark, small, (1, 0, 2), (20, 40, 60), str(tmp_path), "back")
     back = open_volume(spark, native)
     assert back.meta == VolumeMeta((20, 40, 60), "uint16")
     assert back.voxels().filter("z = 6 and y = 12 and x = 18").first().value == 1000

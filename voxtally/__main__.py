@@ -8,7 +8,7 @@ import logging
 import sys
 
 from voxtally.config import load_config, read_yaml
-from voxtally.plans.pipeline import run_brain
+from voxtally.plans.brain_runs import run_brain
 from voxtally.session import get_session
 
 

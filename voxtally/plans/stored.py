@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from voxtally.config import build_config
 from voxtally.functions.coords import permute, permute_shape
 from voxtally.operators import components, report
-from voxtally.plans import pipeline, views
+from voxtally.plans import brain_runs, views
 from voxtally.plans.queries import register
 from voxtally.plans.views import VOXEL_SIZE_UM, Brain
 from voxtally.schema import VolumeMeta
@@ -178,7 +178,7 @@ def _config(b: Brain, registered: bool):
 @register("registered_brain_o88")
 def _(b: Brain) -> DataFrame:
     """Every stage from stored volumes; the assigned cells of the run."""
-    done = pipeline.run_brain(b.spark, _config(b, True), roi_acronyms=["R1"])["cFos"]
+    done = brain_runs.run_brain(b.spark, _config(b, True), roi_acronyms=["R1"])["cFos"]
     return tables.read_cells(b.spark, done["cells_path"]).select(
         "cell_id", "z", "y", "x", "volume_voxels", "region_id", "hemisphere_id", "passed_filter"
     )
@@ -187,5 +187,5 @@ def _(b: Brain) -> DataFrame:
 @register("unregistered_brain_o89")
 def _(b: Brain) -> DataFrame:
     """Every stage without an atlas; the voxels of the redrawn native mask."""
-    done = pipeline.run_brain(b.spark, _config(b, False))["cFos"]
+    done = brain_runs.run_brain(b.spark, _config(b, False))["cFos"]
     return open_volume(b.spark, done["redraw_path"]).voxels()
