@@ -138,3 +138,59 @@ def test_numbering_by_range(spark, monkeypatch):
     rows = spark.range(0, 3000, 3).withColumnRenamed("id", "root")
     got = comp.number_in_order(rows, "root", "cell_id").orderBy("root").collect()
     assert [r.cell_id for r in got] == list(range(1, 1001))
+
+
+def chunk_rule(mask, connectivity, depth):
+    """Sequential statement of the chunk rule: a component continues the first label above it."""
+    above, members, fresh = None, {}, 0
+    for z0 in range(0, mask.shape[0], depth):
+        part = mask[z0 : z0 + depth]
+        local = np.zeros(part.shape, int)
+        queue_of = {tuple(p) for p in np.argwhere(part)}
+        offsets = [o for f in forward_offsets(connectivity) for o in (f, tuple(-v for v in f))]
+        groups = []
+        while queue_of:
+            stack = [min(queue_of)]
+            queue_of.discard(stack[0])
+            group = []
+            while stack:
+                p = stack.pop()
+                group.append(p)
+                for o in offsets:
+                    q = tuple(a + b for a, b in zip(p, o))
+                    if q in queue_of:
+                        queue_of.discard(q)
+                        stack.append(q)
+            groups.append(sorted(group))
+        for group in groups:
+            top = [(y, x) for z, y, x in group if z == 0 and above is not None and above[y, x]]
+            if top:
+                name = above[min(top)]
+            else:
+                fresh += 1
+                name = fresh
+            for p in group:
+                local[p] = name
+                members.setdefault(name, []).append((p[0] + z0, p[1], p[2]))
+        above = local[-1]
+    out = set()
+    for voxels in members.values():
+        arr = np.array(sorted(voxels))
+        out.add((int(np.ravel_multi_index(arr[0], mask.shape)), len(arr), *(int(v) for v in arr.sum(axis=0) // len(arr))))
+    return out
+
+
+@pytest.mark.parametrize("dense", [False, True])
+def test_random_chunk_rule_matches_the_sequential_one(spark, dense, monkeypatch):
+    monkeypatch.setattr(comp, "BRICK", 4)
+    mask = np.random.default_rng(11).random((14, 9, 10)) < 0.25
+    meta = VolumeMeta(mask.shape, "uint8")
+    volume = block_frame(spark, mask.astype("uint8"), (6, 5, 7)) if dense else voxel_frame(spark, mask)
+    assert as_set(comp.components(volume, meta, 18, "chunked", 3)) == chunk_rule(mask, 18, 3)
+
+
+def test_blob_inside_a_box_and_empty_blocks(spark):
+    mask = np.zeros((12, 12, 12), "uint8")
+    mask[2:4, 2:4, 2:4] = 1
+    found = comp.components(block_frame(spark, mask, (6, 6, 6)), VolumeMeta(mask.shape, "uint8"), 18)
+    assert as_set(found) == {(2 * 144 + 2 * 12 + 2, 8, 2, 2, 2)}

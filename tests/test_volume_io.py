@@ -212,3 +212,19 @@ def test_partial_write_and_unknown_type(spark, tmp_path):
         expected_output_path("x", "y", "bmp")
     with pytest.raises(ValueError):
         open_volume(spark, tmp_path / "missing.xyz")
+
+
+@pytest.mark.parametrize("shape, dtype", [((3, 40_000, 40_000), "uint8"), ((70_000, 300, 300), "float32"), ((4, 6, 5), "int32")])
+def test_tiff_headers_of_any_size(shape, dtype):
+    """Page directories of classic and big files point at consecutive pixels."""
+    import io
+
+    from voxtally.sources import tiff
+
+    head, offset = tiff.header(shape, dtype)
+    order, pages = tiff._pages(io.BytesIO(head))
+    page = shape[1] * shape[2] * np.dtype(dtype).itemsize
+    assert order == "<" and len(head) == offset and len(pages) == shape[0]
+    assert [p[tiff.OFFSETS][0] for p in pages[:3]] == [offset + k * page for k in range(3)]
+    assert pages[-1][tiff.OFFSETS][0] == offset + (shape[0] - 1) * page
+    assert all(p[tiff.COUNTS] == (page,) and p[tiff.HEIGHT] == (shape[1],) for p in pages)
