@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
-from voxtally.llm import bpe
+from voxtally.llm import bpe, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,8 +21,13 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op4_bpe": op4_bpe,
+    "op5_packing": op5_packing,
 }
 
 LLM_ORACLE: dict[str, str] = {}
