@@ -55,7 +55,6 @@ def as_set(df):
 @pytest.mark.parametrize("connectivity", [6, 18, 26])
 def test_random_voxels_match_flood_fill(spark, connectivity, monkeypatch):
     monkeypatch.setattr(comp, "BRICK", 5)
-    monkeypatch.setattr(graph, "SMALL_EDGES", 0 if connectivity == 18 else 10**6)
     rng = np.random.default_rng(connectivity)
     mask = rng.random((13, 11, 12)) < 0.2
     meta = VolumeMeta(mask.shape, "uint8")
@@ -72,12 +71,12 @@ def test_dense_blocks_match_flood_fill(spark, monkeypatch):
     assert as_set(found) == flood(mask, 18)
 
 
-def test_hot_nodes_take_the_broadcast_path(spark, monkeypatch):
-    monkeypatch.setattr(graph, "HOT_ROWS", 20)
-    monkeypatch.setattr(graph, "SMALL_EDGES", 0)
+@pytest.mark.parametrize("together", [7, 10**6])
+def test_star_and_chain_are_joined_over_rounds(spark, monkeypatch, together):
+    monkeypatch.setattr(graph, "CONTRACT_ROWS", together)
     star = [(0, i) for i in range(1, 200)] + [(i, i + 1000) for i in range(1, 200, 3)]
     chain = [(5000 + i, 5001 + i) for i in range(60)]
-    edges = spark.createDataFrame(star + chain, "a bigint, b bigint")
+    edges = spark.createDataFrame(star + chain, "a bigint, b bigint").repartition(7)
     got = {tuple(r) for r in graph.connected_components(edges).collect()}
     want = {(n, 0) for e in star for n in e} | {(n, 5000) for e in chain for n in e}
     assert got == want
@@ -134,7 +133,7 @@ def test_empty_mask(spark):
 
 
 def test_numbering_by_range(spark, monkeypatch):
-    monkeypatch.setattr(comp, "ONE_WINDOW_ROWS", 10)
+    monkeypatch.setattr(comp, "ROWS_PER_RANGE", 100)
     rows = spark.range(0, 3000, 3).withColumnRenamed("id", "root")
     got = comp.number_in_order(rows, "root", "cell_id").orderBy("root").collect()
     assert [r.cell_id for r in got] == list(range(1, 1001))

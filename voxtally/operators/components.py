@@ -33,8 +33,8 @@ _PARTIAL_ARROW = pa.schema(
 BRICK = 64
 # Longest side of a box labelled at once when the input is dense.
 LABEL_SIDE = 128
-# Cells up to this many are numbered by one window; more are numbered by range.
-ONE_WINDOW_ROWS = 1_000_000
+# Cells numbered by one task; the numbers do not depend on it.
+ROWS_PER_RANGE = 500_000
 
 
 def _partial_table(found: dict) -> pa.Table:
@@ -163,13 +163,11 @@ def _follow_chunks(partials: DataFrame, labels: DataFrame) -> DataFrame:
 def number_in_order(rows: DataFrame, key: str, name: str) -> DataFrame:
     """Number rows 1..n in key order without passing them through one task.
 
-    Large inputs are range-partitioned and written with their partition number;
-    only the row count of each partition reaches the driver.
+    The rows are range-partitioned and written with their partition number; only
+    the row count of each partition reaches the driver.
     """
     rows = cut_lineage(rows, "numbered")
-    if rows.count() <= ONE_WINDOW_ROWS:
-        return rows.withColumn(name, F.row_number().over(Window.orderBy(key)).cast("bigint"))
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = rows.count() // ROWS_PER_RANGE + 1
     ranged = cut_lineage(rows.repartitionByRange(parts, key).withColumn("_part", F.spark_partition_id()), "ranged")
     counts = ranged.groupBy("_part").count().orderBy("_part").collect()
     starts, seen = [], 0

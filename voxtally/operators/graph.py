@@ -12,77 +12,63 @@ from pyspark.sql import functions as F
 from voxtally.functions.boxes import smallest_linked
 from voxtally.session import cut_lineage, drop_written
 
-# A node on more edge rows than this is joined by broadcast instead of by shuffle.
-HOT_ROWS = 200_000
-# A counted edge table of at most this many rows (16 bytes each) is finished in one task.
-SMALL_EDGES = 1_000_000
+# Edges contracted together inside a task; it bounds memory and does not touch the result.
+CONTRACT_ROWS = 2_000_000
 
 
-def _star_step(edges: DataFrame, node: str, out_hi, out_lo, changed, size: int) -> DataFrame:
+def _forest(hi: np.ndarray, lo: np.ndarray) -> pa.RecordBatch:
+    """The same connections with one edge per node, to the smallest node it reaches."""
+    nodes, at = np.unique(np.concatenate([hi, lo]), return_inverse=True)
+    roots = nodes[smallest_linked(nodes.size, at[: hi.size], at[hi.size :])]
+    apart = nodes != roots
+    return pa.RecordBatch.from_arrays([pa.array(nodes[apart]), pa.array(roots[apart])], names=["hi", "lo"])
+
+
+def _contract(edges: DataFrame) -> DataFrame:
+    """Replace the edges of each partition by a spanning forest, without a shuffle."""
+
+    def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            held.append([batch.column(c).to_numpy() for c in ("hi", "lo")])
+            rows += batch.num_rows
+            if rows >= CONTRACT_ROWS:
+                yield _forest(*np.concatenate(held, axis=1))
+                held, rows = [], 0
+        if rows:
+            yield _forest(*np.concatenate(held, axis=1))
+
+    return edges.mapInArrow(contract, "hi bigint, lo bigint")
+
+
+def _star_step(edges: DataFrame, node: str, out_hi, out_lo, changed) -> DataFrame:
     """Join every edge with the smallest neighbour of ``node`` and rewrite it.
 
-    Smallest neighbours come from a pre-aggregated group-by. Edges of hot nodes
-    take a broadcast join; at most 1000 nodes can be hot, as each holds more
-    than a thousandth of all rows.
+    Smallest neighbours come from a pre-aggregated group-by and are unique, so
+    adaptive execution can split the edges of a crowded node.
     """
     lowest = edges.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("lowest"))
-    probe = edges.withColumn("node", F.col(node))
-    if size > HOT_ROWS:
-        limit = max(HOT_ROWS, size // 1000)
-        hot = probe.groupBy("node").count().filter(F.col("count") > limit).select("node", F.lit(True).alias("hot"))
-        hot = cut_lineage(hot, "hot")
-        flagged = probe.join(F.broadcast(hot), "node", "left")
-        hot_lowest = lowest.join(F.broadcast(hot), "node", "left_semi")
-        joined = (
-            flagged.filter("hot is null").drop("hot").join(lowest, "node", "left")
-            .unionByName(flagged.filter("hot").drop("hot").join(F.broadcast(hot_lowest), "node", "left"))
-        )
-    else:
-        joined = probe.join(lowest, "node", "left")
+    joined = edges.withColumn("node", F.col(node)).join(lowest, "node", "left")
     rewritten = joined.select(out_hi.alias("hi"), out_lo.alias("lo"), (F.col("changed") | changed).alias("changed"))
     return rewritten.filter("hi <> lo").groupBy("hi", "lo").agg(F.max("changed").alias("changed"))
 
 
-def _finish_small(table: DataFrame) -> DataFrame:
-    """Label a small edge table at once; only called behind a check of its size."""
-
-    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [[b.column(c).to_numpy() for c in ("hi", "lo")] for b in batches]
-        if not parts:
-            return
-        ends = np.concatenate([np.stack(p) for p in parts], axis=1)
-        nodes, at = np.unique(ends, return_inverse=True)
-        hi, lo = at.reshape(ends.shape)
-        roots = nodes[smallest_linked(nodes.size, hi, lo)]
-        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(roots)], names=["node", "root"])
-
-    return table.select("hi", "lo").repartition(1).mapInArrow(label, "node bigint, root bigint")
-
-
 def connected_components(edges: DataFrame) -> DataFrame:
     """Smallest reachable node of every node that has an edge.
 
-    ``edges`` has BIGINT columns ``a`` and ``b``. The alternating large-star /
-    small-star method turns the graph into stars around the smallest node of
-    each component; every round is two group-bys and two joins on evenly sized
-    rows, and is written out so that plans stay short and losses stay cheap.
+    ``edges`` has BIGINT columns ``a`` and ``b``. Partitions are contracted on
+    their own first; then the alternating large-star / small-star method turns
+    the graph into stars around the smallest node of each component. Every round
+    is two group-bys and two joins on evenly sized rows, and is written out so
+    that plans stay short and losses stay cheap.
     """
-    table = (
-        edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
-        .filter("hi <> lo")
-        .distinct()
-        .withColumn("changed", F.lit(False))
-    )
-    table = cut_lineage(table, "edges")
+    table = edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).filter("hi <> lo")
+    table = cut_lineage(_contract(table).distinct(), "edges")
+    moved = F.col("lo") != F.col("lowest")
     while True:
-        size = table.count()
-        if size <= SMALL_EDGES:
-            return _finish_small(table)
         fresh = table.withColumn("changed", F.lit(False))
-        small = F.coalesce("lowest", "lo")
-        large = _star_step(fresh, "lo", F.col("hi"), small, F.col("lowest").isNotNull(), size)
-        moved = F.col("lo") != F.col("lowest")
-        stars = _star_step(large, "hi", F.when(moved, F.col("lo")).otherwise(F.col("hi")), F.col("lowest"), moved, size)
+        large = _star_step(fresh, "lo", F.col("hi"), F.coalesce("lowest", "lo"), F.col("lowest").isNotNull())
+        stars = _star_step(large, "hi", F.when(moved, F.col("lo")).otherwise(F.col("hi")), F.col("lowest"), moved)
         after = cut_lineage(stars, "edges")
         drop_written(table)
         table = after
