@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from voxtally.llm import bpe, packing, simhash
+from voxtally.llm import bpe, packing, quality, shards, simhash, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shards.shard_documents(_table(spark, sf_dir, "documents"))
+    return placed.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -31,10 +36,103 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = topk.quantised(_table(spark, sf_dir, "embeddings"))
+    return topk.top_k(rows, rows.filter(F.col("id") % 100 == 0))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality.apply_policy(quality.ledger(_table(spark, sf_dir, "documents")), quality.STANDARD)
+    measured = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return rows.select(*measured, quality.failed(quality.BASE.mask()).alias("base_failed"), "kept")
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op3_shards": op3_shards,
     "op4_bpe": op4_bpe,
     "op5_packing": op5_packing,
+    "op7_urls": op7_urls,
+    "op9_topk": op9_topk,
+    "op10_quality": op10_quality,
 }
 
-LLM_ORACLE: dict[str, str] = {}
+_URL_PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
+_FIRED = " or ".join(f"regexp_matches(host || path, '{r.pattern}')" for r in urls.WORD_RULES)
+
+LLM_ORACLE: dict[str, str] = {
+    "op7_urls": f"""
+with parts as (
+    select page_id,
+        translate(regexp_extract(coalesce(url, ''), '{_URL_PARTS}', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+        regexp_extract(coalesce(url, ''), '{_URL_PARTS}', 2) as path
+    from pages
+), judged as (
+    select *, case
+        when (host = 'example.net' or ends_with(host, '.example.net')) and starts_with(path, '/en/') then 'example.net/en/'
+        when (host = 'example.com' or ends_with(host, '.example.com')) and starts_with(path, '/de/') then 'example.com/de/'
+        when (host = 'org' or ends_with(host, '.org')) and starts_with(path, '/fr/') then 'org/fr/'
+        when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/') then 'net/'
+    end as rule
+    from parts
+)
+select page_id, host, path, rule, case
+    when rule in ('net/', 'example.com/de/') then 'block'
+    when rule is not null then 'allow'
+    when {_FIRED} then 'block'
+    else 'allow'
+end as verdict
+from judged
+""",
+    "op9_topk": """
+with vectors as (
+    select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as terms
+    from embeddings
+    where vec_id is not null and len(embedding) > 0
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+    select q.vec_id as query_id, r.vec_id, list_inner_product(q.terms, r.terms)::bigint as score
+    from vectors q join vectors r on r.vec_id <> q.vec_id
+    where q.vec_id % 100 = 0
+), ranked as (
+    select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 10
+""",
+    "op10_quality": r"""
+with texts as (
+    select row_number() over () as rid, doc_id, coalesce(text, '') as text from documents
+), words as (
+    select rid, doc_id, text, regexp_extract_all(text, '[^ \t\n\x0B\f\r]+') as w,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ \t\n\x0B\f\r]')) as lines
+    from texts
+), places as (
+    select rid, unnest(w) as word, generate_subscripts(w, 1) as pos from words
+), windows as (
+    select rid, pos, word || ' ' || lead(word, 1) over p || ' ' || lead(word, 2) over p || ' ' || lead(word, 3) over p || ' ' || lead(word, 4) over p as five
+    from places window p as (partition by rid order by pos)
+), counted as (
+    select rid, pos, case when five is null then 0 else count(*) over (partition by rid, five) end as n from windows
+), covered as (
+    select rid, max(n) over (partition by rid order by pos rows between 4 preceding and current row) > 1 as again from counted
+), repeats as (
+    select rid, count(*) filter (again) as n_repeat_words from covered group by rid
+), measured as (
+    select doc_id, len(w)::bigint as n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars,
+        (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols,
+        len(lines)::bigint as n_lines, (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
+        coalesce(n_repeat_words, 0)::bigint as n_repeat_words
+    from words left join repeats using (rid)
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+    not (n_words < 10 or 100 * n_repeat_words > 20 * n_words or (n_lines >= 4 and 2 * n_dup_lines > n_lines)
+        or n_symbols > n_words or word_chars > 40 * n_words) as kept
+from measured
+""",
+}
