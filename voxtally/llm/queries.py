@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from voxtally.llm import bpe, packing, quality, shards, simhash, topk, urls
+from voxtally.llm import bpe, packing, quality, shards, simhash, topk, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +41,13 @@ def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    return toxicity.score(docs, model, name="score").select("doc_id", toxicity.held_out().alias("held_out"), "score", predicted)
+
+
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = topk.quantised(_table(spark, sf_dir, "embeddings"))
     return topk.top_k(rows, rows.filter(F.col("id") % 100 == 0))
@@ -58,6 +65,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op4_bpe": op4_bpe,
     "op5_packing": op5_packing,
     "op7_urls": op7_urls,
+    "op8_toxicity": op8_toxicity,
     "op9_topk": op9_topk,
     "op10_quality": op10_quality,
 }
