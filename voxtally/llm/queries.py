@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from voxtally.llm import bpe, packing, quality, shards, simhash, topk, toxicity, urls
+from voxtally.llm import bpe, langid, packing, quality, shards, simhash, topk, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    network = langid.train(docs)
+    return langid.label(docs.drop("lang"), network).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     return urls.judge(pages).select("page_id", "host", "path", "rule", "verdict")
@@ -64,6 +70,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op3_shards": op3_shards,
     "op4_bpe": op4_bpe,
     "op5_packing": op5_packing,
+    "op6_langid": op6_langid,
     "op7_urls": op7_urls,
     "op8_toxicity": op8_toxicity,
     "op9_topk": op9_topk,
