@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from voxtally.llm import bpe, langid, packing, quality, shards, simhash, topk, toxicity, urls
+from voxtally.llm import bpe, langid, packing, pii, quality, shards, simhash, topk, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,13 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(_table(spark, sf_dir, "documents"))
+    counts = [F.expr(f"size(filter(spans, s -> s.kind = {i}))").cast("bigint").alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
+    base = F.sha2(pii.written("spans", "s.strict").cast("binary"), 256)
+    return found.select("doc_id", *counts, base.alias("base_sha256"), pii.written("spans").alias("spans"))
+
+
 def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shards.shard_documents(_table(spark, sf_dir, "documents"))
     return placed.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int"))
@@ -67,6 +74,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op2_pii": op2_pii,
     "op3_shards": op3_shards,
     "op4_bpe": op4_bpe,
     "op5_packing": op5_packing,
