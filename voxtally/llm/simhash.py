@@ -5,7 +5,8 @@ kept in unary (0, 1, 2 as 00, 01, 11), so the Manhattan distance of two such
 vectors is the number of differing bits, and it never exceeds the Hamming
 distance of the fingerprints. Within ``radius`` 3, one half of the segments is at
 Manhattan distance 1 or 0: the range join looks in the own grid cell of each half
-and the cells one step away, and compares the fingerprints found there exactly.
+and the cells one step away, drops what the bound excludes, and compares the
+fingerprints that are left exactly.
 """
 
 from __future__ import annotations
@@ -59,24 +60,28 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", width
     return rows.mapInArrow(run, f"key {kind}, fp bigint")
 
 
+def unary(fp):
+    """Bit counts 0, 1, 2 of the two-bit segments as 00, 01, 11 (numpy array of uint64)."""
+    low = np.uint64(0x5555555555555555)
+    down = fp >> np.uint64(1)
+    return ((fp | down) & low) | ((fp & down & low) << np.uint64(1))
+
+
 def grid_rows(nodes: DataFrame) -> DataFrame:
     """Postings ``half, cell, fp, own``: the own cells of each ``fp`` and those one step away.
 
-    Cells one step apart differ in parity, so only fingerprints in even cells
-    visit their neighbours; every pair within one step still meets exactly there.
+    A cell is the counts of one half, and the order of the two bits where a count
+    is 1, which has to agree in every segment that is the same in both
+    fingerprints; so a cell is named by the half's 32 bits and a step changes the
+    count of one segment by 1. Cells one step apart differ in parity: only
+    fingerprints in even cells visit their neighbours, and every pair within one
+    step still meets exactly there.
     """
-    low = 0x5555555555555555
-    nodes = nodes.withColumn("down", F.shiftrightunsigned("fp", 1))
-    unary = (F.col("fp").bitwiseOR(F.col("down")).bitwiseAND(F.lit(low))).bitwiseOR(
-        F.shiftleft(F.col("fp").bitwiseAND(F.col("down")).bitwiseAND(F.lit(low)), 1)
-    )
-    halves = nodes.select("fp", F.posexplode(F.array(unary.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(unary, 32))).alias("half", "cell"))
-    # In unary the upper bit of a segment may change only while the lower one is set, the lower only while the upper is not.
-    steps = F.expr(
-        "transform(filter(sequence(0, 31), j -> shiftrightunsigned(cell, j ^ 1) % 2 = j % 2), j -> cell ^ shiftleft(1L, j))"
-    )
+    halves = F.array(F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("fp", 32))
+    placed = nodes.select("fp", F.posexplode(halves).alias("half", "cell"))
+    steps = F.expr("transform(sequence(0, 31), j -> cell ^ shiftleft(1L, j))")
     visited = F.when(F.bit_count("cell") % 2 == 0, steps).otherwise(F.array().cast("array<bigint>"))
-    posted = halves.select("fp", "half", F.posexplode(F.concat(F.array("cell"), visited)).alias("step", "cell"))
+    posted = placed.select("fp", "half", F.posexplode(F.concat(F.array("cell"), visited)).alias("step", "cell"))
     return posted.select("half", "cell", "fp", (F.col("step") == 0).alias("own"))
 
 
@@ -84,11 +89,13 @@ def _links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Record
     """Spanning links of each group of rows with the same key; groups come one after the other."""
 
     def group(fps: np.ndarray, own: np.ndarray) -> None:
-        mine = np.flatnonzero(own)
+        mine, counts = np.flatnonzero(own), unary(fps)
         a, b = np.empty(0, np.int64), np.empty(0, np.int64)
         for at in range(0, mine.size, 256):
             some = mine[at : at + 256]
-            i, j = np.nonzero(np.bitwise_count(fps[some, None] ^ fps[None, :]) <= radius)
+            i, j = np.nonzero(np.bitwise_count(counts[some, None] ^ counts[None, :]) <= radius)
+            near = np.bitwise_count(fps[some[i]] ^ fps[j]) <= radius
+            i, j = i[near], j[near]
             a, b = np.concatenate([a, some[i]]), np.concatenate([b, j])
             apart = a != b
             if apart.any():
