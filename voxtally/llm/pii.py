@@ -204,13 +204,13 @@ def train(found: DataFrame, name: str = "candidates") -> Model:
 def spans(found: DataFrame, model: Model, name: str = "candidates", out: str = "spans") -> DataFrame:
     """Replace the candidates by the spans to redact: structs of start, kind, end, strict, by start and then kind.
 
-    All strict spans stay; a wide candidate is added if it passes its threshold
-    and meets neither a strict span nor an earlier added one of its kind.
+    All strict spans stay; another candidate is added if it is well formed, passes
+    its threshold and meets neither a strict span nor an earlier added one of its kind.
     """
     scored = []
     for kind, threshold in enumerate(model.thresholds):
         if threshold < float("inf"):
-            chosen = f"filter({name}, c -> not c.strict and c.kind = {kind} and not exists({name}, s -> s.strict and s.kind = c.kind and s.start < c.end and c.start < s.end))"
+            chosen = f"filter({name}, c -> not c.strict and c.kind = {kind} and {_valid()} and not exists({name}, s -> s.strict and s.kind = c.kind and s.start < c.end and c.start < s.end))"
             described = f"transform({chosen}, c -> named_struct('c', c, 'f', {_described()}))"
             scored.append(f"transform(filter({described}, x -> {model.score_sql('x.f', kind)} >= {threshold!r}D), x -> x.c)")
     slim = "named_struct('start', c.start, 'kind', c.kind, 'end', c.end, 'strict', c.strict)"
