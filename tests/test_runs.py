@@ -9,7 +9,7 @@ import pytest
 import yaml
 
 from voxtally import __main__ as cli
-from voxtally.config import ConfigError, build_config, load_config
+from voxtally.config import ConfigError, biomarker, build_config, load_config
 from voxtally.plans import brain_runs, journal
 from voxtally.schema import VolumeMeta
 from voxtally.sources import tables
@@ -84,10 +84,20 @@ def test_registered_run(spark, tmp_path):
     folder = tmp_path / "out" / "cFos"
     again = brain_runs.run_brain(spark, config)["cFos"]
     assert again["redraw"] == done["redraw"] and again["roi_extract"] is None
-    logs = [p.name.split("_2")[0] for p in sorted((folder / "logs").glob("*.params.json"))]
-    assert logs.count("detect") == 1 and logs.count("redraw") == 1 and logs.count("filter") == 2
+    tried = {r.step: r["count"] for r in journal.attempts(spark, folder).groupBy("step").count().collect()}
+    assert tried == {"detect": 1, "filter": 2, "assign_regions": 2, "report": 2, "roi_extract": 1, "redraw": 1}
+    assert len(list((folder / "logs").glob("redraw-*.log"))) == 1
     assert len(tables.list_backups(done["cells_path"], "filter")) == 2
-    assert journal.read_manifest(folder)["stages"]["report"]["status"] == "completed"
+    assert json.loads((folder / "manifest.json").read_text())["stages"]["report"]["outcome"] == "done"
+
+    # An annotation of another shape draws the atlas mask again.
+    wider = np.zeros((6, 10, 10), "uint32")
+    wider[:, :, :5], wider[:, :, 5:] = 10, 20
+    store(spark, tmp_path, "annotation", wider)
+    raw = raw_config(tmp_path, *paths[:2])
+    third = brain_runs.run_brain(spark, build_config(raw))["cFos"]
+    assert open_volume(spark, third["redraw"]["atlas"]).meta.shape == (10, 6, 10)
+    assert journal.attempts(spark, folder).filter("step = 'redraw'").count() == 2
 
 
 def test_unregistered_run_and_cli(spark, tmp_path, capsys):
@@ -107,8 +117,8 @@ def test_unregistered_run_and_cli(spark, tmp_path, capsys):
     raw["biomarkers"]["cFos"]["filter"]["min_volume_voxels"] = 20
     again = brain_runs.run_brain(spark, build_config(raw))["cFos"]
     assert again["filter"] == {"total": 3, "passed": 3}
-    names = [p.name.split("_2")[0] for p in (tmp_path / "out" / "cFos" / "logs").glob("*.params.json")]
-    assert names.count("detect") == 2 and names.count("redraw") == 2
+    tried = [r.step for r in journal.attempts(spark, tmp_path / "out" / "cFos").collect()]
+    assert tried.count("detect") == 2 and tried.count("redraw") == 2
     assert open_volume(spark, again["redraw_path"]).voxels().count() == 3
     with pytest.raises(ValueError):
         brain_runs.run_registered(spark, build_config(raw))
@@ -182,24 +192,23 @@ def test_config_order_and_defaults(tmp_path):
         (tmp_path / f"{name}.yaml").write_text(yaml.safe_dump(content))
     config = load_config(tmp_path / "own.yaml", tmp_path / "shared.yaml")
     assert list(config.biomarkers) == ["cFos"]
-    assert (config.biomarker("cFos").filter.min_volume_voxels, config.biomarker("cFos").filter.max_volume_voxels) == (30, 77)
+    bounds = biomarker(config, "cFos").filter
+    assert (bounds.min_volume_voxels, bounds.max_volume_voxels) == (30, 77)
+    assert config.biomarkers.cFos.detection.merge == "exact" and config.colocalization.pairs == ()
     with pytest.raises(ConfigError):
-        config.biomarker("TH")
-
-
-def test_journal(tmp_path):
-    with journal.StageRun("detect", tmp_path) as run:
-        run.result("n", 3)
-    with pytest.raises(RuntimeError):
-        with journal.StageRun("detect", tmp_path):
-            raise RuntimeError("boom")
-    manifest = journal.read_manifest(tmp_path)
-    assert manifest["stages"]["detect"]["results"] == {"n": 3}
-    assert manifest["last_attempt"]["detect"]["error"] == "RuntimeError: boom"
-    (tmp_path / "manifest.json").write_text("{")
-    assert journal.read_manifest(tmp_path) == {}
-    print_file = tmp_path / "x"
-    assert journal.file_fingerprint(print_file) is None
-    print_file.write_text("a")
-    assert journal.same_fingerprint(journal.file_fingerprint(print_file), journal.file_fingerprint(print_file))
-    assert not journal.same_fingerprint(None, None)
+        biomarker(config, "TH")
+
+
+def test_journal(spark, tmp_path):
+    assert journal.attempts(spark, tmp_path).count() == 0 and not journal.is_current(spark, tmp_path, "detect", "x", [])
+    with journal.attempt(spark, tmp_path, "detect", {"mask": "m"}, "x") as results:
+        results["n"] = 3
+    with pytest.raises(RuntimeError), journal.attempt(spark, tmp_path, "detect", {}, "y"):
+        raise RuntimeError("boom")
+    found = journal.export(spark, tmp_path)
+    assert found["stages"]["detect"]["results"] == {"n": "3"} and found["last_attempt"]["detect"]["error"] == "RuntimeError: boom"
+    assert json.loads((tmp_path / "manifest.json").read_text()) == found
+    assert journal.is_current(spark, tmp_path, "detect", "x", [str(tmp_path)])
+    assert not journal.is_current(spark, tmp_path, "detect", "y", []) and not journal.is_current(spark, tmp_path, "detect", "x", ["/no"])
+    logs = [p.read_text() for p in (tmp_path / "logs").iterdir()]
+    assert len(logs) == 2 and sum("boom" in text for text in logs) == 1

@@ -1,7 +1,9 @@
-"""Whole runs over one brain: detect, filter, assign, report, extract, redraw.
+"""Whole runs over one brain, as lists of steps.
 
-Stages are lazy DataFrame chains; cells are written once after detection and
-once after filtering and assignment together.
+A step names what it is made from and what it puts out; it is skipped while its
+outputs are there and were made from the same things. Steps are lazy DataFrame
+chains; cells are written once after detection and once after filtering and
+assignment together.
 """
 
 from __future__ import annotations
@@ -9,17 +11,21 @@ from __future__ import annotations
 import logging
 import os
 import shutil
+import uuid
+from collections.abc import Callable
+from dataclasses import dataclass, field
+from functools import cached_property
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxtally.config import Biomarker, RunConfig
+from voxtally.config import Settings
 from voxtally.operators import atlas, coloc, filtering, report, volume
 from voxtally.operators.components import detect_cells
 from voxtally.operators.structures import Region, find_region, subtree_ids
-from voxtally.plans.journal import StageRun, cells_fingerprint, read_manifest, same_fingerprint
+from voxtally.plans import journal
 from voxtally.schema import Shape, VolumeMeta
-from voxtally.session import cut_lineage, shared_folder
+from voxtally.session import cut_lineage, drop_written, shared_folder
 from voxtally.sources import tables
 from voxtally.sources.reader import Volume, open_volume
 from voxtally.sources.writer import expected_output_path, write_volume
@@ -27,55 +33,6 @@ from voxtally.sources.writer import expected_output_path, write_volume
 log = logging.getLogger(__name__)
 
 
-def _detect(spark: SparkSession, config: RunConfig, mark: Biomarker, mask: Volume, folder: Path) -> str:
-    path = str(folder / "cells.parquet")
-    if tables.is_complete(spark, path):
-        log.info("%s: cells are complete, detection skipped", mark.name)
-        return path
-    with StageRun("detect", folder, config={"biomarker": mark.name, "brain_id": config.brain.id}) as run:
-        run.input("mask_path", mark.mask_path)
-        found = detect_cells(
-            mask.blocks(), mask.meta, mark.name, config.brain.id, run.run_id, config.brain.voxel_size_um,
-            connectivity=mark.detection.connectivity, z_chunk=mark.detection.z_chunk,
-        )
-        tables.write_cells(found, path)
-        run.result("cells_detected", tables.read_cells(spark, path).count())
-    return path
-
-
-def _filtered(spark: SparkSession, path: str, mark: Biomarker) -> DataFrame:
-    cells = tables.read_cells(spark, path)
-    return filtering.apply_volume_filter(cells, mark.name, mark.filter.min_volume_voxels, mark.filter.max_volume_voxels)
-
-
-def _filter_summary(cells: DataFrame, mark: Biomarker) -> dict:
-    return filtering.filter_summary(cells, mark.name).first().asDict()
-
-
-def _redraw(spark: SparkSession, path: str, mark: Biomarker, folder: Path, native: Shape, to_atlas: Shape | None) -> dict:
-    """Redraw unless the outputs exist and were made from the same cells."""
-    cells = tables.read_cells(spark, path, mark.name, True, ["biomarker", "passed_filter", "z", "y", "x"])
-    plans = {"native": (f"{mark.name}_redraw_native", "scroll-tiff", native)}
-    if to_atlas:
-        plans["atlas"] = (f"{mark.name}_redraw_atlas", "zarr", to_atlas)
-    outputs = {k: expected_output_path(str(folder), name, kind) for k, (name, kind, _) in plans.items()}
-    current = cells_fingerprint(cells)
-    last = read_manifest(folder).get("stages", {}).get("redraw", {}).get("fingerprints", {}).get("cells")
-    if all(os.path.exists(p) for p in outputs.values()) and same_fingerprint(last, current):
-        log.info("%s: cells unchanged, redraw skipped", mark.name)
-        return outputs
-    with StageRun("redraw", folder, config={"biomarker": mark.name}) as run:
-        run.fingerprint("cells", current)
-        for key, (name, kind, shape) in plans.items():
-            if key == "native":
-                drawn = volume.redraw_native(cells, mark.name, shape)
-            else:
-                drawn = volume.redraw_atlas(cells, mark.name, native, shape)
-            write_volume(drawn, VolumeMeta(shape, "uint8"), str(folder), name, kind)
-            run.result(f"{key}_redraw_path", outputs[key])
-    return outputs
-
-
 def extract_region(
     annotation: DataFrame,
     atlas_shape: Shape,
@@ -117,113 +74,213 @@ def extract_regions(
     return out
 
 
+@dataclass
+class Atlas:
+    """What all biomarkers of a registered brain share."""
+
+    shape: Shape
+    regions: DataFrame
+    labels: DataFrame
+    structures: DataFrame
+    geometry: DataFrame
+    has_sides: bool
+
+
+@dataclass
+class Desk:
+    """One biomarker on its way through the steps; steps leave what the next ones need."""
+
+    spark: SparkSession
+    config: Settings
+    mark: Settings
+    folder: Path
+    atlas: Atlas | None = None
+    roi: list[str] = field(default_factory=list)
+    system: dict = field(default_factory=dict)
+    out: dict = field(default_factory=dict)
+    filtered: DataFrame | None = None
+
+    @cached_property
+    def mask(self) -> Volume:
+        return open_volume(self.spark, self.mark.mask_path)
+
+    @property
+    def cells_path(self) -> str:
+        return str(self.folder / "cells.parquet")
+
+    def cells(self, *columns: str, passed: bool | None = None) -> DataFrame:
+        return tables.read_cells(self.spark, self.cells_path, self.mark.name if columns else None, passed, list(columns) or None)
+
+    def file(self, suffix: str) -> str:
+        return str(self.folder / f"{self.mark.name}_{suffix}")
+
+
+@dataclass(frozen=True)
+class Step:
+    """``work`` does it and returns results; with ``made_from`` it is skipped while ``outputs`` are current."""
+
+    name: str
+    work: Callable[[Desk], dict]
+    made_from: Callable[[Desk], str] | None = None
+    outputs: Callable[[Desk], list[str]] = lambda desk: []
+    wanted: Callable[[Desk], bool] = lambda desk: True
+
+
+def detect(desk: Desk) -> dict:
+    mask, how, brain, run_id = desk.mask, desk.mark.detection, desk.config.brain, uuid.uuid4().hex[:8]
+    found = detect_cells(
+        mask.blocks(), mask.meta, desk.mark.name, brain.id, run_id, brain.voxel_size_um,
+        connectivity=how.connectivity, merge=how.merge, z_chunk=how.z_chunk,
+    )
+    tables.write_cells(found, desk.cells_path)
+    return {"run_id": run_id, "cells_detected": desk.cells().count()}
+
+
+def filter_cells(desk: Desk) -> dict:
+    bounds = desk.mark.filter
+    desk.filtered = filtering.apply_volume_filter(desk.cells(), desk.mark.name, bounds.min_volume_voxels, bounds.max_volume_voxels)
+    if desk.atlas is None:
+        tables.write_cells(desk.filtered, desk.cells_path, stage="filter")
+        desk.filtered = desk.cells()
+    desk.out["filter"] = filtering.filter_summary(desk.filtered, desk.mark.name).first().asDict()
+    return desk.out["filter"]
+
+
+def assign_cells(desk: Desk) -> dict:
+    shared = desk.atlas
+    halves = desk.config.registration.cells_midline and not shared.has_sides
+    cells = atlas.assign_regions(desk.filtered, shared.labels, desk.mask.meta.shape, shared.shape, desk.mark.name, halves)
+    tables.write_cells(cells, desk.cells_path, stage="filter")
+    desk.out["assign_regions"] = atlas.assigned_count(desk.cells(), desk.mark.name).first().asDict()
+    return desk.out["assign_regions"]
+
+
+def report_regions(desk: Desk) -> dict:
+    shared, target = desk.atlas, None
+    tiered = cut_lineage(report.tiered_cell_report(desk.cells(), shared.structures, shared.geometry, desk.mark.name), "report")
+    if desk.system:
+        words = {"keywords": [], "acronyms": [], "exact_acronym_match": False, "cell_threshold": 0}
+        target = report.target_summary(tiered, *[desk.system.get(k, default) for k, default in words.items()])
+    path = desk.out["report_path"] = desk.file("region_report.xlsx")
+    tables.write_tiered_report(tiered, path, target)
+    drop_written(tiered)
+    return {"report_path": path}
+
+
+def report_brain(desk: Desk) -> dict:
+    path = desk.out["report_path"] = desk.file("whole_brain_report.csv")
+    tables.write_csv(report.whole_brain_report(desk.cells()), path)
+    return {"report_path": path, "total_cells": desk.cells().filter("passed_filter").count()}
+
+
+def extract_rois(desk: Desk) -> dict:
+    shared = desk.atlas
+    found = extract_regions(shared.regions, shared.shape, shared.structures, desk.roi, desk.mask.meta.shape, str(desk.folder / "roi_extract"))
+    desk.out["roi_extract"] = found
+    return {name: str(part["output_path"]) for name, part in found.items()}
+
+
+def redraw_outputs(desk: Desk) -> dict[str, tuple[str, str, Shape]]:
+    """By kind: name, storage and shape of each redraw."""
+    kinds = {"native": (f"{desk.mark.name}_redraw_native", "scroll-tiff", desk.mask.meta.shape)}
+    if desk.atlas:
+        kinds["atlas"] = (f"{desk.mark.name}_redraw_atlas", "zarr", desk.atlas.shape)
+    return kinds
+
+
+def redraw_paths(desk: Desk) -> dict[str, str]:
+    return {kind: expected_output_path(str(desk.folder), name, storage) for kind, (name, storage, _) in redraw_outputs(desk).items()}
+
+
+def redraw_cells(desk: Desk) -> DataFrame:
+    return desk.cells("biomarker", "passed_filter", "z", "y", "x", passed=True)
+
+
+def redraw(desk: Desk) -> dict:
+    native = desk.mask.meta.shape
+    for kind, (name, storage, shape) in redraw_outputs(desk).items():
+        cells = redraw_cells(desk)
+        drawn = volume.redraw_native(cells, desk.mark.name, shape) if kind == "native" else volume.redraw_atlas(cells, desk.mark.name, native, shape)
+        write_volume(drawn, VolumeMeta(shape, "uint8"), str(desk.folder), name, storage)
+    return redraw_paths(desk)
+
+
+DETECT = Step("detect", detect)
+FILTER = Step("filter", filter_cells)
+REDRAW = Step(
+    "redraw", redraw,
+    made_from=lambda desk: f"{journal.cells_digest(redraw_cells(desk))} {sorted(redraw_outputs(desk).items())}",
+    outputs=lambda desk: list(redraw_paths(desk).values()),
+)
+REGISTERED = (
+    DETECT, FILTER, Step("assign_regions", assign_cells), Step("report", report_regions),
+    Step("roi_extract", extract_rois, wanted=lambda desk: bool(desk.roi)), REDRAW,
+)
+UNREGISTERED = (DETECT, FILTER, Step("report", report_brain), REDRAW)
+
+
+def run_steps(desk: Desk, steps: tuple[Step, ...]) -> dict:
+    spark, folder = desk.spark, desk.folder
+    folder.mkdir(parents=True, exist_ok=True)
+    for step in steps:
+        if not step.wanted(desk):
+            continue
+        made_from = step.made_from(desk) if step.made_from else ""
+        # Detection is current while its table is whole: later steps rewrite that table.
+        current = tables.is_complete(spark, desk.cells_path) if step is DETECT else step.made_from and journal.is_current(spark, folder, step.name, made_from, step.outputs(desk))
+        if current:
+            log.info("%s: %s is current", desk.mark.name, step.name)
+            continue
+        with journal.attempt(spark, folder, step.name, {"biomarker": desk.mark.name, "mask_path": desk.mark.mask_path}, made_from) as results:
+            results.update(step.work(desk))
+    journal.export(spark, folder)
+    return {"cells_path": desk.cells_path, **desk.out}
+
+
 def run_registered(
     spark: SparkSession,
-    config: RunConfig,
+    config: Settings,
     output_dir=None,
     roi_acronyms: list[str] | None = None,
     functional_system: dict | None = None,
-    cells_midline: bool = False,
-    atlas_voxel_size_um: tuple[float, float, float] | None = None,
 ) -> dict:
     """All biomarkers of a brain with an annotation.
 
     Volumes are atlas voxels times ``voxel_size_um`` of the native grid unless
-    ``atlas_voxel_size_um`` gives the true size of an atlas voxel.
+    ``registration.atlas_voxel_size_um`` gives the true size of an atlas voxel.
     """
-    reg = config.registration
-    if not config.brain.needs_registration or reg is None:
+    if not config.brain.needs_registration:
         raise ValueError(f"brain {config.brain.id} is not registered")
-    out = Path(output_dir or config.paths.output_dir)
+    reg = config.registration
     structures = tables.read_structures(spark, config.paths.structures_csv)
     annotation = open_volume(spark, reg.annotation_path, reg.transpose_order)
     sides = open_volume(spark, reg.hemisphere_path, reg.transpose_order) if reg.hemisphere_path else None
     labels = cut_lineage(atlas.label_table(annotation.voxels(), sides.voxels() if sides else None), "labels")
     midline = None if sides else annotation.meta.shape[2] // 2
-    size = atlas_voxel_size_um or config.brain.voxel_size_um
-    geometry = cut_lineage(report.geometry_report(labels, structures, size, midline), "geometry")
+    geometry = cut_lineage(report.geometry_report(labels, structures, reg.atlas_voxel_size_um or config.brain.voxel_size_um, midline), "geometry")
     regions = labels.selectExpr("z", "y", "x", "region_id as value").filter("value <> 0")
-
+    shared = Atlas(annotation.meta.shape, regions, labels, structures, geometry, sides is not None)
     results = {}
     for name, mark in config.biomarkers.items():
-        folder = out / name
-        folder.mkdir(parents=True, exist_ok=True)
-        mask = open_volume(spark, mark.mask_path)
-        native = mask.meta.shape
-        path = _detect(spark, config, mark, mask, folder)
-
-        with StageRun("filter", folder, config={"biomarker": name}) as run:
-            cells = _filtered(spark, path, mark)
-            summary = _filter_summary(cells, mark)
-            run.result("filter_summary", summary)
-        with StageRun("assign_regions", folder, config={"biomarker": name}) as run:
-            cells = atlas.assign_regions(cells, labels, native, annotation.meta.shape, name, cells_midline and not sides)
-            tables.write_cells(cells, path, stage="filter")
-            cells = tables.read_cells(spark, path)
-            assigned = atlas.assigned_count(cells, name).first().asDict()
-            run.result("assign_summary", assigned)
-
-        report_path = str(folder / f"{name}_region_report.xlsx")
-        with StageRun("report", folder, config={"biomarker": name, "functional_system": functional_system}) as run:
-            tiered = cut_lineage(report.tiered_cell_report(cells, structures, geometry, name), "report")
-            target = None
-            if functional_system:
-                target = report.target_summary(
-                    tiered,
-                    functional_system.get("keywords", []),
-                    functional_system.get("acronyms", []),
-                    functional_system.get("exact_acronym_match", False),
-                    functional_system.get("cell_threshold", 0),
-                )
-            tables.write_tiered_report(tiered, report_path, target)
-            run.result("report_path", report_path)
-
-        roi = None
-        if roi_acronyms:
-            with StageRun("roi_extract", folder, config={"biomarker": name, "acronyms": roi_acronyms}) as run:
-                roi = extract_regions(
-                    regions, annotation.meta.shape, structures, roi_acronyms, native, str(folder / "roi_extract")
-                )
-                run.result("roi_results", {k: v["output_path"] for k, v in roi.items()})
-
-        results[name] = {
-            "cells_path": path,
-            "filter": summary,
-            "assign_regions": assigned,
-            "report_path": report_path,
-            "roi_extract": roi,
-            "redraw": _redraw(spark, path, mark, folder, native, annotation.meta.shape),
-        }
+        desk = Desk(spark, config, mark, Path(output_dir or config.paths.output_dir) / name, shared, roi_acronyms or [], functional_system or {})
+        results[name] = {"roi_extract": None, **run_steps(desk, REGISTERED), "redraw": redraw_paths(desk)}
+    drop_written(labels)
+    drop_written(geometry)
     return results
 
 
-def run_unregistered(spark: SparkSession, config: RunConfig, output_dir=None) -> dict:
+def run_unregistered(spark: SparkSession, config: Settings, output_dir=None) -> dict:
     """All biomarkers of a brain without an annotation: whole-brain counts only."""
     if config.brain.needs_registration:
         raise ValueError(f"brain {config.brain.id} is registered")
-    out = Path(output_dir or config.paths.output_dir)
     results = {}
     for name, mark in config.biomarkers.items():
-        folder = out / name
-        folder.mkdir(parents=True, exist_ok=True)
-        mask = open_volume(spark, mark.mask_path)
-        path = _detect(spark, config, mark, mask, folder)
-        with StageRun("filter", folder, config={"biomarker": name}) as run:
-            tables.write_cells(_filtered(spark, path, mark), path, stage="filter")
-            cells = tables.read_cells(spark, path)
-            summary = _filter_summary(cells, mark)
-            run.result("filter_summary", summary)
-        report_path = str(folder / f"{name}_whole_brain_report.csv")
-        with StageRun("report", folder, config={"biomarker": name}) as run:
-            tables.write_csv(report.whole_brain_report(cells), report_path)
-            run.result("report_path", report_path)
-            run.result("total_cells", cells.filter("passed_filter").count())
-        redrawn = _redraw(spark, path, mark, folder, mask.meta.shape, None)["native"]
-        results[name] = {"cells_path": path, "filter": summary, "report_path": report_path, "redraw_path": redrawn}
+        desk = Desk(spark, config, mark, Path(output_dir or config.paths.output_dir) / name)
+        results[name] = {**run_steps(desk, UNREGISTERED), "redraw_path": redraw_paths(desk)["native"]}
     return results
 
 
-def run_brain(spark: SparkSession, config: RunConfig, output_dir=None, roi_acronyms=None, functional_system=None) -> dict:
+def run_brain(spark: SparkSession, config: Settings, output_dir=None, roi_acronyms=None, functional_system=None) -> dict:
     if config.brain.needs_registration:
         return run_registered(spark, config, output_dir, roi_acronyms, functional_system)
     if roi_acronyms or functional_system:

@@ -1,130 +1,102 @@
-"""What each stage did: log file, parameter sidecar and a manifest per folder."""
+"""The steps that ran on a folder, as a table: one row for every attempt, appended and never changed.
+
+What was tried last, what succeeded last and whether a step's outputs are still
+current are queries over this table. ``export`` writes their answer as the JSON
+summary that people and scripts read. Capturing log lines is separate.
+"""
 
 from __future__ import annotations
 
+import contextlib
 import json
 import logging
 import os
 import time
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-log = logging.getLogger(__name__)
+# File and key names that readers of the summary know.
+TABLE, SUMMARY, LOGS = "runs.parquet", "manifest.json", "logs"
+SUMMARY_KEYS = {"good": "stages", "tried": "last_attempt"}
+ROW = (
+    "step string, run string, began double, seconds double, outcome string, error string, made_from string, "
+    "inputs map<string,string>, results map<string,string>"
+)
 
-MANIFEST = "manifest.json"
 
+def attempts(spark: SparkSession, folder) -> DataFrame:
+    """All attempts, oldest first in ``began``; an untouched folder has none."""
+    path = os.path.join(folder, TABLE)
+    return spark.read.schema(ROW).parquet(path) if os.path.isdir(path) else spark.createDataFrame([], ROW)
 
-def _plain(value):
-    if isinstance(value, (set, frozenset)):
-        return sorted(value)
-    return vars(value) if hasattr(value, "__dict__") and not isinstance(value, Path) else str(value)
 
+def latest(rows: DataFrame, good: bool = False) -> DataFrame:
+    """The last attempt, or the last one that succeeded, of every step."""
+    rows = rows.filter("outcome = 'done'") if good else rows
+    newest = F.max_by(F.struct(*rows.columns), F.struct("began", "run")).alias("row")
+    return rows.groupBy("step").agg(newest).select("row.*")
 
-def write_json(path: Path, content: dict) -> None:
-    """Whole or not at all: written beside the target, then renamed."""
-    temp = path.with_name(f".tmp-{uuid.uuid4().hex[:8]}-{path.name}")
-    try:
-        temp.write_text(json.dumps(content, indent=2, default=_plain), encoding="utf-8")
-        os.replace(temp, path)
-    finally:
-        temp.unlink(missing_ok=True)
 
-
-def read_manifest(folder) -> dict:
-    """The manifest of a folder; missing or damaged ones read as empty."""
-    try:
-        return json.loads((Path(folder) / MANIFEST).read_text(encoding="utf-8"))
-    except FileNotFoundError:
-        return {}
-    except (OSError, ValueError) as error:
-        log.warning("%s: unreadable manifest (%s)", folder, error)
-        return {}
-
-
-def update_manifest(folder, stage: str, record: dict, success: bool) -> None:
-    """Note every attempt; a failed one leaves the last good record alone."""
-    Path(folder).mkdir(parents=True, exist_ok=True)
-    manifest = {"manifest_version": 1, "stages": {}, "last_attempt": {}, **read_manifest(folder)}
-    manifest["last_attempt"][stage] = record
-    if success:
-        manifest["stages"][stage] = record
-    manifest["updated_at"] = record.get("timestamp")
-    write_json(Path(folder) / MANIFEST, manifest)
-
-
-def file_fingerprint(path) -> dict | None:
-    try:
-        stat = os.stat(path)
-    except FileNotFoundError:
-        return None
-    return {"mtime_ns": stat.st_mtime_ns, "size": stat.st_size}
+def is_current(spark: SparkSession, folder, step: str, made_from: str, outputs: list[str]) -> bool:
+    """Whether the outputs are there and the last good attempt made them from the same things."""
+    if not all(map(os.path.exists, outputs)):
+        return False
+    return not latest(attempts(spark, folder), good=True).filter((F.col("step") == step) & (F.col("made_from") == made_from)).isEmpty()
 
 
-def cells_fingerprint(cells: DataFrame) -> dict:
-    """Content fingerprint, the same for the same rows in any files or order."""
+def cells_digest(cells: DataFrame) -> str:
+    """Digest of the content, the same for the same rows in any files or order."""
     row_hash = F.xxhash64(*sorted(cells.columns)).cast("decimal(38,0)")
-    count, total = cells.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_hash), F.lit(0))).first()
-    return {"rows": count, "hash": str(total)}
-
-
-def same_fingerprint(recorded: dict | None, current: dict | None) -> bool:
-    """Stale whenever either side is missing."""
-    return bool(recorded) and recorded == current
-
-
-class StageRun:
-    """Context of one stage; errors are recorded and passed on."""
-
-    def __init__(self, stage: str, folder, run_id: str | None = None, config: dict | None = None, level=logging.INFO):
-        self.stage, self.folder, self.level = stage, Path(folder), level
-        self.run_id = run_id or uuid.uuid4().hex[:8]
-        self.record = {
-            "stage": stage, "run_id": self.run_id, "timestamp": time.strftime("%Y%m%d-%H%M%S"), "status": "not_started",
-            "duration_s": None, "error": None, "config": config or {}, "inputs": {}, "results": {}, "fingerprints": {},
-        }
-        base = f"{stage}_{self.record['timestamp']}_{self.run_id}"
-        self.log_path = self.folder / "logs" / f"{base}.log"
-        self.params_path = self.folder / "logs" / f"{base}.params.json"
-        self.record["log_path"] = str(self.log_path)
-
-    def input(self, key: str, value) -> None:
-        self.record["inputs"][key] = value
-
-    def result(self, key: str, value) -> None:
-        self.record["results"][key] = value
-
-    def fingerprint(self, key: str, value: dict | None) -> None:
-        self.record["fingerprints"][key] = value
-
-    def __enter__(self) -> StageRun:
-        self.log_path.parent.mkdir(parents=True, exist_ok=True)
-        self.handler = logging.FileHandler(self.log_path, encoding="utf-8")
-        self.handler.setLevel(self.level)
-        self.handler.setFormatter(logging.Formatter("%(asctime)s %(levelname)s [%(name)s] %(message)s"))
-        root = logging.getLogger()
-        root.addHandler(self.handler)
-        if root.level == logging.NOTSET or root.level > self.level:
-            root.setLevel(self.level)
-        self.started = time.time()
-        self.record["status"] = "running"
-        log.info("stage %s started, run %s", self.stage, self.run_id)
-        return self
-
-    def __exit__(self, kind, error, _) -> bool:
-        failed = kind is not None
-        self.record["duration_s"] = time.time() - self.started
-        self.record["status"] = "failed" if failed else "completed"
-        self.record["error"] = f"{kind.__name__}: {error}" if failed else None
-        log.log(logging.ERROR if failed else logging.INFO, "stage %s %s", self.stage, self.record["status"])
+    return ":".join(map(str, cells.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_hash), F.lit(0))).first()))
+
+
+def export(spark: SparkSession, folder) -> dict:
+    """Write the summary of a folder from its table, whole or not at all."""
+    rows = attempts(spark, folder)
+    found = {key: {r.step: r.asDict() for r in latest(rows, kind == "good").collect()} for kind, key in SUMMARY_KEYS.items()}
+    target = Path(folder) / SUMMARY
+    part = target.with_suffix(f".{uuid.uuid4().hex[:8]}")
+    part.write_text(json.dumps(found, indent=1, sort_keys=True))
+    part.replace(target)
+    return found
+
+
+@contextlib.contextmanager
+def log_lines(path: Path, level: int = logging.INFO) -> Iterator[None]:
+    """Also write this package's log lines to a file while the context is open."""
+    path.parent.mkdir(parents=True, exist_ok=True)
+    own = logging.getLogger("voxtally")
+    before, sink = own.level, logging.FileHandler(path, encoding="utf-8")
+    sink.setFormatter(logging.Formatter("%(asctime)s %(levelname)s %(message)s"))
+    own.addHandler(sink)
+    own.setLevel(min(level, before or level))
+    try:
+        yield
+    finally:
+        own.removeHandler(sink)
+        own.setLevel(before)
+        sink.close()
+
+
+@contextlib.contextmanager
+def attempt(spark: SparkSession, folder, step: str, inputs: dict | None = None, made_from: str = "") -> Iterator[dict]:
+    """Run the body as one attempt: put results into the yielded mapping; an error is recorded and goes on."""
+    run, began, results = uuid.uuid4().hex[:8], time.time(), {}
+    outcome, error = "failed", None
+    os.makedirs(folder, exist_ok=True)
+    with log_lines(Path(folder) / LOGS / f"{step}-{time.strftime('%Y%m%dT%H%M%S', time.gmtime(began))}-{run}.log"):
         try:
-            write_json(self.params_path, self.record)
-            update_manifest(self.folder, self.stage, self.record, not failed)
-        except OSError as problem:
-            log.warning("stage %s: could not record the run (%s)", self.stage, problem)
+            yield results
+            outcome = "done"
+        except BaseException as problem:
+            error = f"{type(problem).__name__}: {problem}"
+            logging.getLogger(__name__).error("%s failed: %s", step, error)
+            raise
         finally:
-            logging.getLogger().removeHandler(self.handler)
-            self.handler.close()
-        return False
+            words = [{k: v if isinstance(v, str) else json.dumps(v, default=str) for k, v in (m or {}).items()} for m in (inputs, results)]
+            row = (step, run, began, time.time() - began, outcome, error, made_from, *words)
+            spark.createDataFrame([row], ROW).coalesce(1).write.mode("append").parquet(os.path.join(folder, TABLE))
