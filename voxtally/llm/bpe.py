@@ -23,17 +23,22 @@ from pyspark.sql import functions as F
 
 from voxtally.session import ship_package
 
-MAX_STATES = 200_000  # the transducer is rebuilt beyond that; results do not depend on it
-MAX_WORDS = 300_000  # so many encoded words are remembered
+MAX_STATES = 400_000  # the transducer is rebuilt beyond that; results do not depend on it
+MAX_WORDS = 600_000  # so many encoded words are remembered
 LONG_WORD = 48  # words above so many characters are not remembered
 DECODE_CHUNK = 8192  # tokens decoded at once
 
 
+NEVER = 1 << 60
+
+
 class _State:
-    __slots__ = ("prev", "pending", "last", "next", "tail")
+    """``last`` holds the last token of each prefix of ``pending``; ``heads`` the starts a later token can take."""
 
-    def __init__(self, prev: int, pending: bytes, last: tuple[int, ...]):
-        self.prev, self.pending, self.last = prev, pending, last
+    __slots__ = ("prev", "pending", "last", "heads", "next", "tail")
+
+    def __init__(self, prev: int, pending: bytes, last: tuple[int, ...], heads: tuple[int, ...]):
+        self.prev, self.pending, self.last, self.heads = prev, pending, last, heads
         self.next: dict[int, tuple[_State, tuple[int, ...]]] = {}
         self.tail: tuple[int, ...] | None = None
 
@@ -44,60 +49,70 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.spelled = {i: t for t, i in ranks.items()}
-        self.longest = max(map(len, ranks), default=1)
+        self.width = {i: len(t) for t, i in ranks.items()}
         self.open = {t[:k] for t in ranks for k in range(len(t))}
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.states: dict[tuple[int, bytes], _State] = {}
-        self.start = self._state(-1, b"", ())
+        self._restart()
+
+    def _restart(self) -> None:
+        self.start = _State(-1, b"", (), (0,))
+        self.states = {(-1, b""): self.start}
 
     def _merged(self, word: bytes) -> list[int]:
         """Merging by definition, for short strings: lowest rank first, leftmost among equals."""
+        rank = self.ranks.get
         parts = [word[i : i + 1] for i in range(len(word))]
-        while len(parts) > 1:
-            rank, at = min((self.ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
-            if rank == 1 << 60:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        costs = [rank(word[i : i + 2], NEVER) for i in range(len(word) - 1)]
+        while costs and (least := min(costs)) < NEVER:
+            at = costs.index(least)
+            parts[at] += parts.pop(at + 1)
+            del costs[at]
+            if at < len(costs):
+                costs[at] = rank(parts[at] + parts[at + 1], NEVER)
+            if at:
+                costs[at - 1] = rank(parts[at - 1] + parts[at], NEVER)
         return [self.ranks[p] for p in parts]
 
     def _follows(self, before: int, token: int) -> bool:
         """Whether ``token`` may stand after ``before`` (-1: at the start of a word)."""
         known = self.pairs.get((before, token))
         if known is None:
-            head = [] if before < 0 else [before]
-            word = b"".join(self.spelled[t] for t in [*head, token])
-            if len(self.pairs) > MAX_STATES:
+            if len(self.pairs) > 2 * MAX_STATES:
                 self.pairs.clear()
-            known = self.pairs[before, token] = self._merged(word) == [*head, token]
+            expected = [token] if before < 0 else [before, token]
+            known = self.pairs[before, token] = self._merged(b"".join([self.spelled[t] for t in expected])) == expected
         return known
 
-    def _state(self, prev: int, pending: bytes, last: tuple[int, ...]) -> _State:
-        state = self.states.get((prev, pending))
-        if state is None:
-            state = self.states[prev, pending] = _State(prev, pending, last)
-        return state
-
     def _step(self, state: _State, byte: int) -> tuple[_State, tuple[int, ...]]:
         pending = state.pending + bytes((byte,))
-        n, last, ranks = len(pending), state.last, self.ranks
-        for start in range(max(0, n - self.longest), n):
-            token = ranks.get(pending[start:])
-            if token is not None and self._follows(last[start - 1] if start else state.prev, token):
-                break
+        n, last, ranks, width = len(pending), state.last, self.ranks, self.width
+        token, heads = None, [n]
+        for start in state.heads:
+            ending = pending[start:]
+            if ending in self.open:
+                heads.append(start)
+            if token is None:
+                token = ranks.get(ending)
+                if token is not None and not self._follows(last[start - 1] if start else state.prev, token):
+                    token = None
         last = (*last, token)
-        # Starts that a later token can take; walking the rightmost back until one is left finds where all agree.
-        heads = {s for s in range(max(0, n - self.longest), n + 1) if pending[s:] in self.open}
-        while len(heads) > 1:
-            end = max(heads)
-            heads.remove(end)
-            heads.add(end - len(self.spelled[last[end - 1]]))
-        settled = heads.pop()
+        # Walking the rightmost of these back until one is left finds where all later tokenisations agree.
+        walk = set(heads)
+        while len(walk) > 1:
+            end = max(walk)
+            walk.remove(end)
+            walk.add(end - width[last[end - 1]])
+        settled = walk.pop()
         if settled:
             out = self._tokens(last, settled)
-            step = (self._state(out[-1], pending[settled:], last[settled:]), out)
+            prev, pending, last = out[-1], pending[settled:], last[settled:]
+            heads = [h - settled for h in heads]
         else:
-            step = (self._state(state.prev, pending, last), ())
-        state.next[byte] = step
+            out, prev = (), state.prev
+        target = self.states.get((prev, pending))
+        if target is None:
+            target = self.states[prev, pending] = _State(prev, pending, last, tuple(sorted(heads)))
+        state.next[byte] = step = (target, out)
         return step
 
     def _tokens(self, last: tuple[int, ...], end: int) -> tuple[int, ...]:
@@ -105,7 +120,7 @@ class Transducer:
         out = []
         while end:
             out.append(last[end - 1])
-            end -= len(self.spelled[out[-1]])
+            end -= self.width[out[-1]]
         return tuple(reversed(out))
 
     def encode(self, word: bytes) -> tuple[int, ...]:
@@ -113,8 +128,7 @@ class Transducer:
         if whole is not None:
             return (whole,)
         if len(self.states) > MAX_STATES:
-            self.states = {(-1, b""): (start := _State(-1, b"", ()))}
-            self.start = start
+            self._restart()
         state, out = self.start, []
         for byte in word:
             step = state.next.get(byte) or self._step(state, byte)
