@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from voxtally.operators import volume
-from voxtally.schema import BLOCK_SCHEMA, VolumeMeta
+
 
 
 def to_voxels(spark, array):
@@ -58,28 +58,27 @@ def test_linear(spark, source, target):
     np.testing.assert_array_equal(got, want)
 
 
-def block_rows(spark, array, step):
-    rows = []
-    for z in range(0, array.shape[0], step):
-        for y in range(0, array.shape[1], step):
-            box = np.ascontiguousarray(array[z : z + step, y : y + step])
-            rows.append((z, y, 0, *box.shape, bytearray(box.tobytes())))
-    return spark.createDataFrame(rows, BLOCK_SCHEMA)
-
-
 @pytest.mark.parametrize("source, target", SHAPES)
-def test_blocks_agree_with_voxels(spark, source, target):
+def test_boxes_agree_with_voxels(spark, source, target):
     array = np.random.default_rng(3).integers(0, 4000, source).astype("int32")
-    meta = VolumeMeta(source, "int32")
-    blocks, voxels = block_rows(spark, array, 2), to_voxels(spark, array)
-    got = np.zeros(target, "int32")
-    for r in volume.resample_blocks(blocks, meta, target).collect():
-        size = (r.dz, r.dy, r.dx)
-        at = tuple(slice(a, a + n) for a, n in zip((r.z0, r.y0, r.x0), size))
-        got[at] = np.frombuffer(r.data, "int32").reshape(size)
-    np.testing.assert_array_equal(got, dense(volume.resample(voxels, source, target), target))
-    linear = dense(volume.resample_blocks(blocks, meta, target, order=1), target)
-    np.testing.assert_array_equal(linear, dense(volume.resample(voxels, source, target, order=1), target))
+    voxels = to_voxels(spark, array)
+
+    def read(box):
+        return array[tuple(slice(a, b) for a, b in box)]
+
+    for order in (0, 1):
+        got = np.zeros(target, "int32")
+        for z in range(0, target[0], 2):
+            for y in range(0, target[1], 3):
+                box = ((z, min(z + 2, target[0])), (y, min(y + 3, target[1])), (0, target[2]))
+                got[tuple(slice(a, b) for a, b in box)] = volume.resized_box(read, source, target, box, order)
+        np.testing.assert_array_equal(got, dense(volume.resample(voxels, source, target, order), target))
+
+
+def test_real_values_are_weighed_without_truncation():
+    array = np.array([0.0, 1.0], "float32").reshape(2, 1, 1)
+    got = volume.resized_box(lambda box: array[box[0][0] : box[0][1]], (2, 1, 1), (4, 1, 1), ((0, 4), (0, 1), (0, 1)), 1)
+    np.testing.assert_allclose(got.ravel(), [0.25, 0.25, 0.75, 0.75])
 
 
 def test_registration_input_and_pyramid(spark):

@@ -2,24 +2,74 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from voxtally.functions.coords import AXES
+from voxtally.functions.coords import AXES, in_bounds
 from voxtally.operators.structures import rollup_tiers
 from voxtally.schema import coloc_column
+from voxtally.sources.reader import Volume
+
 
+def points_in_volume(points: DataFrame, mask: Volume, flag: str = "in_mask") -> DataFrame:
+    """Flag each point that lies on a foreground voxel of a stored mask.
 
-def points_in_mask(points: DataFrame, mask: DataFrame, flag: str = "in_mask") -> DataFrame:
+    Points are dealt to tasks by the storage box they lie in, a crowded box to
+    several tasks; a task reads each of its boxes once and tests its points
+    together. Boxes without points are never read and the mask is not shuffled.
+    """
+    read, grid, shape = mask.box_reader(), mask.grid(), mask.meta.shape
+    columns = [c for c in points.columns if c != flag]
+    counts = [-(-s // g) for s, g in zip(shape, grid)]
+    cell = [F.expr(f"{a} div {g}") for a, g in zip(AXES, grid)]
+    inside = in_bounds(shape)
+    placed = points.select(*columns).withColumn("_cell", F.when(inside, (cell[0] * counts[1] + cell[1]) * counts[2] + cell[2]))
+    tested = placed.filter("_cell is not null").repartitionByRange("_cell", F.xxhash64(*AXES)).sortWithinPartitions("_cell")
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, data, start = None, None, None
+        for batch in batches:
+            cells = batch.column("_cell").to_numpy()
+            at = [batch.column(a).to_numpy().astype(np.int64) for a in AXES]
+            hit = np.zeros(cells.size, bool)
+            edges = np.append(np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]])), cells.size) if cells.size else [0]
+            for first, end in zip(edges[:-1], edges[1:]):
+                if cells[first] != held:
+                    held = int(cells[first])
+                    index = (held // (counts[1] * counts[2]), held // counts[2] % counts[1], held % counts[2])
+                    start = [i * g for i, g in zip(index, grid)]
+                    data = read(tuple((s, min(s + g, n)) for s, g, n in zip(start, grid, shape))) > 0
+                hit[first:end] = data[tuple(a[first:end] - s for a, s in zip(at, start))]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], pa.array(hit)], names=[*columns, flag])
+
+    schema = T.StructType([*[points.schema[c] for c in columns], T.StructField(flag, T.BooleanType())])
+    outside = placed.filter("_cell is null").select(*columns, F.lit(False).alias(flag))
+    return tested.mapInArrow(test, schema).unionByName(outside)
+
+
+def points_in_mask(points: DataFrame, mask: DataFrame | Volume, flag: str = "in_mask") -> DataFrame:
     """Flag each point that lies on a foreground voxel of the mask.
 
-    Points outside the volume match nothing and are False. A table with a
-    ``value`` column is a volume, with one row per voxel; any other is made
-    unique first, so that no point is duplicated. The join key packs Z and Y
-    into one number, which keeps both sides plain shuffles that adaptive
-    execution can split where points crowd on one voxel.
+    A stored volume with random access goes through :func:`points_in_volume`.
+    Points outside the volume match nothing and are False, as are points on
+    voxels that are not a number. A table with a ``value`` column is a volume,
+    with one row per voxel; any other is made unique first, so that no point is
+    duplicated. The join key packs Z and Y into one number, which keeps both sides
+    plain shuffles that adaptive execution can split where points crowd on one voxel.
     """
-    voxels = mask.filter("value > 0") if "value" in mask.columns else mask.select(*AXES).distinct()
+    if not isinstance(mask, DataFrame):
+        if mask.box_reader():
+            return points_in_volume(points, mask, flag)
+        mask = mask.voxels()
+    found = F.col("value") > 0
+    if "value" in mask.columns and mask.schema["value"].dataType.typeName() in ("double", "float"):
+        found &= ~F.isnan("value")
+    voxels = mask.filter(found) if "value" in mask.columns else mask.select(*AXES).distinct()
     packed = F.col("z").cast("bigint") * 2**32 + F.col("y")
     hits = voxels.select(packed.alias("_zy"), F.col("x").cast("int").alias("_x"), F.lit(True).alias("_hit"))
     columns = [c for c in points.columns if c != flag]
@@ -30,21 +80,21 @@ def points_in_mask(points: DataFrame, mask: DataFrame, flag: str = "in_mask") ->
     )
 
 
-def colocalize_pair(cells: DataFrame, larger: str, smaller: str, mask: DataFrame) -> DataFrame:
+def colocalize_pair(cells: DataFrame, larger: str, smaller: str, mask: DataFrame | Volume) -> DataFrame:
     """Set ``colocalized_with_<larger>`` on passed cells of the smaller channel.
 
-    Cells of the smaller channel that did not pass are reset to False; other
-    channels keep the flag they had (False when the column is new).
+    Only these are tested. Cells of the smaller channel that did not pass are
+    reset to False; other channels keep the flag they had (False when it is new).
     """
     name = coloc_column(larger)
     before = F.coalesce(F.col(name), F.lit(False)) if name in cells.columns else F.lit(False)
-    small = F.col("biomarker") == smaller
-    tested = points_in_mask(cells, mask, "_in_mask")
-    value = F.when(small, F.col("passed_filter") & F.col("_in_mask")).otherwise(before)
-    return tested.withColumn(name, value).drop("_in_mask")
+    small = F.coalesce(F.col("biomarker") == smaller, F.lit(False))
+    asked = small & F.coalesce(F.col("passed_filter"), F.lit(False))
+    rest = cells.filter(~asked).withColumn(name, F.when(small, F.lit(False)).otherwise(before))
+    return points_in_mask(cells.filter(asked), mask, name).unionByName(rest)
 
 
-def colocalize_pairs(cells: DataFrame, pairs: list[tuple[str, str]], masks: dict[str, DataFrame]) -> DataFrame:
+def colocalize_pairs(cells: DataFrame, pairs: list[tuple[str, str]], masks: dict[str, DataFrame | Volume]) -> DataFrame:
     for larger, smaller in pairs:
         cells = colocalize_pair(cells, larger, smaller, masks[larger])
     return cells

@@ -50,33 +50,34 @@ def _partial_table(found: dict) -> pa.Table:
     return pa.Table.from_arrays(columns, schema=_PARTIAL_ARROW)
 
 
-def label_voxels(voxels: DataFrame, shape: Shape, connectivity: int, z_chunk: int | None = None) -> DataFrame:
+def label_voxels(voxels: DataFrame, shape: Shape, connectivity: int, z_chunk: int | None = None, brick: int | None = None) -> DataFrame:
     """Partial components of a sparse voxel table, one brick per group.
 
     The voxels of each X row of a brick are first OR-ed into one 64-bit word.
     That aggregation runs before the shuffle, so repeated voxels cost nothing
-    and a brick never has more than BRICK * BRICK words.
+    and a brick never has more than ``brick`` * ``brick`` words (at most 64 a side).
     """
-    depth = BRICK if z_chunk is None else z_chunk
+    side = brick or BRICK
+    depth = side if z_chunk is None else z_chunk
     keys = {
         "_bz": F.expr(f"cast(z div {depth} as int)"),
-        "_cz": F.expr(f"cast((z % {depth}) div {BRICK} as int)"),
-        "_by": F.expr(f"cast(y div {BRICK} as int)"),
-        "_bx": F.expr(f"cast(x div {BRICK} as int)"),
+        "_cz": F.expr(f"cast((z % {depth}) div {side} as int)"),
+        "_by": F.expr(f"cast(y div {side} as int)"),
+        "_bx": F.expr(f"cast(x div {side} as int)"),
         "z": F.col("z").cast("int"),
         "y": F.col("y").cast("int"),
     }
-    bit = F.expr(f"shiftleft(1L, cast(x % {BRICK} as int))")
+    bit = F.expr(f"shiftleft(1L, cast(x % {side} as int))")
     words = voxels.select(*[c.alias(k) for k, c in keys.items()], bit.alias("bit")).groupBy(*keys).agg(F.bit_or("bit").alias("word"))
 
     def label(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bz, cz, by, bx = (k.as_py() for k in key)
-        z0, y0, x0 = bz * depth + cz * BRICK, by * BRICK, bx * BRICK
-        box = np.zeros((min(BRICK, (bz + 1) * depth - z0), BRICK, BRICK), dtype=bool)
+        z0, y0, x0 = bz * depth + cz * side, by * side, bx * side
+        box = np.zeros((min(side, (bz + 1) * depth - z0), side, side), dtype=bool)
         for batch in batches:
             z, y, word = (batch.column(c).to_numpy() for c in ("z", "y", "word"))
             bits = np.unpackbits(word.astype("<i8").view("u1").reshape(-1, 8), axis=1, bitorder="little")
-            box[z - z0, y - y0] = bits[:, :BRICK]
+            box[z - z0, y - y0] = bits[:, :side]
         yield from _partial_table(label_box(box, (z0, y0, x0), shape, connectivity, z_chunk)).to_batches()
 
     return words.groupBy("_bz", "_cz", "_by", "_bx").applyInArrow(label, PARTIAL_DDL)
@@ -190,6 +191,7 @@ def components(
     connectivity: int = 18,
     merge: str = "exact",
     z_chunk: int = 100,
+    brick: int | None = None,
 ) -> DataFrame:
     """Whole components ``(root, n, z, y, x)`` of blocks or of a voxel table.
 
@@ -204,7 +206,7 @@ def components(
         partials = label_blocks(volume, meta, connectivity, chunk)
     else:
         fg = volume.filter("value > 0") if "value" in volume.columns else volume
-        partials = label_voxels(fg, meta.shape, connectivity, chunk)
+        partials = label_voxels(fg, meta.shape, connectivity, chunk, brick)
     whole = join_partials(partials, chunked=chunk is not None)
     return whole.select("root", "n", *[F.expr(f"s{a} div n").cast("int").alias(a) for a in ("z", "y", "x")])
 

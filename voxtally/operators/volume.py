@@ -5,16 +5,15 @@ A voxel that is absent has value 0, so every operator keeps non-zero rows only.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxtally.functions.coords import AXES, in_bounds, native_to_atlas, permute, permute_shape
 from voxtally.operators.structures import Region, subtree_ids
-from voxtally.schema import BLOCK_SCHEMA, VOXEL_SCHEMA, Shape, VolumeMeta
+from voxtally.schema import Box, Shape
 
 
 def crop(voxels: DataFrame, lo: Shape, hi: Shape) -> DataFrame:
@@ -123,70 +122,43 @@ def resample(voxels: DataFrame, source: Shape, target: Shape, order: int = 0) ->
     return (resample_nearest if order == 0 else resample_linear)(voxels, source, target)
 
 
-def _nearest_block(start: int, size: int, n: int, t: int) -> tuple[int, np.ndarray]:
-    """First target of a block along one axis, and the local source of each target."""
-    first, end = ((2 * t * i + n - 1) // (2 * n) for i in (start, start + size))
-    return first, (2 * np.arange(first, end) + 1) * n // (2 * t) - start
-
-
-def _linear_block(start: int, size: int, n: int, t: int) -> tuple[np.ndarray, np.ndarray]:
-    """Targets that read a block along one axis, and the matrix of their weights * 2t."""
+def _linear_window(first: int, end: int, n: int, t: int) -> tuple[int, int, np.ndarray]:
+    """Source range that the targets ``first..end`` of one axis read, and their weights * 2t on it (1 where n is t)."""
     if n == t:
-        return np.arange(start, start + size), np.eye(size, dtype=np.int64)
-    j = np.arange(t, dtype=np.int64)
-    top = (n - 1) * 2 * t
+        return first, end, np.eye(end - first, dtype=np.int64)
+    j, top = np.arange(first, end, dtype=np.int64), (n - 1) * 2 * t
     pos = np.abs((2 * j + 1) * n - t) if n > 1 else np.zeros_like(j)
     pos = np.where(pos > top, 2 * top - pos, pos)
-    i = np.arange(start, start + size, dtype=np.int64)
-    weights = np.maximum(0, 2 * t - np.abs(pos[:, None] - i[None, :] * 2 * t))
-    used = np.flatnonzero(weights.any(axis=1))
-    return used, weights[used]
+    low, high = int(pos.min() // (2 * t)), min(n, int(-(-pos.max() // (2 * t))) + 1)
+    return low, high, np.maximum(0, 2 * t - np.abs(pos[:, None] - np.arange(low, high) * 2 * t))
 
 
-def resample_blocks(blocks: DataFrame, meta: VolumeMeta, target: Shape, order: int = 0) -> DataFrame:
-    """Resize dense blocks without turning every source voxel into a row.
+def _shares(total: np.ndarray, scale: int) -> np.ndarray:
+    """Weighted sums back to values; whole numbers are truncated."""
+    return total / scale if total.dtype.kind == "f" else np.sign(total) * (np.abs(total) // scale)
 
-    Order 0 maps each block to the block of its targets and gives blocks. Order
-    1 gives voxels: each task weighs its block along Y and X, on the slices
-    that any target reads, and only these shares are shuffled.
-    """
-    dtype, source = np.dtype(meta.dtype), meta.shape
-
-    def boxes(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            for r in batch.to_pylist():
-                size = (r["dz"], r["dy"], r["dx"])
-                yield (r["z0"], r["y0"], r["x0"]), size, np.frombuffer(r["data"], dtype).reshape(size)
-
-    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for start, size, data in boxes(batches):
-            picks = [_nearest_block(*args) for args in zip(start, size, source, target)]
-            out = data[np.ix_(*[p for _, p in picks])]
-            if out.size:
-                row = [first for first, _ in picks] + list(out.shape)
-                arrays = [pa.array([v], pa.int32()) for v in row] + [pa.array([out.tobytes()], pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, names=BLOCK_SCHEMA.names)
-
-    def plane(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for start, size, data in boxes(batches):
-            (_, wz), (ty, wy), (tx, wx) = (_linear_block(*args) for args in zip(start, size, source, target))
-            read = np.flatnonzero(wz.any(axis=0)) if source[0] != target[0] else np.arange(size[0])
-            for z in read:
-                shares = wy @ data[z].astype(np.int64) @ wx.T
-                y, x = np.nonzero(shares)
-                full = np.full(y.size, start[0] + z, np.int32)
-                columns = [full, ty[y].astype(np.int32), tx[x].astype(np.int32), shares[y, x]]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=VOXEL_SCHEMA.names)
 
+def resized_box(read: Callable[[Box], np.ndarray], source: Shape, target: Shape, box: Box, order: int = 0) -> np.ndarray:
+    """One box of a resized volume, from the source box it needs.
+
+    Order 0 takes the voxel under each target's centre. Order 1 weighs the
+    neighbours along Y and X, then along Z; each pass truncates whole numbers.
+    Boxes can be made in any order and anywhere: none needs another.
+    """
+    if order not in (0, 1):
+        raise ValueError(f"resize order must be 0 or 1, got {order}")
     if order == 0:
-        return blocks.mapInArrow(nearest, BLOCK_SCHEMA)
-    if order != 1 or dtype.kind not in "uib":
-        raise ValueError(f"cannot resize {dtype} with order {order}")
-    scale = 1
-    for n, t in zip(source[1:], target[1:]):
-        scale *= 1 if n == t else 2 * t
-    planes = _add_up(blocks.mapInArrow(plane, VOXEL_SCHEMA), scale)
-    return _linear_pass(planes, [("z", source[0], target[0])])
+        picks = [(2 * np.arange(a, b) + 1) * n // (2 * t) for (a, b), n, t in zip(box, source, target)]
+        starts = [int(p[0]) for p in picks]
+        data = read(tuple((s, int(p[-1]) + 1) for s, p in zip(starts, picks)))
+        return data[np.ix_(*[p - s for p, s in zip(picks, starts)])]
+    windows = [_linear_window(a, b, n, t) for (a, b), n, t in zip(box, source, target)]
+    data = read(tuple((low, high) for low, high, _ in windows))
+    kind = np.float64 if data.dtype.kind == "f" else np.int64
+    wz, wy, wx = (w.astype(kind) for _, _, w in windows)
+    scales = [1 if n == t else 2 * t for n, t in zip(source, target)]
+    planes = _shares(np.stack([wy @ plane @ wx.T for plane in data.astype(kind)]), scales[1] * scales[2])
+    return _shares(np.tensordot(wz, planes, axes=1), scales[0]).astype(data.dtype)
 
 
 def pyramid_shapes(shape: Shape, levels: int = 5, factor: int = 2) -> list[Shape]:

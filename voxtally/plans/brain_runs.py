@@ -10,14 +10,15 @@ from __future__ import annotations
 
 import logging
 import os
-import shutil
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import cached_property
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from voxtally.config import Settings
 from voxtally.operators import atlas, coloc, filtering, report, volume
@@ -25,17 +26,16 @@ from voxtally.operators.components import detect_cells
 from voxtally.operators.structures import Region, find_region, subtree_ids
 from voxtally.plans import journal
 from voxtally.schema import Shape, VolumeMeta
-from voxtally.session import cut_lineage, drop_written, shared_folder
+from voxtally.session import cut_lineage, drop_written
 from voxtally.sources import tables
 from voxtally.sources.reader import Volume, open_volume
-from voxtally.sources.writer import expected_output_path, write_volume
+from voxtally.sources.writer import expected_output_path, write_resized, write_volume
 
 log = logging.getLogger(__name__)
 
 
 def extract_region(
-    annotation: DataFrame,
-    atlas_shape: Shape,
+    annotation: Volume,
     structures: DataFrame,
     region: Region,
     native: Shape,
@@ -45,21 +45,26 @@ def extract_region(
     resize_order: int = 0,
     skip_existing: bool = True,
 ) -> str | None:
-    """One region with its descendants at native resolution; None when it has no voxels."""
+    """One region with its descendants at native resolution; None when it has no voxels.
+
+    Every native box reads its atlas box, keeps the ids of the region (a part of
+    the ontology, so a bounded list) and grows; no voxel becomes a row.
+    """
     path = expected_output_path(str(folder), name, output_type)
     if skip_existing and os.path.exists(path):
         return path
-    selected = volume.relabel(annotation, subtree_ids(structures, region), region.id)
-    if selected.isEmpty():
+    ids = np.array(sorted(r.id for r in subtree_ids(structures, region).collect()), dtype=np.int64)
+    if annotation.voxels().filter(F.col("value").isin(ids.tolist())).isEmpty():
         log.warning("region %s (%d) has no voxels", region.name, region.id)
         return None
-    grown = volume.resample(selected, atlas_shape, native, resize_order)
-    return write_volume(grown, VolumeMeta(native, "uint32"), str(folder), name, output_type)
 
+    def chosen(data: np.ndarray) -> np.ndarray:
+        return np.where(np.isin(data, ids), region.id, 0).astype(np.uint32)
+
+    return write_resized(annotation, native, str(folder), name, output_type, resize_order, None, chosen, "uint32")
 
-def extract_regions(
-    annotation: DataFrame, atlas_shape: Shape, structures: DataFrame, acronyms: list[str], native: Shape, folder: str, **options
-) -> dict[str, dict]:
+
+def extract_regions(annotation: Volume, structures: DataFrame, acronyms: list[str], native: Shape, folder: str, **options) -> dict[str, dict]:
     """Several regions; unknown acronyms are logged and left out."""
     out = {}
     for acronym in acronyms:
@@ -68,8 +73,7 @@ def extract_regions(
         except ValueError as error:
             log.warning("%s", error)
             continue
-        name = f"{acronym}_atlas"
-        path = extract_region(annotation, atlas_shape, structures, region, native, folder, name, **options)
+        path = extract_region(annotation, structures, region, native, folder, f"{acronym}_atlas", **options)
         out[acronym] = {"id": region.id, "name": region.name, "output_path": path}
     return out
 
@@ -78,13 +82,16 @@ def extract_regions(
 class Atlas:
     """What all biomarkers of a registered brain share."""
 
-    shape: Shape
-    regions: DataFrame
+    annotation: Volume
     labels: DataFrame
     structures: DataFrame
     geometry: DataFrame
     has_sides: bool
 
+    @property
+    def shape(self) -> Shape:
+        return self.annotation.meta.shape
+
 
 @dataclass
 class Desk:
@@ -175,7 +182,7 @@ def report_brain(desk: Desk) -> dict:
 
 def extract_rois(desk: Desk) -> dict:
     shared = desk.atlas
-    found = extract_regions(shared.regions, shared.shape, shared.structures, desk.roi, desk.mask.meta.shape, str(desk.folder / "roi_extract"))
+    found = extract_regions(shared.annotation, shared.structures, desk.roi, desk.mask.meta.shape, str(desk.folder / "roi_extract"))
     desk.out["roi_extract"] = found
     return {name: str(part["output_path"]) for name, part in found.items()}
 
@@ -258,8 +265,7 @@ def run_registered(
     labels = cut_lineage(atlas.label_table(annotation.voxels(), sides.voxels() if sides else None), "labels")
     midline = None if sides else annotation.meta.shape[2] // 2
     geometry = cut_lineage(report.geometry_report(labels, structures, reg.atlas_voxel_size_um or config.brain.voxel_size_um, midline), "geometry")
-    regions = labels.selectExpr("z", "y", "x", "region_id as value").filter("value <> 0")
-    shared = Atlas(annotation.meta.shape, regions, labels, structures, geometry, sides is not None)
+    shared = Atlas(annotation, labels, structures, geometry, sides is not None)
     results = {}
     for name, mark in config.biomarkers.items():
         desk = Desk(spark, config, mark, Path(output_dir or config.paths.output_dir) / name, shared, roi_acronyms or [], functional_system or {})
@@ -293,8 +299,7 @@ def colocalize_tables(spark: SparkSession, pairs, cells_paths: dict[str, str], m
     out = {}
     for larger, smaller in pairs:
         path = cells_paths[smaller]
-        mask = open_volume(spark, mask_paths[larger]).voxels()
-        flagged = coloc.colocalize_pair(tables.read_cells(spark, path), larger, smaller, mask)
+        flagged = coloc.colocalize_pair(tables.read_cells(spark, path), larger, smaller, open_volume(spark, mask_paths[larger]))
         tables.write_cells(flagged, path, stage="colocalize")
         out[larger, smaller] = coloc.coloc_summary(tables.read_cells(spark, path), larger, smaller).first().asDict()
     return out
@@ -303,23 +308,13 @@ def colocalize_tables(spark: SparkSession, pairs, cells_paths: dict[str, str], m
 def prepare_registration_input(
     spark: SparkSession, source, factor: Shape, order, folder: str, name: str, resize_order: int = 1
 ) -> str:
-    """Downsample a reference channel, permute its axes and store it as Zarr."""
+    """Downsample a reference channel, permute its axes and store it as Zarr, in one pass over its target."""
     raw = open_volume(spark, source)
-    shape = volume.registration_shape(raw.meta.shape, factor)
-    meta = VolumeMeta(shape, raw.meta.dtype)
-    temp = shared_folder(spark, "registration")
-    small = write_volume(volume.resample_blocks(raw.blocks(), raw.meta, shape, resize_order), meta, temp, name, "zarr")
-    turned = open_volume(spark, small, order)
-    try:
-        return write_volume(turned.blocks(), turned.meta, folder, name, "zarr")
-    finally:
-        shutil.rmtree(temp, ignore_errors=True)
+    return write_resized(raw, volume.registration_shape(raw.meta.shape, factor), folder, name, "zarr", resize_order, order)
 
 
 def resample_to_native(
     spark: SparkSession, source, order, native: Shape, folder: str, name: str, output_type="single-tiff", resize_order: int = 0
 ) -> str:
     """An atlas-space volume at native size and axis order."""
-    stored = open_volume(spark, source, order)
-    grown = volume.resample_blocks(stored.blocks(), stored.meta, native, resize_order)
-    return write_volume(grown, VolumeMeta(native, stored.meta.dtype), folder, name, output_type)
+    return write_resized(open_volume(spark, source, order), native, folder, name, output_type, resize_order)

@@ -195,7 +195,7 @@ _SMALL = (f"greatest({_NZ} // 2, 1)", "160", "16")
 
 def _halves() -> list[tuple[str, str, str]]:
     levels = [_ATLAS]
-    for _ in range(3):
+    for _ in range(4):
         levels.append(tuple(f"greatest(({s}) // 2, 1)" for s in levels[-1]))
     return levels
 
@@ -203,9 +203,9 @@ def _halves() -> list[tuple[str, str, str]]:
 def _pyramid() -> str:
     levels = _halves()
     parts = ["l0_v as (select z, y, x, value from annotation_v)"]
-    for k in range(1, 4):
+    for k in range(1, 5):
         parts.append(f"l{k}_v as ({_nearest(f'l{k - 1}_v', levels[k - 1], levels[k])})")
-    picks = " union all ".join(f"select z, y, x, value, {k} as level from l{k}_v" for k in range(4))
+    picks = " union all ".join(f"select z, y, x, value, {k} as level from l{k}_v" for k in range(5))
     return f"with {', '.join(parts)} {picks}"
 
 
@@ -222,7 +222,7 @@ _BODIES = {
     "volume_filter_o21": """select cell_id, z, y, x, volume_voxels, biomarker,
         biomarker = 'cFos' and passed as passed_filter from cells_v""",
     "filter_summary_o54": """select count(*) as total, count(*) filter (passed) as passed from cells_v where biomarker = 'cFos'""",
-    "foreground_o22": "select z, count(*) as foreground from annotation_v where value > 0 group by z",
+    "foreground_o22": "select z, count(*) as foreground from annotation_v where value % 5 <> 0 group by z",
     "outside_drop_o23": f"""select count(*) filter (z >= 1 and x + 2 < 96) as kept,
         count(*) filter (not (z >= 1 and x + 2 < 96)) as dropped from cells_v""",
     "null_region_drop_o25": "select biomarker, count(*) as cells from assigned_v where biomarker = 'TH' group by biomarker",
@@ -251,9 +251,14 @@ _BODIES = {
     "points_in_mask_o37": """select cell_id, c.z, c.y, c.x - 2 as x, m.z is not null as in_mask
         from cells_v c left join mask_v m on m.z = c.z and m.y = c.y and m.x = c.x - 2""",
     "colocalize_pair_o38": """select cell_id, x, volume_voxels, biomarker, hit as "colocalized_with_TH" from coloc_v""",
-    "colocalize_pairs_o39": """select biomarker, hit as "colocalized_with_TH", count(*) as cells from (
-        select c.biomarker, c.biomarker in ('cFos', 'GFAP') and passed and m.z is not null as hit
-        from cells_v c left join mask_v m on m.z = c.z and m.y = c.y and m.x = c.x) group by all""",
+    "colocalize_pairs_o39": """select biomarker, th as "colocalized_with_TH", gfap as "colocalized_with_GFAP", count(*) as cells from (
+        select c.biomarker, c.biomarker in ('cFos', 'GFAP') and passed and m.z is not null as th,
+               c.biomarker = 'cFos' and passed and g.z is not null as gfap
+        from cells_v c left join mask_v m on m.z = c.z and m.y = c.y and m.x = c.x
+        left join (select distinct z, y, x + d as x from cells_v, (values (-1), (0), (1)) t(d)
+                   where biomarker = 'GFAP' and x + d between 0 and 95) g on g.z = c.z and g.y = c.y and g.x = c.x) group by all""",
+    "float_mask_points_o37": """select cell_id, c.z, c.y, c.x - 2 as x, m.z is not null as in_mask
+        from cells_v c left join mask_v m on m.z = c.z and m.y = c.y and m.x = c.x - 2 and m.x % 3 <> 0""",
     "subtree_ids_o41": _subtree("R1"),
     "whole_brain_report_o44": "select biomarker, count(*) as total_cells from cells_v where passed group by biomarker",
     "region_tallies_o45": """select cast(region_id as bigint) as id, count(*) as total_cells,
@@ -286,7 +291,8 @@ _BODIES = {
     "subvolume_o7": """select z - 1 as z, y - 10 as y, x - 3 as x, value from annotation_v, shape_v
         where z >= 1 and z < az and y >= 10 and y < 150 and x >= 3 and x < 20""",
     "relabel_subtree_o73": _region("R2", 12),
-    "region_has_voxels_o55": f"select count(*) > 0 as has_voxels from ({_region('R3', 13)})",
+    "region_has_voxels_o55": f"""select 'R3' as asked, count(*) > 0 as has_voxels from ({_region('R3', 13)})
+        union all select 'unused', false""",
     "resample_nearest_up_o74": _nearest("annotation_v", _ATLAS, _UP),
     "resample_nearest_down_o74": _nearest("annotation_v", _ATLAS, _DOWN),
     "resample_linear_up_o74": _linear("annotation_v", _ATLAS, _UP),
@@ -309,8 +315,14 @@ _BODIES = {
     "nifti_folder_o10e": "select z, y, x, value from annotation_v",
     "permuted_read_o8": "select z, y, x, value from annotation_v",
     "convert_o12": "select z, y, x, value from annotation_v",
-    "image_folder_o5": "select z, y, x, value % 256 as value from annotation_v where value % 256 <> 0",
-    "ome_zarr_level_o10b": _nearest("annotation_v", _ATLAS, _halves()[1]),
+    "image_folder_o5": "select z, y, x, cast(hemisphere_id as bigint) as value from labels_v where hemisphere_id <> 0",
+    "image_folder_deep_o5": "select z, y, x, cast(hemisphere_id * 30000 as bigint) as value from labels_v where hemisphere_id <> 0",
+    "zarr_blosc_scan_o4": "select z, y, x, value from annotation_v",
+    "slab_writes_o10": "select z, y, x, value from annotation_v",
+    "ome_zarr_level_o10b": f"""select z, y, x, value, 0 as level from annotation_v
+        union all select *, 1 as level from ({_nearest("annotation_v", _ATLAS, _halves()[1])})""",
+    "structures_dirty_ids_o16": """select acronym, case when id % 7 in (0, 1, 2) then 0 else id end as id, parent_structure_id
+        from structures_v""",
     "box_read_o7": """select z, y, x, value from annotation_v, shape_v
         where z >= 1 and z < az and y >= 10 and y < 120 and x >= 5 and x < 20""",
     "cells_scan_o14": """select cell_id, z, y, x, volume_voxels, cast(0 as tinyint) as hemisphere_id from cells_v
@@ -342,6 +354,7 @@ for _n in (6, 18, 26):
     ORACLE[f"components_{_n}_o47"] = _with(_SUMS, recursive=True, extra=_reach(_n))
 ORACLE["components_chunked_o47"] = _with(_SUMS.replace("roots_v", "final_v"), recursive=True, extra=_chunked(18, 5))
 ORACLE["components_of_blocks_o47"] = ORACLE["components_18_o47"]
+ORACLE["components_small_bricks_o47"] = ORACLE["components_18_o47"]
 _LO, _HI = (2, 60)
 ORACLE["registered_brain_o88"] = _with(
     f"""select row_number() over (order by root) as cell_id, f.z, f.y, f.x, cast(n as int) as volume_voxels,
@@ -364,3 +377,10 @@ ORACLE["detect_cells_o47"] = _with(
     recursive=True,
     extra=_reach(18),
 )
+ORACLE["run_journal_o90"] = _with(
+    f"""select unnest(['detect', 'filter', 'report', 'redraw']) as step, 'done' as outcome,
+        unnest([count(*), count(*) filter (n between {_LO} and {_HI}), count(*) filter (n between {_LO} and {_HI}), null]) as cells
+        from ({_SUMS})""",
+    recursive=True,
+    extra=_reach(18),
+)

@@ -16,7 +16,7 @@ from voxtally.plans.views import BIOMARKERS, BOUNDS, VOXEL_SIZE_UM, Brain
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-PAIRS = [("TH", "cFos"), ("TH", "GFAP")]
+PAIRS = [("TH", "cFos"), ("TH", "GFAP"), ("GFAP", "cFos")]
 # Functional system used by the tagging queries.
 KEYWORDS = ["asia", "nation_1"]
 ACRONYMS = ["N2", "C7"]
@@ -60,7 +60,8 @@ def _(b: Brain) -> DataFrame:
 
 @register("foreground_o22")
 def _(b: Brain) -> DataFrame:
-    return views.annotation(b).filter("value > 0").groupBy("z").agg(F.count(F.lit(1)).alias("foreground"))
+    voxels = views.annotation(b).withColumn("value", F.when(F.col("value") % 5 == 0, 0).otherwise(F.col("value")))
+    return voxels.filter("value > 0").groupBy("z").agg(F.count(F.lit(1)).alias("foreground"))
 
 
 @register("outside_drop_o23")
@@ -168,8 +169,9 @@ def _(b: Brain) -> DataFrame:
 
 @register("colocalize_pairs_o39")
 def _(b: Brain) -> DataFrame:
-    cells = coloc.colocalize_pairs(views.filtered_cells(b), PAIRS, {"TH": views.mask(b)})
-    return cells.groupBy("biomarker", "colocalized_with_TH").agg(F.count(F.lit(1)).alias("cells"))
+    masks = {larger: views.mask(b, larger) for larger in ("TH", "GFAP")}
+    cells = coloc.colocalize_pairs(views.filtered_cells(b), PAIRS, masks)
+    return cells.groupBy("biomarker", "colocalized_with_TH", "colocalized_with_GFAP").agg(F.count(F.lit(1)).alias("cells"))
 
 
 @register("subtree_ids_o41")
@@ -276,6 +278,12 @@ def _(b: Brain) -> DataFrame:
     return _components(b, 18, "chunked")
 
 
+@register("components_small_bricks_o47")
+def _(b: Brain) -> DataFrame:
+    """Bricks of 16 voxels a side: most components cross faces, so the contact graph takes several rounds."""
+    return components.components(views.voxels(b), b.meta, 18, brick=16)
+
+
 @register("detect_cells_o47")
 def _(b: Brain) -> DataFrame:
     return components.detect_cells(views.voxels(b), b.meta, "cFos", "B1", "r1", VOXEL_SIZE_UM).drop("region_id")
@@ -305,10 +313,15 @@ def _(b: Brain) -> DataFrame:
 
 @register("region_has_voxels_o55")
 def _(b: Brain) -> DataFrame:
-    s = views.structures(b)
-    ids = structures.subtree_ids(s, structures.find_region(s, "R3"))
-    found = volume.relabel(views.annotation(b), ids, 13).limit(1)
-    return found.agg((F.count(F.lit(1)) > 0).alias("has_voxels"))
+    """Once for a region with voxels and once for the ids of the ontology that no voxel has."""
+    s, voxels = views.structures(b), views.annotation(b)
+    some = structures.subtree_ids(s, structures.find_region(s, "R3"))
+    none = s.select("id").join(voxels.select(F.col("value").alias("id")), "id", "left_anti")
+    rows = [
+        volume.relabel(voxels, ids, 13).limit(1).agg(F.lit(name).alias("asked"), (F.count(F.lit(1)) > 0).alias("has_voxels"))
+        for name, ids in (("R3", some), ("unused", none))
+    ]
+    return rows[0].unionByName(rows[1])
 
 
 @register("resample_nearest_up_o74")
@@ -331,16 +344,6 @@ def _(b: Brain) -> DataFrame:
     return volume.resample(views.annotation(b), b.atlas, _down(b), order=1)
 
 
-@register("atlas_to_native_o76")
-def _(b: Brain) -> DataFrame:
-    """An atlas stored as (Y, Z, X), read with its order, resized to native and summed up per slice."""
-    stored = coords.permute(views.annotation(b), (1, 0, 2))
-    native = volume.resample(coords.permute(stored, (1, 0, 2)), b.atlas, b.native)
-    return native.groupBy("z", "value").agg(
-        F.count(F.lit(1)).alias("voxels"), F.sum("y").alias("sum_y"), F.sum("x").alias("sum_x")
-    )
-
-
 @register("scatter_o77")
 def _(b: Brain) -> DataFrame:
     return volume.scatter(views.cells(b).withColumn("x", F.col("x") - 3), b.native)
@@ -357,25 +360,9 @@ def _(b: Brain) -> DataFrame:
     return volume.redraw_atlas(cells, "cFos", b.native, b.atlas)
 
 
-@register("extract_region_o80")
-def _(b: Brain) -> DataFrame:
-    s = views.structures(b)
-    return volume.resample(volume.select_region(views.annotation(b), s, structures.find_region(s, "R4")), b.atlas, b.native)
-
-
-@register("registration_input_o82")
-def _(b: Brain) -> DataFrame:
-    return volume.registration_input(_intensity(b), b.native, (2, 4, 6), (1, 0, 2))[0]
-
-
-def _intensity(b: Brain) -> DataFrame:
-    """A native intensity image: volumes of the cells on each voxel, added up."""
-    return views.cells(b).groupBy("z", "y", "x").agg((F.sum("volume_voxels") * 100).alias("value"))
-
-
 @register("pyramid_levels_o83")
 def _(b: Brain) -> DataFrame:
-    levels = volume.pyramid(views.annotation(b), b.atlas, levels=4)
+    levels = volume.pyramid(views.annotation(b), b.atlas)
     tagged = [level.withColumn("level", F.lit(k)) for k, level in enumerate(levels)]
     out = tagged[0]
     for level in tagged[1:]:

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import os
-import struct
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,13 +13,14 @@ from pyspark.sql import functions as F
 
 from voxtally.config import build_config
 from voxtally.functions.coords import permute, permute_shape
-from voxtally.operators import components, report
-from voxtally.plans import brain_runs, views
+from voxtally.operators import coloc, components, report
+from voxtally.operators.structures import find_region
+from voxtally.plans import brain_runs, journal, views
 from voxtally.plans.queries import register
 from voxtally.plans.views import VOXEL_SIZE_UM, Brain
 from voxtally.schema import VolumeMeta
 from voxtally.session import shared_folder
-from voxtally.sources import tables
+from voxtally.sources import png, tables
 from voxtally.sources.reader import Volume, open_volume
 from voxtally.sources.writer import convert_volume, write_volume
 
@@ -71,41 +70,92 @@ def _(b: Brain) -> DataFrame:
 @register("ome_zarr_level_o10b")
 def _(b: Brain) -> DataFrame:
     stored = _annotation(b, "ome-zarr", levels=2)
-    return open_volume(b.spark, os.path.join(stored.path, "1")).voxels()
+    levels = [open_volume(b.spark, os.path.join(stored.path, str(k))).voxels().withColumn("level", F.lit(k)) for k in (0, 1)]
+    return levels[0].unionByName(levels[1])
 
 
-def _png(image: np.ndarray) -> bytes:
-    """A grey 8-bit PNG; only this query writes images."""
+@register("zarr_blosc_scan_o4")
+def _(b: Brain) -> DataFrame:
+    return _annotation(b, "zarr", chunk=(8, 64, 16), codec="blosc-lz4").voxels()
 
-    def chunk(tag: bytes, data: bytes) -> bytes:
-        return struct.pack(">I", len(data)) + tag + data + struct.pack(">I", zlib.crc32(tag + data))
 
-    rows = b"".join(b"\0" + row.tobytes() for row in image)
-    head = struct.pack(">IIBBBBB", image.shape[1], image.shape[0], 8, 0, 0, 0, 0)
-    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b"")
+@register("slab_writes_o10")
+def _(b: Brain) -> DataFrame:
+    """One store, written in slabs that do not follow its chunks."""
+    folder, cuts = _folder(b, "volume"), [0, 3, 5, b.atlas[0]]
+    for a, z in zip(cuts, cuts[1:]):
+        path = write_volume(views.annotation(b), VolumeMeta(b.atlas, "uint32"), folder, "slabs", "zarr", chunk=(4, 64, 16), z_range=(a, z))
+    return open_volume(b.spark, path).voxels()
 
 
-@register("image_folder_o5")
-def _(b: Brain) -> DataFrame:
-    """Each atlas slice as an image, read back by Spark's image source."""
+def _image_folder(b: Brain, voxels: DataFrame, dtype: str) -> DataFrame:
+    """Each slice of an atlas-sized volume as a PNG, read back."""
     folder, shape = _folder(b, "images"), b.atlas[1:]
     os.makedirs(folder)
 
     def draw(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        image = np.zeros(shape, np.uint8)
+        image = np.zeros(shape, dtype)
         for batch in batches:
             y, x, value = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "x", "value"))
             image[y[x >= 0], x[x >= 0]] = value[x >= 0]
-        with open(os.path.join(folder, f"slice_{key[0].as_py():09d}.png"), "wb") as f:
-            f.write(_png(image))
+        with open(os.path.join(folder, f"slice {key[0].as_py():09d}.png"), "wb") as f:
+            f.write(png.encode(image))
         yield pa.RecordBatch.from_arrays([pa.array([image.size], pa.int64())], names=["pixels"])
 
-    pixels = views.annotation(b).select("z", "y", "x", F.expr("value % 256 as value"))
     every = b.spark.range(b.atlas[0]).selectExpr("cast(id as int) z", "0 y", "-1 x", "0L value")
-    pixels.unionByName(every).groupBy("z").applyInArrow(draw, "pixels bigint").count()
+    voxels.unionByName(every).groupBy("z").applyInArrow(draw, "pixels bigint").count()
     return open_volume(b.spark, folder).voxels()
 
 
+def _sides(b: Brain, factor: int) -> DataFrame:
+    return views.labels(b).select("z", "y", "x", (F.col("hemisphere_id") * factor).alias("value")).filter("value <> 0")
+
+
+@register("image_folder_o5")
+def _(b: Brain) -> DataFrame:
+    return _image_folder(b, _sides(b, 1), "uint8")
+
+
+@register("image_folder_deep_o5")
+def _(b: Brain) -> DataFrame:
+    return _image_folder(b, _sides(b, 30_000), "uint16")
+
+
+@register("float_mask_points_o37")
+def _(b: Brain) -> DataFrame:
+    """Points against a stored mask of real values, some of them negative; only chunks with points are read."""
+    mask = views.mask(b).withColumn("value", F.when(F.col("x") % 3 == 0, -0.5).otherwise(0.7))
+    path = write_volume(mask, VolumeMeta(b.native, "float32"), _folder(b, "volume"), "real", "zarr", chunk=(16, 64, 48))
+    points = views.cells(b).select("cell_id", "z", "y", (F.col("x") - 2).alias("x"))
+    return coloc.points_in_mask(points, open_volume(b.spark, path))
+
+
+@register("atlas_to_native_o76")
+def _(b: Brain) -> DataFrame:
+    """An atlas stored as (Y, Z, X), read with its order, resized to native and summed up per slice."""
+    turned = permute(views.annotation(b), ORDER)
+    meta = VolumeMeta(permute_shape(b.atlas, ORDER), "uint32")
+    source = write_volume(turned, meta, _folder(b, "volume"), "turned", "zarr")
+    path = brain_runs.resample_to_native(b.spark, source, ORDER, b.native, _folder(b, "volume"), "native")
+    return open_volume(b.spark, path).voxels().groupBy("z", "value").agg(
+        F.count(F.lit(1)).alias("voxels"), F.sum("y").alias("sum_y"), F.sum("x").alias("sum_x")
+    )
+
+
+@register("extract_region_o80")
+def _(b: Brain) -> DataFrame:
+    s = views.structures(b)
+    path = brain_runs.extract_region(_annotation(b, "zarr"), s, find_region(s, "R4"), b.native, _folder(b, "volume"), "R4")
+    return open_volume(b.spark, path).voxels()
+
+
+@register("registration_input_o82")
+def _(b: Brain) -> DataFrame:
+    source = write_volume(views.intensity(b), VolumeMeta(b.native, "uint32"), _folder(b, "volume"), "raw", "zarr")
+    path = brain_runs.prepare_registration_input(b.spark, source, (2, 4, 6), ORDER, _folder(b, "volume"), "small")
+    return open_volume(b.spark, path).voxels()
+
+
 @register("box_read_o7")
 def _(b: Brain) -> DataFrame:
     stored = _annotation(b, "zarr", chunk=(4, 32, 8))
@@ -146,6 +196,15 @@ def _(b: Brain) -> DataFrame:
     return tables.read_structures(b.spark, path)
 
 
+@register("structures_dirty_ids_o16")
+def _(b: Brain) -> DataFrame:
+    """Ids that are not numbers, too large or not finite read as 0."""
+    path, number = _folder(b, "structures"), F.col("id") % 7
+    odd = F.when(number == 0, "NaN").when(number == 1, "1e300").when(number == 2, "n/a").otherwise(F.col("id").cast("double").cast("string"))
+    views.structures(b).withColumn("id", odd).write.csv(path, header=True)
+    return tables.read_structures(b.spark, path).select("acronym", "id", "parent_structure_id")
+
+
 @register("whole_brain_csv_o17")
 def _(b: Brain) -> DataFrame:
     path = os.path.join(_folder(b, "report"), "whole.csv")
@@ -189,3 +248,12 @@ def _(b: Brain) -> DataFrame:
     """Every stage without an atlas; the voxels of the redrawn native mask."""
     done = brain_runs.run_brain(b.spark, _config(b, False))["cFos"]
     return open_volume(b.spark, done["redraw_path"]).voxels()
+
+
+@register("run_journal_o90")
+def _(b: Brain) -> DataFrame:
+    """What the journal of a run says of each step: its outcome and the cells it counted."""
+    done = brain_runs.run_brain(b.spark, _config(b, False))["cFos"]
+    rows = journal.latest(journal.attempts(b.spark, os.path.dirname(done["cells_path"])), good=True)
+    counted = F.coalesce(*[F.element_at("results", F.lit(k)) for k in ("cells_detected", "passed", "total_cells")])
+    return rows.select("step", "outcome", counted.cast("bigint").alias("cells"))

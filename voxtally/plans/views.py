@@ -94,9 +94,9 @@ def cells(b: Brain) -> DataFrame:
     ).select(*CELL_SCHEMA.names)
 
 
-def mask(b: Brain) -> DataFrame:
-    """Unfiltered TH mask: each TH cell and its two neighbours in X."""
-    points = cells(b).filter("biomarker = 'TH'").select("z", "y", F.explode(F.expr("sequence(x - 1, x + 1)")).alias("x"))
+def mask(b: Brain, biomarker: str = "TH") -> DataFrame:
+    """Unfiltered mask of one channel: each of its cells and its two neighbours in X."""
+    points = cells(b).filter(F.col("biomarker") == biomarker).select("z", "y", F.explode(F.expr("sequence(x - 1, x + 1)")).alias("x"))
     return points.filter(F.col("x").between(0, NATIVE_YX[1] - 1)).distinct().withColumn("value", F.lit(1).cast("bigint"))
 
 
@@ -146,3 +146,8 @@ def filtered_cells(b: Brain) -> DataFrame:
 def assigned_cells(b: Brain) -> DataFrame:
     """Filtered cells with region and hemisphere."""
     return atlas.assign_regions(filtered_cells(b), labels(b), b.native, b.atlas)
+
+
+def intensity(b: Brain) -> DataFrame:
+    """A native intensity image: volumes of the cells on each voxel, added up."""
+    return cells(b).groupBy("z", "y", "x").agg((F.sum("volume_voxels") * 100).alias("value"))

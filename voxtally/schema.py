@@ -37,6 +37,14 @@ VOXEL_SCHEMA = T.StructType(
     ]
 )
 
+
+def voxel_schema(dtype: str) -> T.StructType:
+    """Voxels of a volume: real values stay real."""
+    if not dtype.startswith("float"):
+        return VOXEL_SCHEMA
+    return T.StructType([*VOXEL_SCHEMA.fields[:3], T.StructField("value", T.DoubleType())])
+
+
 # One dense box of a volume; ``data`` is C-ordered little-endian bytes.
 BLOCK_SCHEMA = T.StructType(
     [
@@ -51,6 +59,7 @@ BLOCK_SCHEMA = T.StructType(
 )
 
 Shape = tuple[int, int, int]
+Box = tuple[tuple[int, int], tuple[int, int], tuple[int, int]]
 
 
 @dataclass(frozen=True)

@@ -6,9 +6,7 @@ import os
 from dataclasses import dataclass, field
 from math import prod
 
-from voxtally.schema import Shape
-
-Box = tuple[tuple[int, int], tuple[int, int], tuple[int, int]]
+from voxtally.schema import Box, Shape
 
 # Suffixes that select a format (fixed values).
 TIFF_SUFFIXES = (".tif", ".tiff")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from math import prod
@@ -26,8 +26,8 @@ from pyspark.sql.datasource import (
 from pyspark.sql.types import StructType
 
 from voxtally.functions.coords import AXES, check_order, permute_shape
-from voxtally.schema import BLOCK_SCHEMA, VOXEL_SCHEMA, Shape, VolumeMeta
-from voxtally.sources import nifti, tiff, zarr2
+from voxtally.schema import BLOCK_SCHEMA, VOXEL_SCHEMA, Shape, VolumeMeta, voxel_schema
+from voxtally.sources import nifti, png, tiff, zarr2
 from voxtally.sources.layout import (
     TASK_BYTES,
     Box,
@@ -43,7 +43,6 @@ from voxtally.sources.layout import (
 log = logging.getLogger(__name__)
 
 DESCRIBE = {"tiff": tiff.describe, "nifti": nifti.describe, "zarr": zarr2.describe}
-_VOXEL_ARROW = pa.schema([("z", pa.int32()), ("y", pa.int32()), ("x", pa.int32()), ("value", pa.int64())])
 _BLOCK_ARROW = pa.schema([(f.name, pa.binary() if f.name == "data" else pa.int32()) for f in BLOCK_SCHEMA.fields])
 
 
@@ -145,6 +144,19 @@ def read_range(part: BoxRange) -> Iterator[tuple[Box, np.ndarray]]:
             yield ((z[0] + part.z_offset, z[1] + part.z_offset), y, x), data.astype(data.dtype.newbyteorder("<"), copy=False)
 
 
+def read_box(stack: Stack, order: tuple[int, int, int], box: Box) -> np.ndarray:
+    """Any box of a stored volume in logical order; chunks that were never written are 0."""
+    raw = [(0, 0)] * 3
+    for logical, axis in enumerate(order):
+        raw[axis] = box[logical]
+    out = np.zeros([b - a for a, b in raw], stack.dtype)
+    for task in plan_tasks(stack, tuple(raw)):
+        for part in task.ranges:
+            for found, data in read_range(part):
+                out[tuple(slice(a - o, b - o) for (a, b), (o, _) in zip(found, raw))] = data
+    return out.transpose(order)
+
+
 def block_batch(box: Box, data: np.ndarray) -> pa.RecordBatch:
     row = [a for a, _ in box] + [b - a for a, b in box] + [np.ascontiguousarray(data).tobytes()]
     return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _BLOCK_ARROW)], schema=_BLOCK_ARROW)
@@ -153,7 +165,8 @@ def block_batch(box: Box, data: np.ndarray) -> pa.RecordBatch:
 def voxel_batch(box: Box, data: np.ndarray) -> pa.RecordBatch:
     at = np.nonzero(data)
     columns = [pa.array((axis + start).astype(np.int32)) for axis, (start, _) in zip(at, box)]
-    return pa.RecordBatch.from_arrays(columns + [pa.array(data[at].astype(np.int64))], schema=_VOXEL_ARROW)
+    values = data[at].astype(np.float64 if data.dtype.kind == "f" else np.int64)
+    return pa.RecordBatch.from_arrays([*columns, pa.array(values)], names=VOXEL_SCHEMA.names)
 
 
 class VolumeReader(DataSourceReader):
@@ -201,7 +214,8 @@ class VolumeSource(DataSource):
     """``spark.read.format('voxtally')``.
 
     Options: path, order (as ``1,0,2``), layout (voxels or blocks), z/y/x_start and
-    _end, parallel (least number of tasks), pushdown (true to narrow by filters).
+    _end, parallel (least number of tasks), pushdown (true to narrow by filters),
+    dtype (sample type, if it is known already).
     """
 
     @classmethod
@@ -209,7 +223,10 @@ class VolumeSource(DataSource):
         return "voxtally"
 
     def schema(self) -> StructType:
-        return BLOCK_SCHEMA if self.options.get("layout", "voxels") == "blocks" else VOXEL_SCHEMA
+        if self.options.get("layout", "voxels") == "blocks":
+            return BLOCK_SCHEMA
+        kind = self.options.get("dtype") or describe_stack(self.options["path"]).dtype.name
+        return voxel_schema(kind)
 
     def reader(self, schema: StructType) -> DataSourceReader:
         options = dict(self.options)
@@ -228,7 +245,7 @@ class Volume:
     def _load(self, layout: str, lo: Shape | None, hi: Shape | None) -> DataFrame:
         if kind_of(volume_files(self.path)[0][0]) == "image":
             return _image_rows(self, layout, lo, hi)
-        reader = self.spark.read.format("voxtally").option("path", self.path).option("layout", layout)
+        reader = self.spark.read.format("voxtally").option("path", self.path).option("layout", layout).option("dtype", self.meta.dtype)
         reader = reader.option("parallel", self.spark.sparkContext.defaultParallelism)
         reader = reader.option("pushdown", self.spark.conf.get("spark.sql.python.filterPushdown.enabled", "false"))
         if self.order:
@@ -246,40 +263,80 @@ class Volume:
         return self._load("voxels", lo, hi)
 
 
+    def box_reader(self) -> Callable[[Box], np.ndarray] | None:
+        """Reads any box inside a task; None for images and for files that can only be read from their start."""
+        if kind_of(volume_files(self.path)[0][0]) == "image":
+            return None
+        stack, order = describe_stack(self.path), self.order or (0, 1, 2)
+        if any(f.sequential for f in stack.files):
+            return None
+        return lambda box: read_box(stack, order, box)
+
+    def grid(self) -> Shape:
+        """Size of the boxes in which the first file is stored, in logical order."""
+        return permute_shape(describe_stack(self.path).files[0].grid, self.order or (0, 1, 2))
+
+
 def open_volume(spark: SparkSession, path: str, order=None) -> Volume:
     """Read shape and sample type of a file, a folder stacked along Z, or a Zarr store."""
     path = str(path)
     spark.dataSource.register(VolumeSource)
     axes = check_order(order) if order is not None else None
     if kind_of(volume_files(path)[0][0]) == "image":
-        shape, dtype = _image_shape(spark, path), "uint8"
+        shape, dtype = _image_shape(spark, path)
     else:
         stack = describe_stack(path)
         shape, dtype = stack.shape, stack.dtype.name
     return Volume(spark, path, VolumeMeta(permute_shape(shape, axes) if axes else shape, dtype), axes)
 
 
-# Plain images go through Spark's own image source, which decodes in the JVM.
+# Plain images go through Spark's own image source, which decodes in the JVM to 8 bits; grey PNG files of 16 bits are decoded here.
 
 
-def _images(spark: SparkSession, path: str) -> DataFrame:
+def _ordered(spark: SparkSession, path: str) -> DataFrame:
+    """Each file with its place, under the name that Spark's sources give it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
     files = volume_files(path)[0]
-    order = spark.createDataFrame([(f, k) for k, f in enumerate(files)], "file string, k int")
-    rows = spark.read.format("image").load(files).select("image.*")
-    return rows.withColumn("file", F.expr("parse_url(origin, 'PATH')")).join(order, "file")
+    return spark.createDataFrame([(hadoop(f).toUri().getRawPath(), k) for k, f in enumerate(files)], "file string, k int")
+
+
+def _deep(spark: SparkSession, path: str) -> bool:
+    """Whether the images are PNG with 16 bits a sample."""
+    files = volume_files(path)[0]
+    if not files[0].lower().endswith(".png"):
+        return False
+    head = spark.read.format("binaryFile").load(files).select(F.hex(F.substring("content", 25, 1)).alias("bits"))
+    bits = {r.bits for r in head.distinct().collect()}
+    if "10" in bits and len(bits) > 1:
+        raise ValueError(f"{path}: images differ in depth")
+    return "10" in bits
+
+
+def _images(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of place, size and samples; every file has to be there."""
+    files, order = volume_files(path)[0], _ordered(spark, path)
+    if _deep(spark, path):
+        rows = spark.read.format("binaryFile").load(files).select("path", "content").mapInArrow(png.decode_batches, png.IMAGE_DDL)
+        names = order.withColumn("file", F.expr("url_decode(replace(file, '+', '%2B'))"))
+        found = rows.withColumn("file", F.regexp_replace("path", "^file:/+", "/")).join(names, "file", "right")
+    else:
+        rows = spark.read.format("image").load(files).select("image.*")
+        found = rows.withColumn("file", F.expr("parse_url(origin, 'PATH')")).join(order, "file", "right")
+    missing = F.when(F.col("data").isNull(), F.raise_error(F.concat(F.lit("image cannot be read: "), F.col("file"))))
+    return found.withColumn("data", F.coalesce(missing.cast("binary"), F.col("data")))
 
 
-def _image_shape(spark: SparkSession, path: str) -> Shape:
-    sizes = _images(spark, path).groupBy("height", "width", "nChannels").count().take(2)
+def _image_shape(spark: SparkSession, path: str) -> tuple[Shape, str]:
+    sizes = _images(spark, path).groupBy("height", "width", "nChannels", (F.length("data") > F.col("height") * F.col("width") * F.col("nChannels")).alias("deep")).count().take(2)
     if len(sizes) != 1:
         raise ValueError(f"{path}: images differ in XY shape")
-    h, w, c, n = sizes[0]
-    return (n, h, w) if c == 1 else (n * h, w, c)
+    h, w, c, deep, n = sizes[0]
+    return (n, h, w) if c == 1 else (n * h, w, c), "uint16" if deep else "uint8"
 
 
 def _image_rows(volume: Volume, layout: str, lo: Shape | None, hi: Shape | None) -> DataFrame:
     """A grey image is one slice; a colour image is an (Y, X, channel) box."""
-    order = volume.order or (0, 1, 2)
+    order, kind = volume.order or (0, 1, 2), np.dtype(volume.meta.dtype)
     wanted = tuple(zip(lo or (0, 0, 0), hi or volume.meta.shape))
     pack = block_batch if layout == "blocks" else voxel_batch
 
@@ -287,7 +344,7 @@ def _image_rows(volume: Volume, layout: str, lo: Shape | None, hi: Shape | None)
         for batch in batches:
             for r in batch.to_pylist():
                 h, w, c = r["height"], r["width"], r["nChannels"]
-                data = np.frombuffer(r["data"], np.uint8).reshape(h, w, c)
+                data = np.frombuffer(r["data"], kind).reshape(h, w, c)
                 data = data.transpose(2, 0, 1) if c == 1 else data[:, :, [2, 1, 0, 3][:c]]
                 z = r["k"] * data.shape[0]
                 data = data.transpose(order)

@@ -34,20 +34,40 @@ def check_cells(cells: DataFrame) -> DataFrame:
 def write_cells(cells: DataFrame, path: str, stage: str | None = None, keep: int = KEEP_BACKUPS) -> None:
     """Write next to the target, then swap it in; an empty table is written too.
 
-    With ``stage`` the table that is replaced becomes a backup of that stage.
+    With ``stage`` the table that is replaced is backed up under that stage first.
     """
     path = str(path)
     os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
     temp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
     check_cells(cells).write.parquet(temp)
-    if os.path.exists(path):
-        if stage:
-            move_to_backup(path, stage, keep)
-        elif os.path.isdir(path):
-            shutil.rmtree(path)
-        else:
-            os.unlink(path)
-    os.replace(temp, path)
+    if stage and os.path.exists(path):
+        back_up(path, stage, keep)
+    swap_in(temp, path)
+
+
+def swap_in(temp: str, path: str) -> None:
+    """Give a written table its name; what it replaces is deleted only when the new one is in place."""
+    old = f"{path}.old-{uuid.uuid4().hex[:8]}"
+    if os.path.lexists(path):
+        os.replace(path, old)
+    try:
+        os.replace(temp, path)
+    except OSError:
+        if os.path.lexists(old):
+            os.replace(old, path)
+        raise
+    if os.path.isdir(old):
+        shutil.rmtree(old)
+    elif os.path.lexists(old):
+        os.unlink(old)
+
+
+def recover(path: str) -> None:
+    """Put back a table whose replacement was cut off between the two renames of :func:`swap_in`."""
+    folder, name = os.path.split(str(path))
+    if os.path.isdir(folder) and not os.path.lexists(path):
+        for left in [n for n in os.listdir(folder) if n.startswith(f"{name}.old-")][:1]:
+            os.replace(os.path.join(folder, left), path)
 
 
 def backup_folder(path: str) -> str:
@@ -61,17 +81,31 @@ def list_backups(path: str, stage: str) -> list[str]:
     return [os.path.join(folder, n) for n in sorted(names) if n.startswith(f"{stage}-")]
 
 
-def move_to_backup(path: str, stage: str, keep: int = KEEP_BACKUPS) -> str:
-    """Keep the replaced table under its stage; a rename, so nothing is copied."""
-    os.makedirs(backup_folder(path), exist_ok=True)
-    stamp = f"{stage}-{time.strftime('%Y%m%dT%H%M%S')}-{time.time_ns() % 10**9:09d}.parquet"
-    target = os.path.join(backup_folder(path), stamp)
-    os.replace(path, target)
+def back_up(path: str, stage: str, keep: int = KEEP_BACKUPS) -> str:
+    """Keep the table under its stage before it is replaced; its files are linked, not copied.
+
+    Names are ordered by one clock reading and a number that settles ties.
+    """
+    folder, now = backup_folder(path), time.time_ns()
+    os.makedirs(folder, exist_ok=True)
+    last = [int(os.path.basename(b).split("-")[-1].split(".")[0]) for b in list_backups(path, stage)]
+    target = os.path.join(folder, f"{stage}-{max([now, *(n + 1 for n in last)]):020d}.parquet")
+    if os.path.isdir(path):
+        shutil.copytree(path, target, copy_function=_linked)
+    else:
+        _linked(path, target)
     for old in list_backups(path, stage)[:-keep]:
         shutil.rmtree(old) if os.path.isdir(old) else os.unlink(old)
     return target
 
 
+def _linked(source: str, target: str) -> None:
+    try:
+        os.link(source, target)
+    except OSError:
+        shutil.copy2(source, target)
+
+
 def read_cells(
     spark: SparkSession,
     path: str,
@@ -94,6 +128,7 @@ def read_cells(
 def is_complete(spark: SparkSession, path: str) -> bool:
     """True when a cells table was written to its end and its schema reads; never raises."""
     try:
+        recover(path)
         if not os.path.exists(path):
             return False
         if os.path.isdir(path) and not os.path.exists(os.path.join(path, "_SUCCESS")):
@@ -110,7 +145,7 @@ def clean_structures(raw: DataFrame) -> DataFrame:
     """Numeric ids written as text or floats become BIGINT, unreadable ones 0."""
 
     def whole(column: str):
-        return F.expr(f"cast(try_cast({column} as double) as bigint)")
+        return F.expr(f"try_cast(try_cast({column} as double) as bigint)")
 
     return raw.withColumns(
         {"id": F.coalesce(whole("id"), F.lit(0)), "parent_structure_id": whole("parent_structure_id")}

@@ -17,14 +17,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voxtally.operators.volume import crop, pyramid_shapes, resample_blocks
+from voxtally.functions.coords import permute, permute_shape
+from voxtally.operators.volume import crop, pyramid_shapes, resample, resized_box
 from voxtally.schema import Shape, VolumeMeta
 from voxtally.session import cut_lineage
 from voxtally.sources import nifti, tiff, zarr2
-from voxtally.sources.layout import Box, raster_grid
+from voxtally.sources.layout import TASK_BYTES, Box, raster_grid
 from voxtally.sources.reader import Volume, open_volume
 
 # Name suffix of each output type (fixed values).
@@ -62,18 +63,59 @@ def slice_name(z: int, suffix: str) -> str:
     return f"slice_{z:05d}{suffix}"
 
 
+@dataclass(frozen=True)
+class Made:
+    """A volume given by a function that makes any box of it inside a task."""
+
+    spark: SparkSession
+    make: Callable[[Box], np.ndarray]
+
+
+def made_from(source: Volume, target: Shape | None = None, order: int = 0, permutation=None, change: Callable | None = None) -> Made | None:
+    """A stored volume resized to ``target``, its axes permuted, its values changed; None if it has no random access.
+
+    ``target`` is the shape before the permutation, ``change`` runs on source boxes.
+    """
+    read = source.box_reader()
+    if read is None:
+        return None
+    shape, turn = source.meta.shape, permutation or (0, 1, 2)
+    changed = read if change is None else lambda box: change(read(box))
+
+    def make(box: Box) -> np.ndarray:
+        straight = [(0, 0)] * 3
+        for logical, axis in enumerate(turn):
+            straight[axis] = box[logical]
+        straight = tuple(straight)
+        data = changed(straight) if target in (None, shape) else resized_box(changed, shape, target, straight, order)
+        return data.transpose(turn)
+
+    return Made(source.spark, make)
+
+
 @dataclass(frozen=True)
 class ZarrSink:
+    """One file a chunk; with ``slab`` only the Z range that is written changes in a chunk that is there."""
+
     path: str
     grid: Shape
+    codec: str = "zlib"
+    slab: tuple[int, int] | None = None
 
     def __call__(self, box: Box, data: np.ndarray) -> int:
-        chunk = data
-        if data.shape != self.grid:
-            chunk = np.zeros(self.grid, data.dtype)
-            chunk[tuple(slice(0, n) for n in data.shape)] = data
-        raw = zarr2.encode(chunk)
+        chunk = np.zeros(self.grid, data.dtype)
         final = os.path.join(self.path, ".".join(str(a // g) for (a, _), g in zip(box, self.grid)))
+        inner, rows = tuple(slice(0, n) for n in data.shape), slice(None)
+        if self.slab:
+            rows = slice(*(min(max(z - box[0][0], 0), len(data)) for z in self.slab))
+            if os.path.exists(final):
+                with open(final, "rb") as f:
+                    kind = "blosc" if self.codec != "zlib" else "zlib"
+                    chunk = np.frombuffer(zarr2.decode(f.read(), kind), data.dtype).reshape(self.grid).copy()
+        elif not data.any():
+            return 0
+        chunk[inner][rows] = data[rows]
+        raw = zarr2.encode(chunk, self.codec)
         temp = f"{final}.{uuid.uuid4().hex[:8]}"
         with open(temp, "wb") as f:
             f.write(raw)
@@ -89,11 +131,15 @@ class RasterSink:
     shape: Shape
     offset: int
     sliced: bool
+    slab: tuple[int, int] | None = None
 
     def __call__(self, box: Box, data: np.ndarray) -> int:
         (z0, _), (y0, _), _ = box
         _, height, width = self.shape
+        first, end = self.slab or (0, self.shape[0])
         for k, plane in enumerate(data):
+            if not first <= z0 + k < end:
+                continue
             path = os.path.join(self.path, slice_name(z0 + k, ".tiff")) if self.sliced else self.path
             row = (0 if self.sliced else (z0 + k) * height) + y0
             out = os.open(path, os.O_WRONLY)
@@ -159,11 +205,44 @@ def _fragments(blocks: DataFrame, grid: Shape, dtype: np.dtype) -> DataFrame:
     return blocks.mapInArrow(cut, names)
 
 
-def _store(volume: DataFrame, meta: VolumeMeta, grid: Shape, sink: Sink, every: bool = False) -> DataFrame:
+def _checked(values: np.ndarray, dtype: np.dtype) -> np.ndarray:
+    """Values in the sample type of the volume; what it cannot hold is an error."""
+    if dtype.kind in "iu" and values.size:
+        limits = np.iinfo(dtype)
+        if values.min() < limits.min or values.max() > limits.max or (values.dtype.kind == "f" and (values != np.trunc(values)).any()):
+            raise ValueError(f"values from {values.min()} to {values.max()} do not fit {dtype}")
+    return values.astype(dtype)
+
+
+def _make_all(volume: Made, meta: VolumeMeta, grid: Shape, sink: Sink, slab: tuple[int, int] | None = None) -> DataFrame:
+    """One task row for every grid cell: make the box and hand it to the sink. Nothing is shuffled."""
+    dtype, shape, make = np.dtype(meta.dtype), meta.shape, volume.make
+    counts = [-(-s // g) for s, g in zip(shape, grid)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cell in batch.column(0).to_pylist():
+                at = (cell // (counts[1] * counts[2]), cell // counts[2] % counts[1], cell % counts[2])
+                box = tuple((c * g, min(c * g + g, n)) for c, g, n in zip(at, grid, shape))
+                if slab and (box[0][1] <= slab[0] or box[0][0] >= slab[1]):
+                    continue
+                data = np.ascontiguousarray(_checked(make(box), dtype))
+                row = [a for a, _ in box] + [sink(box, data)]
+                types = [pa.int32()] * 3 + [pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=["z0", "y0", "x0", "bytes"])
+
+    cells = counts[0] * counts[1] * counts[2]
+    parts = max(1, min(cells, 4 * volume.spark.sparkContext.defaultParallelism, cells * grid[0] * grid[1] * grid[2] * dtype.itemsize // TASK_BYTES + volume.spark.sparkContext.defaultParallelism))
+    return volume.spark.range(0, cells, 1, parts).mapInArrow(run, _DONE_DDL)
+
+
+def _store(volume: DataFrame | Made, meta: VolumeMeta, grid: Shape, sink: Sink, every: bool = False, slab: tuple[int, int] | None = None) -> DataFrame:
     """Assemble each grid cell in one task and hand it to the sink.
 
     A group is one grid cell, so its size is bounded by the grid, not the data.
     """
+    if isinstance(volume, Made):
+        return _make_all(volume, meta, grid, sink, slab)
     dtype, shape = np.dtype(meta.dtype), meta.shape
     dense = "data" in volume.columns
     if dense:
@@ -176,6 +255,8 @@ def _store(volume: DataFrame, meta: VolumeMeta, grid: Shape, sink: Sink, every:
     def put(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = tuple(k.as_py() * g for k, g in zip(key, grid))
         box = tuple((s, min(s + g, n)) for s, g, n in zip(start, grid, shape))
+        if any(a < 0 or b <= a for a, b in box):
+            raise ValueError(f"voxels near {start} are outside the volume {shape}")
         out = np.zeros([b - a for a, b in box], dtype)
         for batch in batches:
             if dense:
@@ -187,7 +268,9 @@ def _store(volume: DataFrame, meta: VolumeMeta, grid: Shape, sink: Sink, every:
             else:
                 batch = batch.filter(batch.column("z").is_valid())
                 at = tuple(batch.column(c).to_numpy() - s for c, s in zip("zyx", start))
-                out[at] = batch.column("value").to_numpy().astype(dtype)
+                if any(a.size and (a.min() < 0 or a.max() >= n) for a, n in zip(at, out.shape)):
+                    raise ValueError(f"voxels near {start} are outside the volume {shape}")
+                out[at] = _checked(batch.column("value").to_numpy(), dtype)
         row = [*start, sink(box, out)]
         names = ["z0", "y0", "x0", "bytes"]
         types = [pa.int32()] * 3 + [pa.int64()]
@@ -196,7 +279,7 @@ def _store(volume: DataFrame, meta: VolumeMeta, grid: Shape, sink: Sink, every:
     return pieces.groupBy(*_KEYS).applyInArrow(put, _DONE_DDL)
 
 
-def _each_slice(spark, depth: int, work: Callable[[int], None]) -> None:
+def _each_slice(spark, first: int, end: int, work: Callable[[int], None]) -> None:
     """Run a small file task for every Z index, spread over the cluster."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,20 +288,20 @@ def _each_slice(spark, depth: int, work: Callable[[int], None]) -> None:
                 work(z)
             yield batch
 
-    spark.range(depth).mapInArrow(run, "id bigint").count()
+    spark.range(first, end).mapInArrow(run, "id bigint").count()
 
 
-def _write_zarr(volume: DataFrame, meta: VolumeMeta, path: str, chunk: Shape) -> None:
+def _write_zarr(volume: DataFrame | Made, meta: VolumeMeta, path: str, chunk: Shape, codec: str = "zlib", slab: tuple[int, int] | None = None) -> None:
     grid = tuple(max(1, min(c, s)) for c, s in zip(chunk, meta.shape))
-    os.makedirs(path)
+    os.makedirs(path, exist_ok=slab is not None)
     with open(os.path.join(path, ".zarray"), "w") as f:
-        f.write(zarr2.metadata(meta.shape, grid, meta.dtype))
-    _store(volume, meta, grid, ZarrSink(path, grid)).count()
+        f.write(zarr2.metadata(meta.shape, grid, meta.dtype, codec))
+    _store(volume, meta, grid, ZarrSink(path, grid, codec, slab), slab=slab).count()
 
 
-def _write_ome(volume: DataFrame, meta: VolumeMeta, path: str, chunk: Shape, levels: int, factor: int, order: int) -> None:
+def _write_ome(volume: DataFrame | Made, meta: VolumeMeta, path: str, chunk: Shape, levels: int, factor: int, order: int, codec: str) -> None:
     """Each level is resampled from the stored level before it."""
-    spark = volume.sparkSession
+    spark = _session(volume)
     os.makedirs(path)
     with open(os.path.join(path, ".zgroup"), "w") as f:
         f.write('{"zarr_format": 2}')
@@ -227,13 +310,17 @@ def _write_ome(volume: DataFrame, meta: VolumeMeta, path: str, chunk: Shape, lev
     for k, shape in enumerate(shapes):
         if k:
             previous = open_volume(spark, f"{path}/{k - 1}/")
-            current = resample_blocks(previous.blocks(), previous.meta, shape, order)
-        _write_zarr(current, VolumeMeta(shape, meta.dtype), os.path.join(path, str(k)), chunk)
+            current = made_from(previous, shape, order)
+        _write_zarr(current, VolumeMeta(shape, meta.dtype), os.path.join(path, str(k)), chunk, codec)
     with open(os.path.join(path, ".zattrs"), "w") as f:
         f.write(zarr2.multiscales(levels, factor))
 
 
-def _write_tiff(volume: DataFrame, meta: VolumeMeta, path: str, sliced: bool) -> None:
+def _session(volume: DataFrame | Made) -> SparkSession:
+    return volume.spark if isinstance(volume, Made) else volume.sparkSession
+
+
+def _write_tiff(volume: DataFrame | Made, meta: VolumeMeta, path: str, sliced: bool, slab: tuple[int, int] | None = None) -> None:
     z, y, x = meta.shape
     head, offset = tiff.header((1, y, x) if sliced else meta.shape, meta.dtype)
     size = offset + (1 if sliced else z) * y * x * np.dtype(meta.dtype).itemsize
@@ -244,12 +331,13 @@ def _write_tiff(volume: DataFrame, meta: VolumeMeta, path: str, sliced: bool) ->
             f.truncate(size)
 
     if sliced:
-        os.makedirs(path)
-        _each_slice(volume.sparkSession, z, lambda k: lay_out(os.path.join(path, slice_name(k, ".tiff"))))
+        os.makedirs(path, exist_ok=slab is not None)
+        first, end = slab or (0, z)
+        _each_slice(_session(volume), first, end, lambda k: lay_out(os.path.join(path, slice_name(k, ".tiff"))))
     else:
         lay_out(path)
     grid = raster_grid(meta.shape, np.dtype(meta.dtype).itemsize)
-    _store(volume, meta, grid, RasterSink(path, meta.shape, offset, sliced)).count()
+    _store(volume, meta, grid, RasterSink(path, meta.shape, offset, sliced, slab), slab=slab).count()
 
 
 def _offsets(done: DataFrame, depth: int, sliced: bool, head: int) -> DataFrame:
@@ -271,9 +359,9 @@ def _offsets(done: DataFrame, depth: int, sliced: bool, head: int) -> DataFrame:
     return grouped.withColumn("_in", inside).join(F.broadcast(starts), "_g").select("z0", "y0", (F.col("_in") + F.col("_start") + head).alias("at"))
 
 
-def _write_nifti(volume: DataFrame, meta: VolumeMeta, path: str, sliced: bool) -> None:
+def _write_nifti(volume: DataFrame | Made, meta: VolumeMeta, path: str, sliced: bool) -> None:
     z, y, x = meta.shape
-    spark = volume.sparkSession
+    spark = _session(volume)
     head = gzip.compress(nifti.header((1, y, x) if sliced else meta.shape, meta.dtype), 6, mtime=0)
     parts = f"{path}.parts"
     os.makedirs(parts)
@@ -291,7 +379,7 @@ def _write_nifti(volume: DataFrame, meta: VolumeMeta, path: str, sliced: bool) -
 
     if sliced:
         os.makedirs(path)
-        _each_slice(spark, z, lambda k: lay_out(name(k)))
+        _each_slice(spark, 0, z, lambda k: lay_out(name(k)))
     else:
         lay_out(path)
 
@@ -317,8 +405,25 @@ def replace_output(temp: str, final: str) -> None:
     os.replace(temp, final)
 
 
+# Types that a part can be written into, one slab after the other.
+SLAB_TYPES = ("zarr", "scroll-tiff")
+
+
+def _write_slab(volume: DataFrame | Made, meta: VolumeMeta, path: str, output_type: str, chunk: Shape, codec: str, slab: tuple[int, int]) -> str:
+    """Write the slices of a Z range into a store of the full shape; what else it holds stays."""
+    if not isinstance(volume, Made):
+        axis = "z0" if "data" in volume.columns else "z"
+        reach = F.col("z0") + F.col("dz") if axis == "z0" else F.col("z") + 1
+        volume = volume.filter((F.col(axis) < slab[1]) & (reach > slab[0]))
+    if output_type == "zarr":
+        _write_zarr(volume, meta, path, chunk, codec, slab)
+    else:
+        _write_tiff(volume, meta, path, True, slab)
+    return path
+
+
 def write_volume(
-    volume: DataFrame,
+    volume: DataFrame | Made,
     meta: VolumeMeta,
     folder: str,
     name: str,
@@ -328,27 +433,31 @@ def write_volume(
     factor: int = 2,
     resize_order: int = 0,
     z_range: tuple[int, int] | None = None,
+    codec: str = "zlib",
 ) -> str:
-    """Write blocks or voxels as one of the output types; returns the path.
+    """Write blocks, voxels or a :class:`Made` volume as one of the output types; returns the path.
 
-    ``z_range`` writes that part of a voxel table only; single-file types then
-    carry the range in their name.
+    ``z_range`` writes that part only: into a store of the full shape for Zarr
+    and slice-wise TIFF, where slabs written one after the other add up, and as
+    a volume of its own, with the range in its name, for the other types (voxels).
+    A voxel outside the volume, or a value the sample type cannot hold, is an error.
     """
     output_type = TYPE_LABELS.get(output_type, output_type)
     final = expected_output_path(str(folder), name, output_type)
+    os.makedirs(folder, exist_ok=True)
+    if z_range is not None and output_type in SLAB_TYPES:
+        return _write_slab(volume, meta, final, output_type, chunk, codec, z_range)
     if z_range is not None:
         a, b = z_range
         volume = crop(volume, (a, 0, 0), (b, *meta.shape[1:]))
         meta = VolumeMeta((b - a, *meta.shape[1:]), meta.dtype)
-        if output_type.startswith("single"):
-            final = expected_output_path(str(folder), f"{name}_z{a}-{b}", output_type)
-    os.makedirs(folder, exist_ok=True)
+        final = expected_output_path(str(folder), f"{name}_z{a}-{b}", output_type)
     temp = os.path.join(folder, f".tmp-{uuid.uuid4().hex[:8]}-{os.path.basename(final)}")
     try:
         if output_type == "zarr":
-            _write_zarr(volume, meta, temp, chunk)
+            _write_zarr(volume, meta, temp, chunk, codec)
         elif output_type == "ome-zarr":
-            _write_ome(volume, meta, temp, chunk, levels, factor, resize_order)
+            _write_ome(volume, meta, temp, chunk, levels, factor, resize_order, codec)
         elif output_type.endswith("tiff"):
             _write_tiff(volume, meta, temp, output_type.startswith("scroll"))
         else:
@@ -365,5 +474,20 @@ def write_volume(
 
 
 def convert_volume(source: Volume, folder: str, name: str, output_type: str, chunk: Shape = CHUNK) -> str:
-    """Copy a stored volume into another format, block by block."""
-    return write_volume(source.blocks(), source.meta, folder, name, output_type, chunk)
+    """Copy a stored volume into another format: each target box reads its source box, nothing is shuffled."""
+    return write_volume(made_from(source) or source.blocks(), source.meta, folder, name, output_type, chunk)
+
+
+def write_resized(source: Volume, target: Shape, folder: str, name: str, output_type: str, order: int = 0, permutation=None, change: Callable | None = None, dtype: str | None = None) -> str:
+    """Resize a stored volume, change its values before and permute its axes after; see :func:`made_from`.
+
+    A source without random access goes through voxel rows; it takes no ``change``.
+    """
+    turn = permutation or (0, 1, 2)
+    meta = VolumeMeta(permute_shape(target, turn), dtype or source.meta.dtype)
+    volume = made_from(source, target, order, turn, change)
+    if volume is None:
+        if change is not None:
+            raise ValueError(f"{source.path}: convert it to a format with random access first")
+        volume = permute(resample(source.voxels(), source.meta.shape, target, order), turn)
+    return write_volume(volume, meta, folder, name, output_type)

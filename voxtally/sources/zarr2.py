@@ -5,9 +5,11 @@ from __future__ import annotations
 import gzip
 import json
 import os
+import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
 from voxtally.schema import Shape
 from voxtally.sources.layout import Box, FileLayout
@@ -21,7 +23,7 @@ def describe(path: str) -> FileLayout:
         head = json.load(f)
     codec = head.get("compressor")
     name = codec["id"] if codec else None
-    if name not in (None, "zlib", "gzip", "zstd") or head.get("filters"):
+    if name not in (None, "zlib", "gzip", "zstd", "lz4", "blosc") or head.get("filters"):
         raise ValueError(f"{path}: Zarr codec {codec or head['filters']} is not supported")
     shape, grid = list(head["shape"]), list(head["chunks"])
     if len(shape) not in (2, 3):
@@ -37,7 +39,68 @@ def describe(path: str) -> FileLayout:
     return FileLayout(path, "zarr", tuple(lead + shape), head["dtype"], tuple(lead + grid), detail)
 
 
+# Codec numbers in the header of a Blosc buffer (fixed values).
+BLOSC_CODECS = {1: "lz4_raw", 2: "snappy", 3: "zlib", 4: "zstd"}
+BLOSC_BLOCK = 256 * 1024
+
+
+def _unpack(data: bytes, size: int, codec: str) -> bytes:
+    if len(data) == size:
+        return data
+    if codec == "zlib":
+        return zlib.decompress(data)
+    return pa.Codec(codec).decompress(data, size).to_pybytes()
+
+
+def blosc_decode(raw: bytes) -> bytes:
+    """One Blosc 1 buffer: a header, the start of every block, and blocks of one stream or a stream per byte of a value."""
+    _, _, flags, width, size, block, _ = struct.unpack("<BBBBIII", raw[:16])
+    if flags & 2:  # stored as it is
+        return raw[16 : 16 + size]
+    codec = BLOSC_CODECS.get(flags >> 5)
+    if codec is None or flags & 4:
+        raise ValueError("Blosc buffers with BloscLZ or bit shuffling are not supported")
+    count = -(-size // block)
+    out = []
+    for k, at in enumerate(struct.unpack(f"<{count}I", raw[16 : 16 + 4 * count])):
+        length = min(block, size - k * block)
+        split = not flags & 16 and width <= 16 and block // width >= 128 and length == block
+        pieces = []
+        for _ in range(width if split else 1):
+            (packed,) = struct.unpack("<I", raw[at : at + 4])
+            pieces.append(_unpack(raw[at + 4 : at + 4 + packed], length // (width if split else 1), codec))
+            at += 4 + packed
+        data = b"".join(pieces)
+        if flags & 1 and width > 1:
+            whole = length // width * width
+            data = np.frombuffer(data[:whole], np.uint8).reshape(width, -1).T.tobytes() + data[whole:]
+        out.append(data)
+    return b"".join(out)
+
+
+def blosc_encode(raw: bytes, width: int, codec: str) -> bytes:
+    """A Blosc 1 buffer with shuffled bytes and one stream a block; ``codec`` is lz4 or zstd."""
+    number, name = {"lz4": (1, "lz4_raw"), "zstd": (4, "zstd")}[codec]
+    block = BLOSC_BLOCK // width * width
+    at, blocks = 16 + 4 * -(-len(raw) // block), []
+    starts = []
+    for k in range(0, len(raw), block):
+        data = raw[k : k + block]
+        shuffled = np.frombuffer(data, np.uint8).reshape(-1, width).T.tobytes()
+        packed = pa.Codec(name).compress(shuffled).to_pybytes()
+        packed = packed if len(packed) < len(data) else shuffled
+        starts.append(at)
+        blocks.append(struct.pack("<I", len(packed)) + packed)
+        at += len(blocks[-1])
+    head = struct.pack("<BBBBIII", 2, 1, 1 | 16 | number << 5, width, len(raw), block, at)
+    return head + struct.pack(f"<{len(starts)}I", *starts) + b"".join(blocks)
+
+
 def decode(raw: bytes, codec: str | None) -> bytes:
+    if codec == "blosc":
+        return blosc_decode(raw)
+    if codec == "lz4":
+        return pa.Codec("lz4_raw").decompress(raw[4:], struct.unpack("<I", raw[:4])[0]).to_pybytes()
     if codec == "zlib":
         return zlib.decompress(raw)
     if codec == "gzip":
@@ -64,14 +127,22 @@ def read_box(layout: FileLayout, box: Box) -> np.ndarray | None:
     return chunk[inner]
 
 
-def metadata(shape: Shape, chunks: Shape, dtype: str) -> str:
+# Compressors that can be written, as they are named in the metadata (fixed values).
+COMPRESSORS = {
+    "zlib": {"id": "zlib", "level": 1},
+    "blosc-lz4": {"id": "blosc", "cname": "lz4", "clevel": 5, "shuffle": 1, "blocksize": 0},
+    "blosc-zstd": {"id": "blosc", "cname": "zstd", "clevel": 5, "shuffle": 1, "blocksize": 0},
+}
+
+
+def metadata(shape: Shape, chunks: Shape, dtype: str, codec: str = "zlib") -> str:
     kind = np.dtype(dtype)
     body = {
         "zarr_format": 2,
         "shape": list(shape),
         "chunks": list(chunks),
         "dtype": kind.str if kind.itemsize == 1 else kind.newbyteorder("<").str,
-        "compressor": {"id": "zlib", "level": 1},
+        "compressor": COMPRESSORS[codec],
         "fill_value": False if kind.kind == "b" else 0,
         "order": "C",
         "filters": None,
@@ -79,8 +150,10 @@ def metadata(shape: Shape, chunks: Shape, dtype: str) -> str:
     return json.dumps(body, indent=4)
 
 
-def encode(chunk: np.ndarray) -> bytes:
-    return zlib.compress(chunk.tobytes(), 1)
+def encode(chunk: np.ndarray, codec: str = "zlib") -> bytes:
+    if codec == "zlib":
+        return zlib.compress(chunk.tobytes(), 1)
+    return blosc_encode(chunk.tobytes(), chunk.itemsize, codec.removeprefix("blosc-"))
 
 
 def multiscales(levels: int, factor: int) -> str:
