@@ -171,3 +171,52 @@ def test_backups_keep_their_order_and_a_cut_swap_is_put_back(spark, tmp_path, mo
     assert tables.read_cells(spark, path).first().cell_id == 4
     (tmp_path / "cells.parquet").rename(tmp_path / "cells.parquet.old-abc")
     assert tables.is_complete(spark, path) and tables.read_cells(spark, path).first().cell_id == 4
+
+
+def test_own_gzip_files_are_read_by_member(spark, tmp_path, monkeypatch):
+    from voxtally.sources import layout, nifti
+
+    monkeypatch.setattr(layout, "BLOCK_BYTES", 200)
+    array = np.random.default_rng(4).integers(0, 60_000, (5, 9, 11)).astype("uint16")
+    volume = stored(spark, tmp_path, "v", array, "single-nii")
+    found = nifti.describe(volume.path)
+    assert not found.sequential and len(found.detail["members"]) == 5
+    np.testing.assert_array_equal(dense(volume), array)
+    part = volume.voxels((1, 2, 3), (4, 8, 9)).collect()
+    assert {(r.z, r.y, r.x): r.value for r in part} == {(z, y, x): array[z, y, x] for z in range(1, 4) for y in range(2, 8) for x in range(3, 9) if array[z, y, x]}
+    import gzip
+
+    raw = gzip.decompress(open(volume.path, "rb").read())
+    assert raw[352:] == array.tobytes()
+    (tmp_path / "other.nii.gz").write_bytes(gzip.compress(raw))
+    other = open_volume(spark, tmp_path / "other.nii.gz")
+    assert nifti.describe(other.path).sequential
+    np.testing.assert_array_equal(dense(other), array)
+
+
+def test_tasks_carry_only_their_pages(spark, tmp_path, monkeypatch):
+    import pickle
+
+    from voxtally.sources import layout, reader
+
+    monkeypatch.setattr(layout, "BLOCK_BYTES", 100)
+    sizes = []
+    for depth in (40, 400):
+        array = np.ones((depth, 3, 4), "uint8")
+        stack = reader.describe_stack(stored(spark, tmp_path, f"d{depth}", array, "single-tiff").path)
+        whole = tuple((0, n) for n in stack.shape)
+        sizes.append(max(len(pickle.dumps(t)) for t in reader.plan_tasks(stack, whole, depth)))
+        np.testing.assert_array_equal(reader.read_box(stack, (0, 1, 2), ((depth - 3, depth), (0, 3), (0, 4))), array[:3])
+    assert sizes[1] < 1.5 * sizes[0]
+
+
+def test_scratch_tables_are_deleted(spark, tmp_path):
+    from pathlib import Path
+
+    from voxtally.session import cut_lineage, scratch, shared_dir
+
+    before = set(Path(shared_dir(spark)).iterdir())
+    with scratch(spark):
+        assert cut_lineage(spark.range(5), "some").count() == 5
+        assert set(Path(shared_dir(spark)).iterdir()) > before
+    assert set(Path(shared_dir(spark)).iterdir()) == before

@@ -3,6 +3,7 @@
 import json
 import xml.etree.ElementTree as ET
 import zipfile
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -12,6 +13,7 @@ from voxtally import __main__ as cli
 from voxtally.config import ConfigError, biomarker, build_config, load_config
 from voxtally.plans import brain_runs, journal
 from voxtally.schema import VolumeMeta
+from voxtally.session import shared_dir
 from voxtally.sources import tables
 from voxtally.sources.reader import open_volume
 from voxtally.sources.writer import write_volume
@@ -104,9 +106,11 @@ def test_unregistered_run_and_cli(spark, tmp_path, capsys):
     mask = np.zeros(NATIVE, "uint8")
     mask[0:3, 0:3, 0:3] = mask[5:9, 5:9, 5:9] = mask[9:12, 10:13, 10:13] = 1
     raw = raw_config(tmp_path, store(spark, tmp_path, "mask", mask))
+    before = set(Path(shared_dir(spark)).iterdir())
     (tmp_path / "brain.yaml").write_text(yaml.safe_dump(raw))
     assert cli.main([str(tmp_path / "brain.yaml"), "--roi", "A", "--log-level", "ERROR"]) == 0
     done = json.loads(capsys.readouterr().out)["cFos"]
+    assert set(Path(shared_dir(spark)).iterdir()) == before
     assert done["filter"] == {"total": 3, "passed": 1}
     assert open(done["report_path"]).read() == "biomarker,total_cells\ncFos,1\n"
     drawn = open_volume(spark, done["redraw_path"]).voxels().collect()

@@ -26,7 +26,7 @@ from voxtally.operators.components import detect_cells
 from voxtally.operators.structures import Region, find_region, subtree_ids
 from voxtally.plans import journal
 from voxtally.schema import Shape, VolumeMeta
-from voxtally.session import cut_lineage, drop_written
+from voxtally.session import cut_lineage, scratch
 from voxtally.sources import tables
 from voxtally.sources.reader import Volume, open_volume
 from voxtally.sources.writer import expected_output_path, write_resized, write_volume
@@ -170,7 +170,6 @@ def report_regions(desk: Desk) -> dict:
         target = report.target_summary(tiered, *[desk.system.get(k, default) for k, default in words.items()])
     path = desk.out["report_path"] = desk.file("region_report.xlsx")
     tables.write_tiered_report(tiered, path, target)
-    drop_written(tiered)
     return {"report_path": path}
 
 
@@ -270,8 +269,6 @@ def run_registered(
     for name, mark in config.biomarkers.items():
         desk = Desk(spark, config, mark, Path(output_dir or config.paths.output_dir) / name, shared, roi_acronyms or [], functional_system or {})
         results[name] = {"roi_extract": None, **run_steps(desk, REGISTERED), "redraw": redraw_paths(desk)}
-    drop_written(labels)
-    drop_written(geometry)
     return results
 
 
@@ -287,11 +284,13 @@ def run_unregistered(spark: SparkSession, config: Settings, output_dir=None) ->
 
 
 def run_brain(spark: SparkSession, config: Settings, output_dir=None, roi_acronyms=None, functional_system=None) -> dict:
-    if config.brain.needs_registration:
-        return run_registered(spark, config, output_dir, roi_acronyms, functional_system)
-    if roi_acronyms or functional_system:
-        log.warning("brain %s is not registered: regions and functional system are ignored", config.brain.id)
-    return run_unregistered(spark, config, output_dir)
+    """Either run; the tables it wrote on the way are deleted when its outputs are there."""
+    with scratch(spark):
+        if config.brain.needs_registration:
+            return run_registered(spark, config, output_dir, roi_acronyms, functional_system)
+        if roi_acronyms or functional_system:
+            log.warning("brain %s is not registered: regions and functional system are ignored", config.brain.id)
+        return run_unregistered(spark, config, output_dir)
 
 
 def colocalize_tables(spark: SparkSession, pairs, cells_paths: dict[str, str], mask_paths: dict[str, str]) -> dict:

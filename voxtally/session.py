@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
 
@@ -77,6 +79,30 @@ def shared_folder(spark: SparkSession, stem: str) -> str:
     return local
 
 
+_OWNED: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Own the tables that :func:`cut_lineage` writes inside, and delete them at the end.
+
+    For work that ends in a sink; a DataFrame that leaves the context may still read them.
+    """
+    owned: list[str] = []
+    _OWNED.append(owned)
+    try:
+        yield
+    finally:
+        _OWNED.remove(owned)
+        for path in owned:
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut_lineage(df: DataFrame, stem: str = "step") -> DataFrame:
     """Write to the shared folder and read back.
 
@@ -84,6 +110,8 @@ def cut_lineage(df: DataFrame, stem: str = "step") -> DataFrame:
     column pruning by each later use.
     """
     path = shared_path(df.sparkSession, stem)
+    if _OWNED:
+        _OWNED[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -92,9 +120,7 @@ def drop_written(df: DataFrame) -> None:
     """Delete the files of a table that :func:`cut_lineage` wrote and nothing reads any more."""
     spark = df.sparkSession
     root = shared_dir(spark)
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    base = spark._jvm.org.apache.hadoop.fs.Path(root).toUri().getPath().rstrip("/") + "/"
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        base = jvm.org.apache.hadoop.fs.Path(root)
-        if path.toUri().getPath().startswith(base.toUri().getPath().rstrip("/") + "/"):
-            path.getFileSystem(conf).delete(path, True)
+        if spark._jvm.org.apache.hadoop.fs.Path(folder).toUri().getPath().startswith(base):
+            _delete(spark, folder)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import gzip
+import os
 import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +24,33 @@ def _open(path: str):
     return gzip.open(path, "rb") if path.lower().endswith(".gz") else open(path, "rb")
 
 
+# Tag of the extra field in which a gzip member written here states its own size (fixed value).
+MEMBER_TAG = b"VX"
+
+
+def gzip_member(raw: bytes) -> bytes:
+    """One gzip member that says how long it is, so that readers can go from member to member."""
+    packer = zlib.compressobj(6, zlib.DEFLATED, -15)
+    body = packer.compress(raw) + packer.flush()
+    size = 24 + len(body) + 8
+    head = b"\x1f\x8b\x08\x04" + bytes(4) + b"\x00\xff" + struct.pack("<H", 12) + MEMBER_TAG + struct.pack("<HQ", 8, size)
+    return head + body + struct.pack("<II", zlib.crc32(raw), len(raw) & 0xFFFFFFFF)
+
+
+def members(path: str) -> list[int]:
+    """Where the members of a file start, if all of them say how long they are; else nothing."""
+    found, at, end = [], 0, os.path.getsize(path)
+    with open(path, "rb") as f:
+        while at < end:
+            f.seek(at)
+            head = f.read(24)
+            if head[:4] != b"\x1f\x8b\x08\x04" or head[12:14] != MEMBER_TAG:
+                return []
+            found.append(at)
+            at += struct.unpack("<Q", head[16:24])[0]
+    return found
+
+
 def describe(path: str) -> FileLayout:
     with _open(path) as f:
         head = f.read(348)
@@ -40,23 +69,46 @@ def describe(path: str) -> FileLayout:
     detail = {"offset": int(offset), "stored": stored.str, "slope": slope if scaled else None, "shift": shift}
     dtype = "<f8" if scaled else stored.str
     shape = (z, y, x)
-    return FileLayout(path, "nifti", shape, dtype, raster_grid(shape, stored.itemsize), detail, path.lower().endswith(".gz"))
+    grid, packed = raster_grid(shape, stored.itemsize), path.lower().endswith(".gz")
+    if packed:
+        starts = members(path)  # the header, then one member a box
+        detail["members"] = starts[1:] if len(starts) == 1 + -(-z // grid[0]) * -(-y // grid[1]) else []
+    return FileLayout(path, "nifti", shape, dtype, grid, detail, packed and not detail["members"])
+
+
+def _member_rows(layout: FileLayout, f, box: Box, stored: np.dtype) -> np.ndarray:
+    """A box from its own member."""
+    (z0, z1), (y0, y1), (x0, x1) = box
+    depth, rows, _ = layout.grid
+    shape = [min(g, n - b // g * g) for g, n, b in zip(layout.grid, layout.shape, (z0, y0, 0))]
+    f.seek(layout.detail["members"][z0 // depth * -(-layout.shape[1] // rows) + y0 // rows])
+    raw = zlib.decompressobj(31).decompress(_whole_member(f))
+    inner = [slice(a % g, a % g + b - a) for (a, b), g in ((box[0], depth), (box[1], rows))]
+    return np.frombuffer(raw, stored).reshape(shape)[inner[0], inner[1], x0:x1]
+
+
+def _whole_member(f) -> bytes:
+    head = f.read(24)
+    return head + f.read(struct.unpack("<Q", head[16:24])[0] - 24)
 
 
 def read_boxes(layout: FileLayout, boxes) -> Iterator[tuple[Box, np.ndarray]]:
-    """Read boxes in file order; a compressed file is decompressed once, in passing."""
+    """Read boxes from their members, or in file order; a file without sized members is decompressed once, in passing."""
     d = layout.detail
     stored = np.dtype(d["stored"])
     _, height, width = layout.shape
-    with _open(layout.path) as f:
+    with open(layout.path, "rb") if d.get("members") else _open(layout.path) as f:
         for box in boxes:
             (z0, z1), (y0, y1), (x0, x1) = box
-            rows = []
-            for z in range(z0, z1):
-                f.seek(d["offset"] + ((z * height) + y0) * width * stored.itemsize)
-                raw = f.read((y1 - y0) * width * stored.itemsize)
-                rows.append(np.frombuffer(raw, stored).reshape(y1 - y0, width)[:, x0:x1])
-            data = np.stack(rows)
+            if d.get("members"):
+                data = _member_rows(layout, f, box, stored)
+            else:
+                rows = []
+                for z in range(z0, z1):
+                    f.seek(d["offset"] + ((z * height) + y0) * width * stored.itemsize)
+                    raw = f.read((y1 - y0) * width * stored.itemsize)
+                    rows.append(np.frombuffer(raw, stored).reshape(y1 - y0, width)[:, x0:x1])
+                data = np.stack(rows)
             if d["slope"] is not None:
                 data = data.astype("f8") * d["slope"] + d["shift"]
             yield box, data

@@ -102,6 +102,15 @@ class ReadTask(InputPartition):
         super().__init__(None)
 
 
+def _narrowed(layout: FileLayout, wanted: Box, first: int, last: int) -> FileLayout:
+    """The layout without the page entries that a range of boxes does not need, so a task does not carry the whole table."""
+    if "slots" not in layout.detail:
+        return layout
+    span = grid_span(layout.shape, layout.grid, wanted)
+    ends = [grid_box(layout.shape, layout.grid, span, k)[0] for k in (first, last - 1)]
+    return tiff.with_pages(layout, ends[0][0], ends[1][1])
+
+
 def plan_tasks(stack: Stack, wanted: Box, parallel: int = 1) -> list[ReadTask]:
     """Only files and boxes that overlap the wanted part, in evenly sized tasks.
 
@@ -124,7 +133,7 @@ def plan_tasks(stack: Stack, wanted: Box, parallel: int = 1) -> list[ReadTask]:
             if filled + size > room:
                 tasks.append(ReadTask([]))
                 filled = 0
-            tasks[-1].ranges.append(BoxRange(layout, start, local, first, last))
+            tasks[-1].ranges.append(BoxRange(_narrowed(layout, local, first, last), start, local, first, last))
             filled += size
     return tasks
 

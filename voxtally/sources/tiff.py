@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import logging
 import re
 import struct
 import zlib
+from dataclasses import replace
 
 import numpy as np
 
 from voxtally.schema import Shape
 from voxtally.sources.layout import Box, FileLayout, raster_grid
 
+log = logging.getLogger(__name__)
+
 # Tag numbers and field types of the TIFF 6.0 specification (fixed values).
 WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, DESCRIPTION = 256, 257, 258, 259, 262, 270
 OFFSETS, SAMPLES, ROWS, COUNTS, PLANAR, PREDICTOR = 273, 277, 278, 279, 284, 317
@@ -91,6 +95,8 @@ def describe(path: str) -> FileLayout:
         "samples": samples,
         "planar": one(first, PLANAR, 1) == 2,
     }
+    if samples > 1:
+        log.warning("%s: the %d samples of a pixel become slices along Z", path, samples)
     shape = (len(slots) * samples, height, width)
     grid = raster_grid(shape, dtype.itemsize)
     if detail["deflate"]:
@@ -101,6 +107,13 @@ def describe(path: str) -> FileLayout:
     return FileLayout(path, "tiff", shape, dtype.str, grid, detail)
 
 
+def with_pages(layout: FileLayout, z0: int, z1: int) -> FileLayout:
+    """The layout with the directory entries of some slices only, for the task that reads them."""
+    first, samples = layout.detail.get("first", 0), layout.detail["samples"]
+    a, b = z0 // samples, -(-z1 // samples)
+    return replace(layout, detail={**layout.detail, "slots": layout.detail["slots"][a - first : b - first], "first": a})
+
+
 def _tile(f, page, k: int, layout: FileLayout, shape) -> np.ndarray:
     """Decode one strip or tile into (rows, columns, samples)."""
     offsets, counts = page
@@ -126,7 +139,7 @@ def read_box(layout: FileLayout, box: Box) -> np.ndarray:
     out = np.zeros((z1 - z0, y1 - y0, x1 - x0), np.dtype(layout.dtype))
     with open(layout.path, "rb") as f:
         for z in range(z0, z1):
-            page, sample = d["slots"][z // samples], z % samples
+            page, sample = d["slots"][z // samples - d.get("first", 0)], z % samples
             for ty in range(y0 // th, -(-y1 // th)):
                 for tx in range(x0 // tw, -(-x1 // tw)):
                     k = ty * across + tx + (sample * across * down if d["planar"] else 0)

@@ -8,7 +8,6 @@ their final name only when whole, and a repeated task writes the same bytes.
 
 from __future__ import annotations
 
-import gzip
 import os
 import shutil
 import uuid
@@ -157,7 +156,7 @@ class GzipPartSink:
     folder: str
 
     def __call__(self, box: Box, data: np.ndarray) -> int:
-        raw = gzip.compress(data.tobytes(), 6, mtime=0)
+        raw = nifti.gzip_member(data.tobytes())
         final = part_path(self.folder, box[0][0], box[1][0])
         temp = f"{final}.{uuid.uuid4().hex[:8]}"
         with open(temp, "wb") as f:
@@ -362,7 +361,7 @@ def _offsets(done: DataFrame, depth: int, sliced: bool, head: int) -> DataFrame:
 def _write_nifti(volume: DataFrame | Made, meta: VolumeMeta, path: str, sliced: bool) -> None:
     z, y, x = meta.shape
     spark = _session(volume)
-    head = gzip.compress(nifti.header((1, y, x) if sliced else meta.shape, meta.dtype), 6, mtime=0)
+    head = nifti.gzip_member(nifti.header((1, y, x) if sliced else meta.shape, meta.dtype))
     parts = f"{path}.parts"
     os.makedirs(parts)
     depth, rows, width = raster_grid(meta.shape, np.dtype(meta.dtype).itemsize)
