@@ -196,6 +196,15 @@ def test_gradient_is_that_of_the_loss():
             assert abs((up - down) / (2 * step) - grad[at]) < 2e-3
 
 
+def test_pooled_scores_weigh_languages_like_the_labels():
+    network = langid.Network.fresh(["a", "b", "c"], 1)
+    codes, owner = langid.cut([b"the first text, " * 9, b"x", b"", "zwölf".encode()])
+    labels = (network.labels(codes) * (codes < 256)[:, :, None]).sum(axis=0)
+    pooled = network.pooled(codes)
+    assert owner.tolist() == [0, 0, 0, 1, 3]
+    np.testing.assert_allclose(pooled - pooled[:, :1], labels - labels[:, :1], atol=1e-3)
+
+
 def _toxic_rows(n):
     rng = random.Random(4)
     rows = []

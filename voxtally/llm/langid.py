@@ -71,6 +71,45 @@ class Network:
         logits -= logits.max(axis=2, keepdims=True)
         return logits - np.log(np.exp(logits).sum(axis=2, keepdims=True))
 
+    def pooled(self, codes: np.ndarray) -> np.ndarray:
+        """Scores of each window, summed over its positions: (windows, languages).
+
+        They differ from the sums of :meth:`labels` by one number a window, the
+        same for all languages, so they weigh the languages alike; and the output
+        layer, being linear, is applied once to the summed states.
+        """
+        size, k = codes.shape[1], HIDDEN
+        total = (codes < 256).sum(axis=0, dtype=np.float32)[:, None] * self.bias
+        padding = [np.flatnonzero(row == 256) for row in codes]
+        for side in (0, 1):
+            tables = [np.ascontiguousarray(self.inputs[side][:, i * k : i * k + k]) for i in range(3)]
+            loops = [np.ascontiguousarray(self.loops[side][:, i * k : i * k + k]) for i in range(3)]
+            h, states = np.zeros((size, k), np.float32), np.zeros((size, k), np.float32)
+            gates = [np.empty((size, k), np.float32) for _ in range(2)]
+            given, back = np.empty((size, k), np.float32), np.empty((size, k), np.float32)
+            for t in range(len(codes)) if side == 0 else range(len(codes) - 1, -1, -1):
+                for gate, table, loop in zip(gates, tables, loops, strict=False):
+                    np.take(table, codes[t], axis=0, out=gate, mode="clip")
+                    gate += np.matmul(h, loop, out=back)
+                    gate *= 0.5
+                    np.tanh(gate, out=gate)
+                    gate *= 0.5
+                    gate += 0.5
+                update, reset = gates
+                fresh = np.take(tables[2], codes[t], axis=0, out=given, mode="clip")
+                np.matmul(h, loops[2], out=back)
+                back *= reset
+                fresh += back
+                np.tanh(fresh, out=fresh)
+                h -= fresh
+                h *= update
+                h += fresh
+                states += h
+                if padding[t].size:
+                    states[padding[t]] -= h[padding[t]]
+            total += states @ self.out[side * k : side * k + k]
+        return total
+
     def gradient(self, codes: np.ndarray, target: np.ndarray) -> tuple[list[np.ndarray], float]:
         """Gradients of the mean cross entropy over the positions that hold a byte."""
         kept: tuple[list, list] = ([], [])
@@ -149,9 +188,7 @@ def predict(network: Network, texts: list[str | None]) -> list[tuple[str, float]
     codes, owner = cut(raw)
     if len(network.languages) > 1:
         for at in range(0, owner.size, ROWS):
-            some = codes[:, at : at + ROWS]
-            labels = network.labels(some) * (some < 256)[:, :, None]
-            np.add.at(evidence, owner[at : at + ROWS], labels.sum(axis=0))
+            np.add.at(evidence, owner[at : at + ROWS], network.pooled(codes[:, at : at + ROWS]))
     # Neighbouring positions see the same letters: the evidence counts once for about four of them, and for no more than 100.
     evidence *= (np.minimum(sizes / 4, 100) / sizes)[:, None]
     share = np.exp(evidence - evidence.max(axis=1, keepdims=True))
