@@ -318,6 +318,11 @@ _BODIES = {
     "image_folder_o5": "select z, y, x, cast(hemisphere_id as bigint) as value from labels_v where hemisphere_id <> 0",
     "image_folder_deep_o5": "select z, y, x, cast(hemisphere_id * 30000 as bigint) as value from labels_v where hemisphere_id <> 0",
     "zarr_blosc_scan_o4": "select z, y, x, value from annotation_v",
+    "extract_many_o81": f"""select 'R1' as acronym, value, z, count(*) as voxels
+        from ({_nearest(f"({_region('R1', 11)})", _ATLAS, _NATIVE)}) group by all
+        union all select 'R2', value, z, count(*) from ({_nearest(f"({_region('R2', 12)})", _ATLAS, _NATIVE)}) group by all""",
+    "backups_o93": """select cast(age as int) as age, count(*) filter (volume_voxels > 10 * (age + 1)) as cells
+        from cells_v, range(4) t(age) group by age""",
     "slab_writes_o10": "select z, y, x, value from annotation_v",
     "ome_zarr_level_o10b": f"""select z, y, x, value, 0 as level from annotation_v
         union all select *, 1 as level from ({_nearest("annotation_v", _ATLAS, _halves()[1])})""",
@@ -384,3 +389,11 @@ ORACLE["run_journal_o90"] = _with(
     recursive=True,
     extra=_reach(18),
 )
+ORACLE["registered_outputs_o88"] = _with(
+    f"""select distinct z, y, x, cast(255 as bigint) as value, 'native' as output from ({_SUMS}) where n between {_LO} and {_HI}
+        union all select distinct cast(f.z * s.az // s.nz as int), cast(f.y * 160 // 640 as int), cast(f.x * 24 // 96 as int), 255, 'atlas'
+        from ({_SUMS}) f, shape_v s where n between {_LO} and {_HI}
+        union all select z, y, x, value, 'roi' from ({_nearest(f"({_region('R1', 11)})", _ATLAS, _NATIVE)})""",
+    recursive=True,
+    extra=_reach(18),
+)

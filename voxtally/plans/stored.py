@@ -257,3 +257,35 @@ def _(b: Brain) -> DataFrame:
     rows = journal.latest(journal.attempts(b.spark, os.path.dirname(done["cells_path"])), good=True)
     counted = F.coalesce(*[F.element_at("results", F.lit(k)) for k in ("cells_detected", "passed", "total_cells")])
     return rows.select("step", "outcome", counted.cast("bigint").alias("cells"))
+
+
+@register("registered_outputs_o88")
+def _(b: Brain) -> DataFrame:
+    """Every stage with a region and a functional system; the voxels of both redraws and of the region."""
+    system = {"keywords": ["a"], "acronyms": ["R2"]}
+    done = brain_runs.run_brain(b.spark, _config(b, True), roi_acronyms=["R1"], functional_system=system)["cFos"]
+    paths = {"native": done["redraw"]["native"], "atlas": done["redraw"]["atlas"], "roi": done["roi_extract"]["R1"]["output_path"]}
+    parts = [open_volume(b.spark, path).voxels().withColumn("output", F.lit(kind)) for kind, path in paths.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("extract_many_o81")
+def _(b: Brain) -> DataFrame:
+    """Two regions and an acronym that the ontology does not have."""
+    found = brain_runs.extract_regions(_annotation(b, "zarr"), views.structures(b), ["R1", "none", "R2"], b.native, _folder(b, "volume"))
+    parts = [open_volume(b.spark, part["output_path"]).voxels().withColumn("acronym", F.lit(name)) for name, part in found.items()]
+    return parts[0].unionByName(parts[1]).groupBy("acronym", "value", "z").agg(F.count(F.lit(1)).alias("voxels"))
+
+
+@register("backups_o93")
+def _(b: Brain) -> DataFrame:
+    """A table written five times: the last three replaced ones are kept, oldest first."""
+    path = os.path.join(_folder(b, "cells"), "cells.parquet")
+    for least in range(0, 50, 10):
+        tables.write_cells(views.cells(b).filter(F.col("volume_voxels") > least), path, stage="filter")
+    kept = [*tables.list_backups(path, "filter"), path]
+    parts = [b.spark.read.parquet(p).agg(F.lit(k).alias("age"), F.count(F.lit(1)).alias("cells")) for k, p in enumerate(kept)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
