@@ -41,7 +41,7 @@ def _contract(edges: DataFrame) -> DataFrame:
     return edges.mapInArrow(contract, "hi bigint, lo bigint")
 
 
-def _star_step(edges: DataFrame, node: str, out_hi, out_lo, changed) -> DataFrame:
+def _star_step(edges: DataFrame, node: str, out_hi, out_lo) -> DataFrame:
     """Join every edge with the smallest neighbour of ``node`` and rewrite it.
 
     Smallest neighbours come from a pre-aggregated group-by and are unique, so
@@ -49,8 +49,14 @@ def _star_step(edges: DataFrame, node: str, out_hi, out_lo, changed) -> DataFram
     """
     lowest = edges.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("lowest"))
     joined = edges.withColumn("node", F.col(node)).join(lowest, "node", "left")
-    rewritten = joined.select(out_hi.alias("hi"), out_lo.alias("lo"), (F.col("changed") | changed).alias("changed"))
-    return rewritten.filter("hi <> lo").groupBy("hi", "lo").agg(F.max("changed").alias("changed"))
+    return joined.select(out_hi.alias("hi"), out_lo.alias("lo")).filter("hi <> lo").distinct()
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour at most and none of these has one itself."""
+    forked = edges.groupBy("hi").count().filter("count > 1").select("hi")
+    chained = edges.select(F.col("lo").alias("hi")).join(edges.select("hi"), "hi", "left_semi")
+    return forked.unionByName(chained).isEmpty()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -60,19 +66,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
     their own first; then the alternating large-star / small-star method turns
     the graph into stars around the smallest node of each component. Every round
     is two group-bys and two joins on evenly sized rows, and is written out so
-    that plans stay short and losses stay cheap.
+    that plans stay short and losses stay cheap. Rounds end when all are stars.
     """
     table = edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).filter("hi <> lo")
     table = cut_lineage(_contract(table).distinct(), "edges")
-    moved = F.col("lo") != F.col("lowest")
-    while True:
-        fresh = table.withColumn("changed", F.lit(False))
-        large = _star_step(fresh, "lo", F.col("hi"), F.coalesce("lowest", "lo"), F.col("lowest").isNotNull())
-        stars = _star_step(large, "hi", F.when(moved, F.col("lo")).otherwise(F.col("hi")), F.col("lowest"), moved)
-        after = cut_lineage(stars, "edges")
+    while not _are_stars(table):
+        large = _star_step(table, "lo", F.col("hi"), F.coalesce("lowest", "lo"))
+        moved = F.when(F.col("lo") != F.col("lowest"), F.col("lo")).otherwise(F.col("hi"))
+        after = cut_lineage(_star_step(large, "hi", moved, F.col("lowest")), "edges")
         drop_written(table)
         table = after
-        if not table.filter("changed").limit(1).count():
-            break
     roots = table.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct()
     return table.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(roots)
