@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -22,15 +23,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxtally.session import ship_package
+from voxtally.llm.workers import ready
 
 SAMPLE = 1500  # labelled texts of each class that the model is fitted on, at most
-SENTENCES = 50_000  # sentences of each class used in the fit, at most
+SENTENCES = 60_000  # sentences of each class used in the fit, at most
 LANDMARKS = 128
 SPAN = 5  # letters over which a triple may stretch
 DECAY = 0.6  # weight of a triple for each letter of its stretch
 LENGTH = 30  # a sentence without a full stop ends after so many words
-MAX_WORDS = 500_000  # words remembered by a worker
+MAX_WORDS = 120_000  # words remembered by a worker
+TOGETHER = 4_000  # words compared with the landmarks at once
 THRESHOLD = 0.7
 SURPRISE = 20.0  # log-likelihood ratio from which a word marks the sentences of toxic texts
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -78,8 +80,12 @@ class Model:
     def likeness(self, words: list[str]) -> np.ndarray:
         """Kernel of each word with every landmark; cubed, so that only close words count."""
         found = np.zeros((len(words), self.table.shape[1]), dtype=np.float32)
-        if not words or not self.codes.size:
-            return found
+        for at in range(0, len(words) if self.codes.size else 0, TOGETHER):
+            self._add_likeness(words[at : at + TOGETHER], found[at : at + TOGETHER])
+        found **= 3
+        return found
+
+    def _add_likeness(self, words: list[str], found: np.ndarray) -> None:
         owners, codes, weights = triples(words)
         at = np.minimum(np.searchsorted(self.codes, codes), self.codes.size - 1)
         hit = np.flatnonzero(self.codes[at] == codes)
@@ -87,7 +93,6 @@ class Model:
             some = hit[begin : begin + 8_000]
             starts = np.flatnonzero(np.concatenate([[True], np.diff(owners[some]) > 0]))
             found[owners[some[starts]]] += np.add.reduceat(weights[some, None].astype(np.float32) * self.table[at[some]], starts)
-        return found**3
 
     def learn(self, chunks: set[str]) -> None:
         """Remember the numbers of words not met before."""
@@ -140,7 +145,7 @@ def pooled(margins: np.ndarray) -> np.ndarray:
 
 
 def _sentences(text: str) -> list[list[str]]:
-    found = [letters_ for s in re.split(r"[.!?]\s", text.lower()) if (letters_ := [w for c in s.split() if len(w := letters(c)) > 2])]
+    found = [own for s in re.split(r"[.!?]\s", text.lower()) if (own := [sys.intern(w) for c in s.split() if len(w := letters(c)) > 2])]
     return [s[i : i + LENGTH] for s in found for i in range(0, len(s), LENGTH)]
 
 
@@ -163,17 +168,35 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 40) -> np
 
 def _svm(x: np.ndarray, y: np.ndarray, cost: float = 0.3, steps: int = 25) -> tuple[np.ndarray, float]:
     """Linear SVM with squared hinge loss by Newton steps."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(x.shape[1])
+    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
+    y, w = y.astype(x.dtype), np.zeros(x.shape[1])
     ridge = np.eye(x.shape[1])
     ridge[-1, -1] = 1e-6
     for _ in range(steps):
-        inside = y * (x @ w) < 1
-        a = x[inside] * cost
-        w = np.linalg.solve(ridge + a.T @ x[inside], a.T @ y[inside])
+        inside = y * (x @ w.astype(x.dtype)) < 1
+        a = x[inside]
+        square, side = (a.T @ a).astype(np.float64), (a.T @ y[inside]).astype(np.float64)
+        w = np.linalg.solve(ridge + cost * square, cost * side)
     return w[:-1], float(w[-1])
 
 
+def _mapped(model: Model, space: np.ndarray, sentences: list[list[str]]) -> np.ndarray:
+    """Sentences in the Nyström space: the sums of their words, some distinct words at a time."""
+    place: dict[str, int] = {}
+    word = np.array([place.setdefault(w, len(place)) for s in sentences for w in s], dtype=np.int32)
+    owner = np.repeat(np.arange(len(sentences), dtype=np.int32), [len(s) for s in sentences])
+    order = np.argsort(word, kind="stable")
+    word, owner, words = word[order], owner[order], list(place)
+    found = np.zeros((len(sentences), space.shape[1]), np.float32)
+    for at in range(0, len(words), TOGETHER):
+        own = slice(*np.searchsorted(word, (at, at + TOGETHER)))
+        some = model.likeness(words[at : at + TOGETHER]) @ space
+        for begin in range(own.start, own.stop, 20_000):
+            part = slice(begin, min(begin + 20_000, own.stop))
+            np.add.at(found, owner[part], some[word[part] - at])
+    return found
+
+
 def fit(texts: list[str], toxic: list[int], prior: float | None = None, seed: int = 0) -> Model:
     """Train on labelled texts. ``prior``: the share of toxic texts to calibrate for, their share here if None.
 
@@ -192,6 +215,7 @@ def fit(texts: list[str], toxic: list[int], prior: float | None = None, seed: in
     seeds = {w: g for w, a in bad.items() if (g := _surprise(a, good[w], n_bad, n_good)) > SURPRISE}
     marks = sorted(seeds, key=lambda w: (-seeds[w], w))[: LANDMARKS * 3 // 4]
     marks += [w for w, _ in good.most_common(LANDMARKS * 4) if w not in seeds][: LANDMARKS - len(marks)]
+    del bad, good
     owners, found, weights = triples([w[:64] for w in marks])
     codes, at = np.unique(found, return_inverse=True)
     table = np.zeros((codes.size, len(marks)))
@@ -210,14 +234,16 @@ def fit(texts: list[str], toxic: list[int], prior: float | None = None, seed: in
         pick = rng.permutation(len(some))[:SENTENCES] if len(some) > SENTENCES else range(len(some))
         chosen.append([some[i] for i in pick])
     if chosen[0] and chosen[1]:
-        sentences = chosen[0] + chosen[1]
-        words = sorted({w for s in sentences for w in s})
-        place = {w: i for i, w in enumerate(words)}
-        mapped = model.likeness([w[:64] for w in words]) @ space
-        x = np.array([mapped[[place[w] for w in s]].sum(axis=0) for s in sentences])
+        x = _mapped(model, space, chosen[0] + chosen[1])
         v, model.bias = _svm(x, np.repeat([1.0, -1.0], [len(c) for c in chosen]))
         model.alpha = space @ v
-    model.weights = _logistic(model.features(texts), y.astype(float), 1.0)
+    del positive, negative, chosen, split
+    parts = []
+    for at in range(0, len(texts), 256):
+        parts.append(model.features(texts[at : at + 256]))
+        model.known.clear()
+    features = np.concatenate(parts)
+    model.weights = _logistic(features, y.astype(float), 1.0)
     if prior is not None and 0 < prior < 1:
         share = y.mean()
         model.weights[0] += math.log(prior / (1 - prior)) - math.log(share / (1 - share))
@@ -251,7 +277,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "toxici
 
     A column that is called like the new one is replaced. Repeated rows get equal scores.
     """
-    ship_package(docs.sparkSession)
+    ready(docs.sparkSession)
     docs = docs.drop(name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
