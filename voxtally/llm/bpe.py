@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxtally.session import ship_package
+from voxtally.llm.workers import ready
 
 MAX_STATES = 400_000  # the transducer is rebuilt beyond that; results do not depend on it
 MAX_WORDS = 600_000  # so many encoded words are remembered
@@ -215,7 +215,7 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
     A null or empty text gives no ids; rows are kept as they come, repeated or
     null keys included; other columns are not carried. Narrow: no shuffle.
     """
-    ship_package(docs.sparkSession)
+    ready(docs.sparkSession)
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,7 +230,7 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
 
 def decode(encoded: DataFrame, path: str, pattern: str, key: str = "doc_id") -> DataFrame:
     """``key`` and the text of ``ids``; null ids give an empty text, unknown ids an error."""
-    ship_package(encoded.sparkSession)
+    ready(encoded.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
@@ -250,7 +250,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", te
     Columns: ``key``, n_tokens, ids_sha256 (decimal ids joined by one space),
     decoded_sha256 (UTF-8 of the decoded text). Edge cases as in :func:`encode`.
     """
-    ship_package(docs.sparkSession)
+    ready(docs.sparkSession)
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,9 +23,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxtally.session import cut_lineage, ship_package
+from voxtally.llm.workers import ready
+from voxtally.session import cut_lineage
 
-MAX_WORDS = 600_000  # so many tokenised words are remembered by a worker
+MAX_WORDS = 450_000  # so many tokenised words are remembered by a worker
 LONG_WORD = 48  # words of more bytes are not remembered
 
 
@@ -138,7 +139,7 @@ def pieces(docs: DataFrame, path: str, limit: int = 2048, end_id: int = 0, key:
     ``part`` that made the piece and its ``place`` among that partition's pieces
     of the same length; with ``ids`` also the ids themselves. Narrow: no shuffle.
     """
-    ship_package(docs.sparkSession)
+    ready(docs.sparkSession)
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     names = ["key", "piece", "start", "length", "ids_crc32", "part", "place"] + ["ids"] * ids
     end, width = np.array([end_id], dtype="<u4").tobytes(), 4 * limit

@@ -17,7 +17,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxtally.session import cut_lineage, ship_package
+from voxtally.llm.workers import ready
+from voxtally.session import cut_lineage
 
 BLOCK_ROWS = 1024
 SHELF_BLOCKS = 16  # blocks that one task holds
@@ -102,7 +103,7 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     by chunk and shelf, so no task grows with the table; each gives k rows a query.
     """
     spark = rows.sparkSession
-    ship_package(spark)
+    ready(spark)
     packed = cut_lineage(blocks(rows), "blocks")
     asked = queries.groupBy("id").agg(F.min("terms").alias("terms"))
     asked = cut_lineage(asked.withColumn("width", F.size("terms").cast("bigint")), "queries")
