@@ -243,3 +243,8 @@ def label(docs: DataFrame, network: Network, text: str = "text", lang: str = "la
 def drop_unknown(docs: DataFrame, network: Network, text: str = "text") -> DataFrame:
     """The documents that are in some language, i.e. not ``und``, with their columns."""
     return label(docs, network, text, "__lang", "__score").filter(F.col("__lang") != UNKNOWN).select(*docs.columns)
+
+
+def drop_letterless(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The documents with a letter, with their columns: all that can be told where no language was trained."""
+    return docs.filter(F.coalesce(F.col(text), F.lit("")).rlike(r"\p{L}"))
