@@ -98,20 +98,25 @@ def _tokenizer(path: str):
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are parallel already
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
+    tokenizer, whole = Tokenizer.from_file(path), Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    return tokenizer, {}
+    return tokenizer, {}, whole, [t.content for t in whole.get_added_tokens_decoder().values()]
 
 
-def token_bytes(texts: list[str], path: str) -> Iterator[bytes]:
+def token_bytes(texts: list[str], path: str, special: bool = False) -> Iterator[bytes]:
     """Ids of each text as little-endian unsigned 32-bit numbers.
 
+    With ``special``, special tokens that are written out in a text get their own
+    ids, as the library has it by default; such texts go through the untouched
+    tokenizer as they are. Without it they are read as any other characters.
+
     The tokenizer lower-cases, drops white space and never joins across it, nor
     a letter with a mark after it. So lower-cased words between ASCII white space
     are tokenised once, a final mark apart, and put together again.
     """
-    tokenizer, known = _tokenizer(path)
-    split = [t.encode("utf-8").lower().split() for t in texts]
+    tokenizer, known, whole, literals = _tokenizer(path)
+    marked_up = {i for i, t in enumerate(texts) if any(x in t for x in literals)} if special else set()
+    split = [[] if i in marked_up else t.encode("utf-8").lower().split() for i, t in enumerate(texts)]
     if len(known) > MAX_WORDS:
         known.clear()
     fresh = {w for words in split for w in words if w not in known}
@@ -126,16 +131,19 @@ def token_bytes(texts: list[str], path: str) -> Iterator[bytes]:
         stem, mark = word[:-1], word[-1:]
         found[word] = (found[stem] if stem in found else known[stem]) + (found[mark] if mark in found else known[mark])
     known.update((w, coded) for w, coded in found.items() if len(w) <= LONG_WORD)
-    for words in split:
+    for i, words in enumerate(split):
+        if i in marked_up:
+            yield array("I", whole.encode(texts[i], add_special_tokens=False).ids).tobytes()
+            continue
         yield b"".join([known[w] if w in known else found[w] for w in words])
 
 
-def pieces(docs: DataFrame, path: str, limit: int = 2048, end_id: int = 0, key: str = "doc_id", text: str = "text", ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, path: str, limit: int = 2048, end_id: int = 0, key: str = "doc_id", text: str = "text", ids: bool = False, special: bool = False) -> DataFrame:
     """Token pieces of every document, at most ``limit`` tokens each.
 
     A document is its ids and ``end_id``; only a longer one is cut. Null text
     counts as empty (one piece of one token); repeated or null keys stay as
-    they are. Columns: ``key``, piece, start, length, ids_crc32, the partition
+    they are; ``special`` is that of :func:`token_bytes`. Columns: ``key``, piece, start, length, ids_crc32, the partition
     ``part`` that made the piece and its ``place`` among that partition's pieces
     of the same length; with ``ids`` also the ids themselves. Narrow: no shuffle.
     """
@@ -150,7 +158,7 @@ def pieces(docs: DataFrame, path: str, limit: int = 2048, end_id: int = 0, key:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
                 source, table = [], []
-                for row, coded in enumerate(token_bytes(batch.column(1).to_pylist(), path)):
+                for row, coded in enumerate(token_bytes(batch.column(1).to_pylist(), path, special)):
                     coded += end
                     for number, begin in enumerate(range(0, len(coded), width)):
                         own = coded[begin : begin + width]
@@ -203,6 +211,6 @@ def pack(table: DataFrame, limit: int = 2048) -> DataFrame:
     return ranked.mapInArrow(run, f"{schema}, sequence_id bigint, offset bigint")
 
 
-def pack_documents(docs: DataFrame, path: str, limit: int = 2048, end_id: int = 0, key: str = "doc_id", text: str = "text", ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, limit: int = 2048, end_id: int = 0, key: str = "doc_id", text: str = "text", ids: bool = False, special: bool = False) -> DataFrame:
     """Tokenise, cut and pack all documents; see :func:`pieces` and :func:`pack`."""
-    return pack(cut_lineage(pieces(docs, path, limit, end_id, key, text, ids), "pieces"), limit)
+    return pack(cut_lineage(pieces(docs, path, limit, end_id, key, text, ids, special), "pieces"), limit)
