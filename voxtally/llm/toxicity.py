@@ -17,6 +17,7 @@ import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,8 @@ SAMPLE = 1500  # labelled texts of each class that the model is fitted on, at mo
 SENTENCES = 60_000  # sentences of each class used in the fit, at most
 LANDMARKS = 128
 SPAN = 5  # letters over which a triple may stretch
+WHOLE = 64  # letters of a word that is compared as one; longer runs of letters are cut
+WINDOWS = ((6, 1), (8, 2), (12, 3), (16, 4))  # letters of the pieces of a long run, and of the way from one to the next
 DECAY = 0.6  # weight of a triple for each letter of its stretch
 LENGTH = 30  # a sentence without a full stop ends after so many words
 MAX_WORDS = 120_000  # words remembered by a worker
@@ -44,6 +47,14 @@ def letters(chunk: str) -> str:
     return chunk if chunk.isalpha() else "".join(LETTERS.findall(chunk))
 
 
+def windows(word: str) -> Iterator[tuple[int, str]]:
+    """A word, or a run of too many letters as overlapping pieces of several lengths, each of which covers it to its end; with their places."""
+    if len(word) <= WHOLE:
+        yield 0, word
+    else:
+        yield from ((at, word[at : at + width]) for width, step in WINDOWS for at in range(0, len(word) - width + step, step))
+
+
 def triples(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Gapped letter triples of many words: word number, code and weight of each, in word order.
 
@@ -85,6 +96,15 @@ class Model:
         found **= 3
         return found
 
+    def worst(self, word: str) -> dict[int, float]:
+        """The largest number of the windows of a word in each stretch of as many letters as a sentence has words."""
+        found: dict[int, float] = {}
+        pieces = windows(word)
+        while some := list(islice(pieces, TOGETHER)):
+            for (at, _), value in zip(some, (self.likeness([w for _, w in some]) @ self.alpha).tolist(), strict=True):
+                found[at // LENGTH] = max(value, found.get(at // LENGTH, value))
+        return found
+
     def _add_likeness(self, words: list[str], found: np.ndarray) -> None:
         owners, codes, weights = triples(words)
         at = np.minimum(np.searchsorted(self.codes, codes), self.codes.size - 1)
@@ -102,8 +122,10 @@ class Model:
         words = [letters(c) for c in fresh]
         for at in range(0, len(fresh), 20_000):
             some = words[at : at + 20_000]
-            values = self.likeness([w[:64] for w in some]) @ self.alpha
+            values = self.likeness([w if len(w) <= WHOLE else "" for w in some]) @ self.alpha
             for chunk, word, value in zip(fresh[at : at + 20_000], some, values.tolist(), strict=True):
+                if len(word) > WHOLE:
+                    value = max(self.worst(word).values())
                 value = value if len(word) > 2 else 0.0
                 self.known[chunk] = value + _END * (chunk[-1] in ".!?") + _LONE * (len(word) == 1)
 
@@ -121,7 +143,8 @@ class Model:
             edges = np.flatnonzero(np.diff(np.concatenate([[0], lone, [0]])))
             for start, stop in edges.reshape(-1, 2).tolist():
                 if stop - start > 2:
-                    values[start] += float((self.likeness(["".join(map(letters, chunks[start : min(stop, start + 64)]))]) @ self.alpha)[0])
+                    for at, value in self.worst("".join(map(letters, chunks[start:stop]))).items():
+                        values[start + at * LENGTH] += value
         ends[LENGTH - 1 :: LENGTH] = True
         starts = np.concatenate([[0], np.flatnonzero(ends[:-1]) + 1])
         return np.add.reduceat(values, starts) + self.bias
