@@ -1,5 +1,7 @@
 """The language stage of the pipeline: what it keeps without training, and what the network rejects."""
 
+import random
+
 import corpus_pipeline
 from voxtally.llm import langid
 
@@ -12,3 +14,16 @@ def test_lettered_documents_stay_where_nothing_could_be_trained(spark):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {0, 1, 2}
     held = docs.filter(langid.held_out() & (langid.F.col("doc_id") < 3)).withColumn("lang", langid.F.lit("en"))
     assert corpus_pipeline.keep_languages(spark, held, "").count() == held.count()
+
+
+def test_lettered_texts_in_no_learned_language_go(spark):
+    rng = random.Random(3)
+    tongues = {"aa": ["the", "ing", "on", "wh", "er"], "bb": ["sch", "ü", "ver", "keit", "ein"]}
+    prose = lambda parts, n: " ".join("".join(rng.choices(parts, k=rng.randint(1, 3))) for _ in range(n)) + "."
+    clean = [(i, prose(tongues[lang], rng.randint(1, 60)), lang) for i in range(300) for lang in [sorted(tongues)[i % 2]]]
+    italian = "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, che la diritta via era smarrita. "
+    strange = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz   ", k=300)), "Все люди рождаются свободными и равными в своем достоинстве и правах. " * 3, italian * 3, "人人生而自由在尊严和权利上一律平等" * 5, prose(["kna", "puli", "zom", "vaq"], 60)]
+    rows = clean + [(400 + i, t, None) for i, t in enumerate(strange)] + [(500, "12 ?", "aa"), (501, None, "bb")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    kept = corpus_pipeline.keep_languages(spark, docs, "")
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, _, _ in clean}

@@ -25,6 +25,10 @@ WINDOW = 64  # bytes of a window; state does not pass from one to the next
 EPOCHS = 12
 ROWS = 4096  # windows run together
 UNKNOWN = "und"
+STRANGE = 2  # windows in no language for each one of an average language
+CALIBRATED, CLEAN = 2000, 0.998  # held-out texts that set the limit of the stage, and the share of them that has to stay
+LEAST_LIMIT = 60.0  # evidence against all languages, as a logarithm, without which no text goes
+SCRIPTS = ((0x61, 26), (0x3B1, 25), (0x430, 32), (0x561, 38), (0x5D0, 27), (0x627, 36), (0x905, 53), (0xE01, 46), (0x10D0, 33), (0x3041, 86), (0x4E00, 8000), (0xAC00, 11172))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -178,11 +182,39 @@ def fit(windows: list[tuple[str, str]], seed: int = 0, epochs: int = EPOCHS, bat
     return network
 
 
-def predict(network: Network, texts: list[str | None]) -> list[tuple[str, float]]:
-    """Language and its share of the pooled evidence for whole texts; ``und`` and 0 without letters or without a trained language."""
+def strangers(windows: list[tuple[str, str]], seed: int = 1) -> list[tuple[str, str]]:
+    """Windows in no language: the letters of given ones shuffled, invented languages in Latin letters, letters of many scripts."""
+    rng = np.random.default_rng(seed)
+    given = [piece for _, piece in windows if any(map(str.isalpha, piece))]
+    found = []
+    for i in range(STRANGE * len(given) // max(1, len({name for name, _ in windows}))):
+        kind = i % 4
+        if kind == 0:  # shuffled
+            piece = given[int(rng.integers(len(given)))]
+            letters = [c for c in piece if c.isalpha()]
+            mixed = iter([letters[j] for j in rng.permutation(len(letters))])
+            found.append("".join(next(mixed) if c.isalpha() else c for c in piece))
+            continue
+        start, many = SCRIPTS[0] if kind < 3 else SCRIPTS[int(rng.integers(len(SCRIPTS)))]
+        if kind == 1:  # any letter after any
+            steps = np.full((1, many), 1 / many)
+        elif kind == 2:  # an invented language: each letter has a few usual successors
+            steps = rng.dirichlet(np.full(many, 0.15), many)
+        else:
+            steps = rng.dirichlet(np.full(many, 0.5), 1)
+        ends, at, out = np.cumsum(steps, axis=1), 0, []
+        spaces = 0.0 if kind == 3 and rng.random() < 0.4 else 1 / rng.uniform(3, 9)
+        for draw, gap in zip(rng.random(WINDOW), rng.random(WINDOW), strict=True):
+            at = min(int(np.searchsorted(ends[at % len(ends)], draw)), many - 1)
+            out.append(" " if gap < spaces else chr(start + at))
+        piece = "".join(out)
+        found.append(piece.capitalize() if rng.random() < 0.2 else piece.upper() if rng.random() < 0.05 else piece)
+    return [(UNKNOWN, piece) for piece in found]
+
+
+def _evidence(network: Network, texts: list[str | None]) -> tuple[np.ndarray, list[bool]]:
+    """Pooled evidence for each language, and which texts have letters; the others have none."""
     lettered = [bool(t) and any(map(str.isalpha, t)) for t in texts]
-    if not network.languages:
-        return [(UNKNOWN, 0.0)] * len(texts)
     raw = [t.encode("utf-8") if ok else b"" for t, ok in zip(texts, lettered, strict=True)]
     evidence, sizes = np.zeros((len(texts), len(network.languages))), np.array([max(1, len(r)) for r in raw])
     codes, owner = cut(raw)
@@ -191,21 +223,38 @@ def predict(network: Network, texts: list[str | None]) -> list[tuple[str, float]
             np.add.at(evidence, owner[at : at + ROWS], network.pooled(codes[:, at : at + ROWS]))
     # Neighbouring positions see the same letters: the evidence counts once for about four of them, and for no more than 100.
     evidence *= (np.minimum(sizes / 4, 100) / sizes)[:, None]
+    return evidence, lettered
+
+
+def predict(network: Network, texts: list[str | None]) -> list[tuple[str, float]]:
+    """Language and its share of the pooled evidence for whole texts; ``und`` and 0 without letters or without a trained language."""
+    if not network.languages:
+        return [(UNKNOWN, 0.0)] * len(texts)
+    evidence, lettered = _evidence(network, texts)
     share = np.exp(evidence - evidence.max(axis=1, keepdims=True))
     share /= share.sum(axis=1, keepdims=True)
     best = share.argmax(axis=1)
     return [(network.languages[b], float(share[i, b])) if lettered[i] else (UNKNOWN, 0.0) for i, b in enumerate(best)]
 
 
+def strangeness(network: Network, texts: list[str | None]) -> np.ndarray:
+    """Logarithm of the pooled odds that whole texts are in none of the languages, for a network trained with strangers; infinite without letters."""
+    evidence, lettered = _evidence(network, texts)
+    none = np.array([name == UNKNOWN for name in network.languages])
+    known = np.logaddexp.reduce(evidence[:, ~none], axis=1)
+    return np.where(lettered, np.logaddexp.reduce(evidence[:, none], axis=1) - known, np.inf)
+
+
 def held_out(key: str = "doc_id") -> F.Column:
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Network:
+def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE, strange: bool = False) -> Network:
     """Fit on at most ``sample`` texts of each language that are not held out, ``PIECES`` windows of each.
 
     The texts are chosen by a hash of their key, the windows by a hash over the
-    whole text. Rows without text or language are not used.
+    whole text. Rows without text or language are not used. With ``strange`` the
+    network also learns ``und`` from made-up windows in no language.
     """
     usable = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.length(text) > 0) & ~held_out(key))
     counts = {r[0]: r[1] for r in usable.groupBy(lang).count().collect()}
@@ -216,7 +265,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
         starts = F.transform(F.sequence(F.lit(1), F.lit(PIECES)), lambda i: 1 + F.pmod(F.xxhash64(F.col(key), i), F.greatest(F.lit(1), F.length(text) - WINDOW + 1)).cast("int"))
         pieces = some.select(key, F.explode(F.array_distinct(starts)).alias("start"), text).select(key, "start", F.substring(F.col(text), F.col("start"), F.lit(WINDOW)).alias("piece"))
         found += [(name, r["piece"]) for r in sorted(pieces.collect())]
-    return fit(found)
+    return fit(found + strangers(found) if strange else found)
 
 
 def label(docs: DataFrame, network: Network, text: str = "text", lang: str = "lang_pred", score: str = "score") -> DataFrame:
@@ -245,6 +294,34 @@ def drop_unknown(docs: DataFrame, network: Network, text: str = "text") -> DataF
     return label(docs, network, text, "__lang", "__score").filter(F.col("__lang") != UNKNOWN).select(*docs.columns)
 
 
+def _judged(docs: DataFrame, network: Network, text: str, name: str) -> DataFrame:
+    """All rows and columns with the strangeness of each whole text added."""
+    ready(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(text)
+            found = [strangeness(network, texts.slice(at, 128).to_pylist()) for at in range(0, len(texts), 128)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate([np.empty(0), *found]))], names=[*batch.schema.names, name])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return docs.mapInArrow(run, f"{schema}, `{name}` double")
+
+
+def calibrate(docs: DataFrame, network: Network, key: str = "doc_id", text: str = "text", lang: str = "lang") -> float:
+    """The strangeness that ``CLEAN`` of about ``CALIBRATED`` held-out lettered texts with a language stay below, at least ``LEAST_LIMIT``."""
+    usable = docs.filter(held_out(key) & F.col(key).isNotNull() & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(key, text)
+    chance = F.pmod(F.xxhash64(F.col(key), F.lit(5)), F.lit(1 << 20)) / float(1 << 20)
+    some = usable.filter(chance < CALIBRATED / max(1, usable.count()))
+    found = sorted(r[0] for r in _judged(some, network, text, "__odds").select("__odds").collect())
+    return max(LEAST_LIMIT, 1.0 + found[math.ceil(CLEAN * len(found)) - 1]) if found else LEAST_LIMIT
+
+
+def drop_strange(docs: DataFrame, network: Network, limit: float, text: str = "text") -> DataFrame:
+    """The documents with letters whose strangeness is at most ``limit``, with their columns."""
+    return _judged(docs, network, text, "__odds").filter(F.col("__odds") <= limit).select(*docs.columns)
+
+
 def drop_letterless(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents with a letter, with their columns: all that can be told where no language was trained."""
     return docs.filter(F.coalesce(F.col(text), F.lit("")).rlike(r"\p{L}"))
