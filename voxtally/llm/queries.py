@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from voxtally.llm import bpe, langid, packing, pii, quality, shards, simhash, topk, toxicity, urls
+from voxtally.llm import bpe, contamination, hard_negatives, langid, packing, pii, quality, shards, simhash, spelling, topk, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +72,22 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*measured, quality.failed(quality.BASE.mask()).alias("base_failed"), "kept")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(hard_negatives.prepared(vectors.withColumn("label", label)), F.col("id") % 100 == 0)
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.col("item_ids").cast("binary"), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_pii": op2_pii,
@@ -83,6 +99,9 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_topk": op9_topk,
     "op10_quality": op10_quality,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_spelling": op12_spelling,
+    "op13_contamination": op13_contamination,
 }
 
 _URL_PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -157,5 +176,51 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     not (n_words < 10 or 100 * n_repeat_words > 20 * n_words or (n_lines >= 4 and 2 * n_dup_lines > n_lines)
         or n_symbols > n_words or word_chars > 40 * n_words) as kept
 from measured
+""",
+    "op11_hard_negatives": """
+with rows as (
+    select row_number() over () as rid, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: floor(256 * x::double)) as terms
+    from embeddings
+    where vec_id is not null and label is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+    select a.rid as anchor, a.vec_id as anchor_id, r.rid, r.vec_id, a.label = r.label as same, list_inner_product(a.terms, r.terms)::bigint as score
+    from rows a join rows r on a.rid <> r.rid
+    where a.vec_id % 100 = 0
+), positives as (
+    select *, row_number() over (partition by anchor order by score desc, vec_id, rid) as place from scored where same qualify place <= 5
+), met as (
+    select p.anchor_id, p.vec_id as positive_id, p.score as positive_score, n.vec_id as negative_id, n.score as negative_score,
+        row_number() over (partition by p.anchor, p.place order by n.score desc, n.vec_id, n.rid)::int as rank
+    from positives p join scored n on p.anchor = n.anchor and not n.same and 80 * p.score <= 100 * n.score and n.score <= p.score
+)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from met where rank <= 5
+""",
+    "op13_contamination": r"""
+with texts as (
+    select row_number() over () as rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from documents
+), items as (
+    select item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from benchmark
+), placed as (
+    select item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) as i from items where len(w) > 0
+), windows as (
+    select distinct item_id, least(10, len(w)) as size, array_to_string(w[i:i + 9], ' ') as words from placed
+), spots as (
+    select rid, w, unnest(range(1, len(w) + 1)) as i from texts
+), spans as (
+    select rid, i, size, array_to_string(w[i:i + size - 1], ' ') as words
+    from spots join (select distinct size from windows) on i + size - 1 <= len(w)
+), found as (
+    select rid, i, s.size, item_id from spans s join windows v on s.words = v.words and s.size = v.size
+), hit as (
+    select rid, count(distinct p) as n_hit from (select rid, unnest(range(i, i + size)) as p from found) group by rid
+), named as (
+    select rid, count(distinct item_id) as n_items, string_agg(distinct item_id::varchar, ',' order by item_id::varchar) as ids from found group by rid
+)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+    sha256(coalesce(ids, '')) as items_sha256, n_hit is not null as contaminated
+from texts left join hit using (rid) left join named using (rid)
 """,
 }
