@@ -79,6 +79,15 @@ def shared_folder(spark: SparkSession, stem: str) -> str:
     return local
 
 
+def fresh_name(df: DataFrame, stem: str) -> str:
+    """A column name that the table does not have; names differ by more than case."""
+    taken = {c.lower() for c in df.columns}
+    name = stem
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 _OWNED: list[list[str]] = []
 
 
