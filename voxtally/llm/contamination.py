@@ -26,7 +26,7 @@ from voxtally.llm.workers import ready
 from voxtally.session import cut_lineage
 
 WINDOW = 10  # words of a phrase
-SEGMENT_WORDS, SEGMENT_ROWS = 1 << 20, 1 << 14  # words and texts after which a segment is closed; a longer text is one segment
+SEGMENT_WORDS, SEGMENT_ROWS = 1 << 19, 1 << 14  # words and texts after which a segment is closed; a longer text is one segment
 BLOCK_PHRASES = 100_000  # phrases that one pass over the index takes
 SEED_ROWS = 1 << 20  # places followed at once
 GAP = 1 << 10  # free places between two texts, more than any phrase or distance
