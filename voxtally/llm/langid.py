@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxtally.llm.workers import ready
+from voxtally.session import fresh_name
 
 SAMPLE = 400  # texts of each language that the network is trained on, at most
 PIECES = 6  # windows taken from each of them, spread over the whole text
@@ -291,7 +292,8 @@ def label(docs: DataFrame, network: Network, text: str = "text", lang: str = "la
 
 def drop_unknown(docs: DataFrame, network: Network, text: str = "text") -> DataFrame:
     """The documents that are in some language, i.e. not ``und``, with their columns."""
-    return label(docs, network, text, "__lang", "__score").filter(F.col("__lang") != UNKNOWN).select(*docs.columns)
+    lang, score = fresh_name(docs, "lang"), fresh_name(docs, "score")
+    return label(docs, network, text, lang, score).filter(F.col(lang) != UNKNOWN).select(*docs.columns)
 
 
 def _judged(docs: DataFrame, network: Network, text: str, name: str) -> DataFrame:
@@ -319,7 +321,8 @@ def calibrate(docs: DataFrame, network: Network, key: str = "doc_id", text: str
 
 def drop_strange(docs: DataFrame, network: Network, limit: float, text: str = "text") -> DataFrame:
     """The documents with letters whose strangeness is at most ``limit``, with their columns."""
-    return _judged(docs, network, text, "__odds").filter(F.col("__odds") <= limit).select(*docs.columns)
+    name = fresh_name(docs, "odds")
+    return _judged(docs, network, text, name).filter(F.col(name) <= limit).select(*docs.columns)
 
 
 def drop_letterless(docs: DataFrame, text: str = "text") -> DataFrame:

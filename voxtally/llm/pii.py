@@ -106,17 +106,20 @@ def candidates(docs: DataFrame, text: str = "text", name: str = "candidates") ->
     Places are code points, ends exclusive. Null text counts as empty. Narrow.
     """
     content = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.withColumn("__t", content)
+    own = "w"  # no column starts so, so none is overwritten
+    while any(c.lower().startswith(own) for c in docs.columns):
+        own += "_"
+    rows = docs.withColumn(f"{own}t", content)
     generators = [(s, k, p) for s, ps in ((True, STRICT), (False, WIDE)) for k, p in ps.items()]
-    rows = rows.withColumns({f"__f{i}": F.expr(f"regexp_extract_all(__t, {_literal(p)}, 0)") for i, (_, _, p) in enumerate(generators)})
-    rows = rows.withColumns({f"__g{i}": F.expr(f"if(size(__f{i}) > 0, split(__t, {_literal(p)}, -1), array(''))") for i, (_, _, p) in enumerate(generators)})
-    placed = [_placed(f"__f{i}", f"__g{i}", KINDS.index(k), s) for i, (s, k, _) in enumerate(generators)]
+    rows = rows.withColumns({f"{own}f{i}": F.expr(f"regexp_extract_all({own}t, {_literal(p)}, 0)") for i, (_, _, p) in enumerate(generators)})
+    rows = rows.withColumns({f"{own}g{i}": F.expr(f"if(size({own}f{i}) > 0, split({own}t, {_literal(p)}, -1), array(''))") for i, (_, _, p) in enumerate(generators)})
+    placed = [_placed(f"{own}f{i}", f"{own}g{i}", KINDS.index(k), s) for i, (s, k, _) in enumerate(generators)]
     same = ", ".join(f"'{f}', c.{f}" for f in ("start", "kind", "end"))
     rest = ", ".join(f"'{f}', c.{f}" for f in ("value", "before", "after"))
     matched = f"transform(concat({', '.join(placed[: len(KINDS)])}), c -> named_struct({same}, 'strict', {_passes()}, {rest}))"
-    rows = rows.withColumn("__strict", F.expr(matched))
-    wide = f"filter(concat({', '.join(placed[len(KINDS):])}), c -> not exists(__strict, s -> s.kind = c.kind and s.start = c.start and s.end = c.end))"
-    return rows.select(*[F.col(c) for c in docs.columns], F.expr(f"concat(__strict, {wide})").alias(name))
+    rows = rows.withColumn(f"{own}strict", F.expr(matched))
+    wide = f"filter(concat({', '.join(placed[len(KINDS):])}), c -> not exists({own}strict, s -> s.kind = c.kind and s.start = c.start and s.end = c.end))"
+    return rows.select(*[F.col(c) for c in docs.columns], F.expr(f"concat({own}strict, {wide})").alias(name))
 
 
 @dataclass
@@ -248,7 +251,14 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
-    """All rows and columns with the personal data in ``text`` replaced."""
-    model = train(candidates(docs.select(F.col(text)), text, "__pii"), "__pii")
-    marked = spans(candidates(docs, text, "__pii"), model, "__pii", "__spans")
-    return marked.withColumn(text, redacted(text, "__spans")).select(*docs.columns)
+    """All rows and columns with the personal data in ``text`` replaced.
+
+    Null texts stay null and empty ones empty; repeated rows are redacted alike, texts
+    of any length whole; columns may have any name and keep their values; an empty
+    table gives an empty one.
+    """
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    at = f"c{docs.columns.index(text)}"
+    model = train(candidates(plain.select(at), at, "found"), "found")
+    marked = spans(candidates(plain, at, "found"), model, "found", "chosen")
+    return marked.withColumn(at, redacted(at, "chosen")).select(*plain.columns).toDF(*docs.columns)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from voxtally.functions.boxes import smallest_linked
 from voxtally.operators.graph import connected_components
 from voxtally.llm.workers import ready
-from voxtally.session import cut_lineage
+from voxtally.session import cut_lineage, fresh_name
 
 SEED = 42
 RADIUS = 3
@@ -177,7 +177,7 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
 
     Among repeated or only null keys one row is picked by its place in the table.
     """
-    row = "__row"
+    row = fresh_name(docs, "row")
     rows = cut_lineage(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
     groups = near_duplicates(rows, row, text, width, radius).select(row, "root")
     order = F.struct(F.col(key).isNull(), F.col(key), F.col(row))

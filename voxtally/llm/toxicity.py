@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxtally.llm.workers import ready
+from voxtally.session import fresh_name
 
 SAMPLE = 1500  # labelled texts of each class that the model is fitted on, at most
 SENTENCES = 60_000  # sentences of each class used in the fit, at most
@@ -315,4 +316,5 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "toxici
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
     """The documents whose score is below ``threshold``, with their columns."""
-    return score(docs, model, text, "__toxicity").filter(F.col("__toxicity") < threshold).select(*docs.columns)
+    name = fresh_name(docs, "toxicity")
+    return score(docs, model, text, name).filter(F.col(name) < threshold).select(*docs.columns)
