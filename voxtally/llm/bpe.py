@@ -30,15 +30,26 @@ DECODE_CHUNK = 8192  # tokens decoded at once
 
 
 NEVER = 1 << 60
+UNASKED = -2  # stands for a token before that no later check can ask for
+
+
+class _Node:
+    """The longest end of what was read that begins a longer token, and the lengths of all such ends, longest first."""
+
+    __slots__ = ("text", "open", "arcs")
+
+    def __init__(self, text: bytes, lengths: tuple[int, ...]):
+        self.text, self.open = text, lengths
+        self.arcs: dict[int, tuple[_Node, tuple[tuple[int, int], ...]]] = {}
 
 
 class _State:
-    """``last`` holds the last token of each prefix of ``pending``; ``heads`` the starts a later token can take."""
+    """``last`` holds the last token of those prefixes of the unsettled bytes that a later token can build on."""
 
-    __slots__ = ("prev", "pending", "last", "heads", "next", "tail")
+    __slots__ = ("prev", "last", "node", "next", "tail")
 
-    def __init__(self, prev: int, pending: bytes, last: tuple[int, ...], heads: tuple[int, ...]):
-        self.prev, self.pending, self.last, self.heads = prev, pending, last, heads
+    def __init__(self, prev: int, last: tuple[int | None, ...], node: _Node):
+        self.prev, self.last, self.node = prev, last, node
         self.next: dict[int, tuple[_State, tuple[int, ...]]] = {}
         self.tail: tuple[int, ...] | None = None
 
@@ -51,19 +62,22 @@ class Transducer:
         self.spelled = {i: t for t, i in ranks.items()}
         self.width = {i: len(t) for t, i in ranks.items()}
         self.open = {t[:k] for t in ranks for k in range(len(t))}
+        self.root = _Node(b"", (0,))
+        self.nodes = {b"": self.root}
+        self.halves: dict[int, tuple[int, int] | None] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
         self._restart()
 
     def _restart(self) -> None:
-        self.start = _State(-1, b"", (), (0,))
-        self.states = {(-1, b""): self.start}
+        self.start = _State(-1, (), self.root)
+        self.states = {(-1, (), b""): self.start}
 
-    def _merged(self, word: bytes) -> list[int]:
-        """Merging by definition, for short strings: lowest rank first, leftmost among equals."""
+    def _merged(self, word: bytes, until: int = 1) -> list[int]:
+        """Merging by definition, for short strings, down to ``until`` parts: lowest rank first, leftmost among equals."""
         rank = self.ranks.get
         parts = [word[i : i + 1] for i in range(len(word))]
         costs = [rank(word[i : i + 2], NEVER) for i in range(len(word) - 1)]
-        while costs and (least := min(costs)) < NEVER:
+        while len(costs) >= until and (least := min(costs)) < NEVER:
             at = costs.index(least)
             parts[at] += parts.pop(at + 1)
             del costs[at]
@@ -73,45 +87,91 @@ class Transducer:
                 costs[at - 1] = rank(parts[at - 1] + parts[at], NEVER)
         return [self.ranks[p] for p in parts]
 
+    def _split(self, token: int) -> tuple[int, int] | None:
+        """The two tokens that the last merge of ``token`` joins; None for one byte."""
+        if token not in self.halves:
+            self.halves[token] = tuple(self._merged(self.spelled[token], 2)) if self.width[token] > 1 else None
+        return self.halves[token]
+
+    def _apart(self, before: int, token: int) -> bool:
+        """Whether no merge joins two tokens: merges next to their border are undone, the latest first.
+
+        A pair at the border joins if its rank is below that of the merge that was
+        undone last; at the same rank the one on the left comes first.
+        """
+        limit, spelled, rank = NEVER, self.spelled, self.ranks.get
+        while rank(spelled[before] + spelled[token], NEVER) >= limit:
+            left, right = self._split(before), self._split(token)
+            if left and (before > token or not right):
+                limit, before = before, left[1]
+            elif right:
+                limit, token = token + 1, right[0]
+            else:
+                return True
+        return False
+
     def _follows(self, before: int, token: int) -> bool:
         """Whether ``token`` may stand after ``before`` (-1: at the start of a word)."""
         known = self.pairs.get((before, token))
         if known is None:
             if len(self.pairs) > 2 * MAX_STATES:
                 self.pairs.clear()
-            expected = [token] if before < 0 else [before, token]
-            known = self.pairs[before, token] = self._merged(b"".join([self.spelled[t] for t in expected])) == expected
+            known = self._merged(self.spelled[token]) == [token] if before < 0 else self._follows(-1, token) and self._apart(before, token)
+            self.pairs[before, token] = known
         return known
 
-    def _step(self, state: _State, byte: int) -> tuple[_State, tuple[int, ...]]:
-        pending = state.pending + bytes((byte,))
-        n, last, ranks, width = len(pending), state.last, self.ranks, self.width
-        token, heads = None, [n]
-        for start in state.heads:
-            ending = pending[start:]
+    def _arc(self, node: _Node, byte: int) -> tuple[_Node, tuple[tuple[int, int], ...]]:
+        """The node after one more byte, and the tokens that end there with their lengths, longest first."""
+        read = node.text + bytes((byte,))
+        ends, lengths = [], []
+        for length in node.open:
+            ending = read[len(read) - length - 1 :]
+            token = self.ranks.get(ending)
+            if token is not None:
+                ends.append((length + 1, token))
             if ending in self.open:
-                heads.append(start)
-            if token is None:
-                token = ranks.get(ending)
-                if token is not None and not self._follows(last[start - 1] if start else state.prev, token):
-                    token = None
+                lengths.append(length + 1)
+        text = read[len(read) - lengths[0] :] if lengths else b""
+        target = self.nodes.get(text)
+        if target is None:
+            target = self.nodes[text] = _Node(text, (*lengths, 0))
+        node.arcs[byte] = arc = (target, tuple(ends))
+        return arc
+
+    def _step(self, state: _State, byte: int) -> tuple[_State, tuple[int, ...]]:
+        node, ends = state.node.arcs.get(byte) or self._arc(state.node, byte)
+        last, width, pairs = state.last, self.width, self.pairs
+        size = len(last) + 1
+        for length, token in ends:
+            start = size - length
+            before = last[start - 1] if start else state.prev
+            known = pairs.get((before, token))
+            if known or known is None and self._follows(before, token):
+                break
         last = (*last, token)
-        # Walking the rightmost of these back until one is left finds where all later tokenisations agree.
-        walk = set(heads)
-        while len(walk) > 1:
-            end = max(walk)
-            walk.remove(end)
-            walk.add(end - width[last[end - 1]])
-        settled = walk.pop()
+        # Where the ways back from all starts that a later token can take have come together, tokens are settled.
+        settled, kept = size - node.open[0], set()
+        asked = settled
+        for length in node.open[1:]:
+            end = size - length
+            while end != settled:
+                if end > settled:
+                    kept.add(end)
+                    end -= width[last[end - 1]]
+                else:
+                    kept.add(settled)
+                    settled -= width[last[settled - 1]]
+        prev, out = state.prev, ()
         if settled:
             out = self._tokens(last, settled)
-            prev, pending, last = out[-1], pending[settled:], last[settled:]
-            heads = [h - settled for h in heads]
-        else:
-            out, prev = (), state.prev
-        target = self.states.get((prev, pending))
+            prev = out[-1]
+        if asked != settled:
+            prev = UNASKED
+        last = tuple([last[end - 1] if end in kept else None for end in range(settled + 1, size + 1)])
+        key = (prev, last, node.text)
+        target = self.states.get(key)
         if target is None:
-            target = self.states[prev, pending] = _State(prev, pending, last, tuple(sorted(heads)))
+            target = self.states[key] = _State(prev, last, node)
         state.next[byte] = step = (target, out)
         return step
 
@@ -135,7 +195,7 @@ class Transducer:
             state, tokens = step
             out += tokens
         if state.tail is None:
-            state.tail = self._tokens(state.last, len(state.pending))
+            state.tail = self._tokens(state.last, len(state.last))
         return (*out, *state.tail)
 
 
