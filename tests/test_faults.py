@@ -110,6 +110,47 @@ def test_slabs_add_up_to_one_store(spark, tmp_path, kind):
         np.testing.assert_array_equal(dense(volume), array)
 
 
+@pytest.mark.parametrize("kind", ["zarr", "scroll-tiff"])
+def test_a_slab_written_again_replaces_all_its_slices(spark, tmp_path, kind):
+    old = np.random.default_rng(4).integers(1, 200, (10, 9, 7)).astype("uint8")
+    new = np.zeros_like(old)
+    new[3, 2, 2] = 9
+    meta, want = VolumeMeta(old.shape, "uint8"), old.copy()
+    want[1:6] = new[1:6]
+    whole = stored(spark, tmp_path, "whole", new, chunk=(4, 4, 4))
+    for name, source in (("rows", frame(spark, new)), ("blocks", whole.blocks()), ("made", made_from(whole))):
+        write_volume(frame(spark, old), meta, str(tmp_path), name, kind, chunk=(4, 4, 4), z_range=(0, 10))
+        path = write_volume(source, meta, str(tmp_path), name, kind, chunk=(4, 4, 4), z_range=(1, 6))
+        np.testing.assert_array_equal(dense(open_volume(spark, path)), want)
+
+
+@pytest.mark.parametrize("change", [{"chunk": (2, 4, 4)}, {"codec": "blosc-lz4"}, {"dtype": "uint16"}, {"shape": (6, 5, 6)}, {"z_range": (4, 7)}])
+def test_a_slab_that_does_not_fit_the_store_is_an_error(spark, tmp_path, change):
+    array = np.arange(6 * 5 * 5, dtype="uint8").reshape(6, 5, 5)
+    write_volume(frame(spark, array), VolumeMeta(array.shape, "uint8"), str(tmp_path), "v", "zarr", chunk=(4, 4, 4), z_range=(0, 6))
+    options = {"chunk": (4, 4, 4), "z_range": (0, 3), "shape": array.shape, "dtype": "uint8", **change}
+    meta = VolumeMeta(options.pop("shape"), options.pop("dtype"))
+    with pytest.raises(ValueError, match="another|not in a volume"):
+        write_volume(frame(spark, array), meta, str(tmp_path), "v", "zarr", **options)
+    np.testing.assert_array_equal(dense(open_volume(spark, tmp_path / "v.zarr")), array)
+
+
+def test_foreign_slices_are_an_error(spark, tmp_path):
+    array = np.ones((4, 5, 5), "uint8")
+    write_volume(frame(spark, array), VolumeMeta(array.shape, "uint8"), str(tmp_path), "v", "scroll-tiff", z_range=(0, 2))
+    with pytest.raises(ValueError, match="another shape"):
+        write_volume(frame(spark, array), VolumeMeta((4, 5, 6), "uint8"), str(tmp_path), "v", "scroll-tiff", z_range=(2, 4))
+
+
+@pytest.mark.parametrize("kind", ["single-tiff", "single-nii"])
+def test_a_range_of_a_single_file_from_any_kind_of_volume(spark, tmp_path, kind):
+    array = np.random.default_rng(5).integers(0, 2000, (9, 6, 7)).astype("uint16")
+    whole = stored(spark, tmp_path, "whole", array, chunk=(4, 4, 4))
+    for name, source in (("rows", frame(spark, array)), ("blocks", whole.blocks()), ("made", made_from(whole))):
+        path = write_volume(source, whole.meta, str(tmp_path), name, kind, z_range=(3, 8))
+        np.testing.assert_array_equal(dense(open_volume(spark, path)), array[3:8])
+
+
 def test_target_driven_writes_do_not_shuffle(spark, tmp_path):
     array = np.arange(5 * 6 * 7, dtype="uint16").reshape(5, 6, 7)
     source = stored(spark, tmp_path, "s", array, chunk=(2, 3, 4))

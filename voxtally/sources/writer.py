@@ -8,6 +8,7 @@ their final name only when whole, and a repeated task writes the same bytes.
 
 from __future__ import annotations
 
+import json
 import os
 import shutil
 import uuid
@@ -111,6 +112,8 @@ class ZarrSink:
                 with open(final, "rb") as f:
                     kind = "blosc" if self.codec != "zlib" else "zlib"
                     chunk = np.frombuffer(zarr2.decode(f.read(), kind), data.dtype).reshape(self.grid).copy()
+            elif not data[rows].any():
+                return 0
         elif not data.any():
             return 0
         chunk[inner][rows] = data[rows]
@@ -249,7 +252,10 @@ def _store(volume: DataFrame | Made, meta: VolumeMeta, grid: Shape, sink: Sink,
     else:
         pieces = volume.select(*_grid_keys(grid, "zyx"), "z", "y", "x", "value")
     if every:
-        pieces = pieces.unionByName(_every_cell(volume.sparkSession, shape, grid), allowMissingColumns=True)
+        cells = _every_cell(volume.sparkSession, shape, grid)
+        if slab:
+            cells = cells.filter((F.col("_pz") * grid[0] < slab[1]) & ((F.col("_pz") + 1) * grid[0] > slab[0]))
+        pieces = pieces.unionByName(cells, allowMissingColumns=True)
 
     def put(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = tuple(k.as_py() * g for k, g in zip(key, grid))
@@ -293,9 +299,18 @@ def _each_slice(spark, first: int, end: int, work: Callable[[int], None]) -> Non
 def _write_zarr(volume: DataFrame | Made, meta: VolumeMeta, path: str, chunk: Shape, codec: str = "zlib", slab: tuple[int, int] | None = None) -> None:
     grid = tuple(max(1, min(c, s)) for c, s in zip(chunk, meta.shape))
     os.makedirs(path, exist_ok=slab is not None)
-    with open(os.path.join(path, ".zarray"), "w") as f:
-        f.write(zarr2.metadata(meta.shape, grid, meta.dtype, codec))
-    _store(volume, meta, grid, ZarrSink(path, grid, codec, slab), slab=slab).count()
+    head, final = zarr2.metadata(meta.shape, grid, meta.dtype, codec), os.path.join(path, ".zarray")
+    if slab and os.path.exists(final):
+        with open(final) as f:
+            unlike = zarr2.differences(json.load(f), json.loads(head))
+        if unlike:
+            raise ValueError(f"{path}: the store that is there has another {', '.join(unlike)}")
+    else:
+        temp = f"{final}.{uuid.uuid4().hex[:8]}"
+        with open(temp, "w") as f:
+            f.write(head)
+        os.replace(temp, final)
+    _store(volume, meta, grid, ZarrSink(path, grid, codec, slab), every=slab is not None, slab=slab).count()
 
 
 def _write_ome(volume: DataFrame | Made, meta: VolumeMeta, path: str, chunk: Shape, levels: int, factor: int, order: int, codec: str) -> None:
@@ -332,6 +347,10 @@ def _write_tiff(volume: DataFrame | Made, meta: VolumeMeta, path: str, sliced: b
     if sliced:
         os.makedirs(path, exist_ok=slab is not None)
         first, end = slab or (0, z)
+        for there in [f for f in sorted(os.listdir(path)) if f.endswith(".tiff")][:1]:
+            layout = tiff.describe(os.path.join(path, there))
+            if (*layout.shape[1:], np.dtype(layout.dtype)) != (y, x, np.dtype(meta.dtype)):
+                raise ValueError(f"{path}: the slices that are there have another shape or sample type")
         _each_slice(_session(volume), first, end, lambda k: lay_out(os.path.join(path, slice_name(k, ".tiff"))))
     else:
         lay_out(path)
@@ -404,12 +423,31 @@ def replace_output(temp: str, final: str) -> None:
     os.replace(temp, final)
 
 
+def _slices(volume: DataFrame | Made, meta: VolumeMeta, first: int, end: int) -> DataFrame | Made:
+    """The slices of a Z range as a volume of their own."""
+    if isinstance(volume, Made):
+        make = volume.make
+        return Made(volume.spark, lambda box: make(((box[0][0] + first, box[0][1] + first), *box[1:])))
+    if "data" not in volume.columns:
+        return crop(volume, (first, 0, 0), (end, *meta.shape[1:]))
+    low, high = F.greatest("z0", F.lit(first)), F.least(F.col("z0") + F.col("dz"), F.lit(end))
+    plane = F.col("dy") * F.col("dx") * np.dtype(meta.dtype).itemsize
+    rows = F.substring("data", (low - F.col("z0")) * plane + 1, (high - low) * plane)
+    return volume.filter(low < high).withColumns({"z0": low - first, "dz": high - low, "data": rows})
+
+
 # Types that a part can be written into, one slab after the other.
 SLAB_TYPES = ("zarr", "scroll-tiff")
 
 
 def _write_slab(volume: DataFrame | Made, meta: VolumeMeta, path: str, output_type: str, chunk: Shape, codec: str, slab: tuple[int, int]) -> str:
-    """Write the slices of a Z range into a store of the full shape; what else it holds stays."""
+    """Write the slices of a Z range into a store of the full shape; what other slices hold stays.
+
+    All slices of the range are replaced. A store that is there must have the same
+    shape, sample type, chunks and codec.
+    """
+    if not 0 <= slab[0] < slab[1] <= meta.shape[0]:
+        raise ValueError(f"slices {slab[0]} to {slab[1]} are not in a volume of {meta.shape[0]}")
     if not isinstance(volume, Made):
         axis = "z0" if "data" in volume.columns else "z"
         reach = F.col("z0") + F.col("dz") if axis == "z0" else F.col("z") + 1
@@ -437,8 +475,9 @@ def write_volume(
     """Write blocks, voxels or a :class:`Made` volume as one of the output types; returns the path.
 
     ``z_range`` writes that part only: into a store of the full shape for Zarr
-    and slice-wise TIFF, where slabs written one after the other add up, and as
-    a volume of its own, with the range in its name, for the other types (voxels).
+    and slice-wise TIFF, where slabs written one after the other add up and one
+    written again replaces all its slices, and as a volume of its own, with the
+    range in its name, for the other types.
     A voxel outside the volume, or a value the sample type cannot hold, is an error.
     """
     output_type = TYPE_LABELS.get(output_type, output_type)
@@ -448,7 +487,7 @@ def write_volume(
         return _write_slab(volume, meta, final, output_type, chunk, codec, z_range)
     if z_range is not None:
         a, b = z_range
-        volume = crop(volume, (a, 0, 0), (b, *meta.shape[1:]))
+        volume = _slices(volume, meta, a, b)
         meta = VolumeMeta((b - a, *meta.shape[1:]), meta.dtype)
         final = expected_output_path(str(folder), f"{name}_z{a}-{b}", output_type)
     temp = os.path.join(folder, f".tmp-{uuid.uuid4().hex[:8]}-{os.path.basename(final)}")

@@ -150,6 +150,18 @@ def metadata(shape: Shape, chunks: Shape, dtype: str, codec: str = "zlib") -> st
     return json.dumps(body, indent=4)
 
 
+def differences(there: dict, wanted: dict) -> list[str]:
+    """What keeps chunks that are written as ``wanted`` from being read by the metadata that is ``there``."""
+    unlike = [k for k in ("shape", "chunks", "order", "filters") if there.get(k) != wanted[k]]
+    if np.dtype(there["dtype"]) != np.dtype(wanted["dtype"]):
+        unlike.append("dtype")
+    if (there.get("compressor") or {}).get("id") != wanted["compressor"]["id"]:
+        unlike.append("compressor")
+    if (there.get("fill_value") or 0) != wanted["fill_value"]:
+        unlike.append("fill_value")
+    return unlike + ["dimension_separator"] * (there.get("dimension_separator", ".") != ".")
+
+
 def encode(chunk: np.ndarray, codec: str = "zlib") -> bytes:
     if codec == "zlib":
         return zlib.compress(chunk.tobytes(), 1)
