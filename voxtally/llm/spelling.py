@@ -13,7 +13,6 @@ and one word more.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -27,7 +26,7 @@ from voxtally.llm.workers import ready
 from voxtally.session import cut_lineage, drop_written
 
 # Fixed values of the task: letters, least letters, least occurrences, share of runs that lose a letter.
-RUN = re.compile(rb"(?:[a-z]|\xc3[\x80-\xbf])+")  # a-z and U+00C0 to U+00FF in UTF-8, after lower-casing A-Z
+LOWERED = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 0xC0 else 32 for c in range(256))  # Latin-1, all but letters blank
 LETTERS, OCCURRENCES, DROPPED = 5, 3, 97
 STRONGER = 2  # a form occurs at least so many times as often
 COUNTED = 1 << 18  # words that a task counts before it hands them on
@@ -35,17 +34,22 @@ PART_WORDS = 100_000
 _PART, _INNER = 1 << 44, 1 << 43
 
 
-def _runs(text: bytes | None, key: object, dropped: int) -> Iterator[tuple[str, int]]:
-    """Distinct words of one text with their counts; one in ``dropped`` loses a letter, chosen by key and word."""
-    seed = None if key is None or not dropped else zlib.crc32(f"{key}:".encode())
-    for run, n in Counter(RUN.findall((text or b"").lower())).items():
-        word = run.decode("utf-8")
-        if seed is not None:
-            h = zlib.crc32(run, seed)
-            if h % dropped == 0:
-                at = h % len(word)
-                word = word[:at] + word[at + 1 :]
-        yield word, n
+def _count(counts: Counter[bytes], text: bytes, key: object, dropped: int) -> None:
+    """Add the words of one text, in Latin-1; one distinct word in ``dropped`` loses a letter, chosen by key and word."""
+    narrow = text if text.isascii() else text.decode("utf-8").encode("latin-1", "replace")  # one byte a code point, the rest is no letter
+    words = narrow.translate(LOWERED).split()
+    counts.update(words)
+    if key is None or not dropped:
+        return
+    seed, crc = zlib.crc32(f"{key}:".encode()), zlib.crc32
+    if text.isascii():
+        changed = {w for w in set(words) if not crc(w, seed) % dropped}
+    else:
+        changed = {w for w in set(words) if not crc(w if w.isascii() else w.decode("latin-1").encode(), seed) % dropped}
+    for word, n in Counter(filter(changed.__contains__, words)).items():
+        at = crc(word.decode("latin-1").encode(), seed) % len(word)
+        counts[word] -= n
+        counts[word[:at] + word[at + 1 :]] += n
 
 
 def vocabulary(docs: DataFrame, key: str = "doc_id", text: str = "text", letters: int = LETTERS, occurrences: int = OCCURRENCES, dropped: int = DROPPED) -> DataFrame:
@@ -55,16 +59,15 @@ def vocabulary(docs: DataFrame, key: str = "doc_id", text: str = "text", letters
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[str] = Counter()
+        counts: Counter[bytes] = Counter()
 
         def closed() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+            kept = {w.decode("latin-1"): n for w, n in counts.items() if n and len(w) >= letters}
+            return pa.RecordBatch.from_arrays([pa.array(list(kept), pa.string()), pa.array(list(kept.values()), pa.int64())], names=["word", "n"])
 
         for batch in batches:
             for name, value in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
-                for word, n in _runs(value.as_py(), name, dropped):
-                    if len(word) >= letters:
-                        counts[word] += n
+                _count(counts, value.as_py() or b"", name, dropped)
                 if len(counts) >= COUNTED:
                     yield closed()
                     counts.clear()
