@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxtally.functions.coords import AXES, clamp, native_to_atlas
+from voxtally.operators.stored_labels import StoredLabels, find_labels
 from voxtally.schema import HEMISPHERE_NA, Shape
 
 
@@ -26,7 +27,7 @@ def label_table(annotation: DataFrame, hemisphere: DataFrame | None = None) -> D
     )
 
 
-def lookup_labels(points: DataFrame, labels: DataFrame, native: Shape, atlas: Shape) -> DataFrame:
+def lookup_labels(points: DataFrame, labels: DataFrame | StoredLabels, native: Shape, atlas: Shape) -> DataFrame:
     """Add ``found_region`` and ``found_hemisphere`` to each point.
 
     Scaled coordinates are clamped into the atlas, so every point reads one
@@ -34,7 +35,12 @@ def lookup_labels(points: DataFrame, labels: DataFrame, native: Shape, atlas: Sh
     left equi-join runs on the voxel's raster index, unique on the right: Spark
     broadcasts the labels when they are below its size threshold, and otherwise
     shuffles both sides, where adaptive execution splits crowded atlas voxels.
+    Stored labels are looked up inside the box of each point, without that join.
     """
+    if isinstance(labels, StoredLabels):
+        if labels.annotation.meta.shape != tuple(atlas):
+            raise ValueError(f"the stored atlas is {labels.annotation.meta.shape}, not {tuple(atlas)}")
+        return find_labels(points, labels, native)
     z, y, x = [clamp(c, size) for c, size in zip(native_to_atlas(native, atlas), atlas)]
     key = (z * atlas[1] + y) * atlas[2] + x
     at = (F.col("z").cast("bigint") * atlas[1] + F.col("y")) * atlas[2] + F.col("x")
@@ -58,7 +64,7 @@ def _selected(biomarker: str | None) -> Column:
 
 def assign_regions(
     cells: DataFrame,
-    labels: DataFrame,
+    labels: DataFrame | StoredLabels,
     native: Shape,
     atlas: Shape,
     biomarker: str | None = None,

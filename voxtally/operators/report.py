@@ -11,18 +11,22 @@ from pyspark.sql import functions as F
 
 from voxtally.functions import measures
 from voxtally.functions.ontology import functional_system_tag
+from voxtally.operators.stored_labels import StoredLabels, count_region_voxels
 from voxtally.operators.structures import rollup_tiers
 from voxtally.schema import HEMISPHERE_LEFT, HEMISPHERE_RIGHT
 
 SIDES = ("total", "left", "right")
 
 
-def region_voxel_counts(labels: DataFrame, midline: int | None = None) -> DataFrame:
+def region_voxel_counts(labels: DataFrame | StoredLabels, midline: int | None = None) -> DataFrame:
     """Voxels per region, in all and by side.
 
-    ``labels`` is the table of :func:`voxtally.operators.atlas.label_table`.
+    ``labels`` is the table of :func:`voxtally.operators.atlas.label_table`, or
+    stored volumes, which are counted box by box without a row for each voxel.
     With ``midline`` the side comes from ``x < midline`` instead of a label.
     """
+    if isinstance(labels, StoredLabels):
+        return count_region_voxels(labels, midline)
     if midline is None:
         left, right = F.col("hemisphere_id") == HEMISPHERE_LEFT, F.col("hemisphere_id") == HEMISPHERE_RIGHT
     else:
@@ -39,7 +43,7 @@ def region_voxel_counts(labels: DataFrame, midline: int | None = None) -> DataFr
 
 
 def geometry_report(
-    labels: DataFrame,
+    labels: DataFrame | StoredLabels,
     structures: DataFrame,
     voxel_size_um: tuple[float, float, float],
     midline: int | None = None,

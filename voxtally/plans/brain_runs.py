@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from voxtally.config import Settings
 from voxtally.operators import atlas, coloc, filtering, report, volume
 from voxtally.operators.components import detect_cells
+from voxtally.operators.stored_labels import StoredLabels, stored_labels
 from voxtally.operators.structures import Region, find_region, subtree_ids
 from voxtally.plans import journal
 from voxtally.schema import Shape, VolumeMeta
@@ -83,7 +84,7 @@ class Atlas:
     """What all biomarkers of a registered brain share."""
 
     annotation: Volume
-    labels: DataFrame
+    labels: DataFrame | StoredLabels
     structures: DataFrame
     geometry: DataFrame
     has_sides: bool
@@ -261,7 +262,9 @@ def run_registered(
     structures = tables.read_structures(spark, config.paths.structures_csv)
     annotation = open_volume(spark, reg.annotation_path, reg.transpose_order)
     sides = open_volume(spark, reg.hemisphere_path, reg.transpose_order) if reg.hemisphere_path else None
-    labels = cut_lineage(atlas.label_table(annotation.voxels(), sides.voxels() if sides else None), "labels")
+    labels = stored_labels(annotation, sides)
+    if labels is None:
+        labels = cut_lineage(atlas.label_table(annotation.voxels(), sides.voxels() if sides else None), "labels")
     midline = None if sides else annotation.meta.shape[2] // 2
     geometry = cut_lineage(report.geometry_report(labels, structures, reg.atlas_voxel_size_um or config.brain.voxel_size_um, midline), "geometry")
     shared = Atlas(annotation, labels, structures, geometry, sides is not None)

@@ -397,3 +397,7 @@ ORACLE["registered_outputs_o88"] = _with(
     recursive=True,
     extra=_reach(18),
 )
+# The same answers from stored volumes, read box by box.
+ORACLE["region_lookup_stored_o35"] = ORACLE["region_lookup_o35"]
+ORACLE["region_voxels_stored_o48"] = ORACLE["region_voxels_hemi_o48"]
+ORACLE["geometry_stored_o49"] = ORACLE["geometry_report_o49"]

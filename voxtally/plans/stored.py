@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from voxtally.config import build_config
 from voxtally.functions.coords import permute, permute_shape
-from voxtally.operators import coloc, components, report
+from voxtally.operators import atlas, coloc, components, report
+from voxtally.operators.stored_labels import StoredLabels
 from voxtally.operators.structures import find_region
 from voxtally.plans import brain_runs, journal, views
 from voxtally.plans.queries import register
@@ -111,6 +112,29 @@ def _sides(b: Brain, factor: int) -> DataFrame:
     return views.labels(b).select("z", "y", "x", (F.col("hemisphere_id") * factor).alias("value")).filter("value <> 0")
 
 
+def _stored_labels(b: Brain) -> StoredLabels:
+    """Annotation and hemisphere stores of one shape with unlike chunks."""
+    sides = write_volume(_sides(b, 1), VolumeMeta(b.atlas, "uint8"), _folder(b, "volume"), "sides", "zarr", chunk=(16, 40, 24))
+    return StoredLabels(_annotation(b, "zarr", chunk=(8, 64, 16)), open_volume(b.spark, sides))
+
+
+@register("region_lookup_stored_o35")
+def _(b: Brain) -> DataFrame:
+    found = atlas.lookup_labels(views.cells(b), _stored_labels(b), b.native, b.atlas)
+    return found.select("cell_id", "z", "y", "x", "found_region", "found_hemisphere")
+
+
+@register("region_voxels_stored_o48")
+def _(b: Brain) -> DataFrame:
+    return report.region_voxel_counts(_stored_labels(b))
+
+
+@register("geometry_stored_o49")
+def _(b: Brain) -> DataFrame:
+    found = report.geometry_report(_stored_labels(b), views.structures(b), VOXEL_SIZE_UM)
+    return found.withColumn("tier", F.col("tier").cast("bigint"))
+
+
 @register("image_folder_o5")
 def _(b: Brain) -> DataFrame:
     return _image_folder(b, _sides(b, 1), "uint8")
