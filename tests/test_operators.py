@@ -156,3 +156,17 @@ def test_orders():
     assert coords.is_self_inverse((1, 0, 2)) and not coords.is_self_inverse((2, 0, 1))
     with pytest.raises(ValueError):
         coords.check_order((0, 0, 1))
+
+
+def test_system_rules_take_any_entry_and_no_missing_value(spark):
+    from voxtally.functions.ontology import SystemRule
+
+    rows = [("Motor area", "MO"), ("limbic part", None), (None, "MOp"), (None, None), ("thalamus", "TH"), ("x", "mo")]
+    table = spark.createDataFrame(rows, "name string, acronym string")
+
+    def held(rule):
+        return [r.t for r in table.select(rule.holds(F.col("name"), F.col("acronym")).alias("t")).collect()]
+
+    assert held(SystemRule.of(["MOTOR|limb"], ["MO", "T."], False)) == [True, True, True, False, True, False]
+    assert held(SystemRule.of(["motor"], ["TH", "MO"], True)) == [True, False, False, False, True, False]
+    assert held(SystemRule()) == [False] * 6

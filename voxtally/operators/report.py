@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxtally.functions import measures
-from voxtally.functions.ontology import functional_system_tag
+from voxtally.functions.ontology import SystemRule
 from voxtally.operators.stored_labels import StoredLabels, count_region_voxels
 from voxtally.operators.structures import rollup_tiers
 from voxtally.schema import HEMISPHERE_LEFT, HEMISPHERE_RIGHT
@@ -104,7 +104,7 @@ def target_summary(
     cell_threshold: int = 0,
 ) -> DataFrame:
     """Structures of one functional system over all tiers, largest asymmetry first."""
-    tag = functional_system_tag(F.col("structure_name"), F.col("acronym"), keywords, acronyms, exact_acronym_match)
+    tag = SystemRule.of(keywords, acronyms, exact_acronym_match).holds(F.col("structure_name"), F.col("acronym"))
     kept = report.filter(F.col("total_cells") >= cell_threshold) if cell_threshold > 0 else report
     return (
         kept.withColumnRenamed("tier", "Source_Tier")

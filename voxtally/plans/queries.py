@@ -78,13 +78,13 @@ def _(b: Brain) -> DataFrame:
 
 @register("system_tag_exact_o26")
 def _(b: Brain) -> DataFrame:
-    tag = ontology.functional_system_tag(F.col("name"), F.col("acronym"), KEYWORDS, EXACT_ACRONYMS, True)
+    tag = ontology.SystemRule(whole=tuple(EXACT_ACRONYMS)).holds(F.col("name"), F.col("acronym"))
     return views.structures(b).select("id", "acronym", tag.alias("is_target"))
 
 
 @register("system_tag_regex_o26")
 def _(b: Brain) -> DataFrame:
-    tag = ontology.functional_system_tag(F.col("name"), F.col("acronym"), KEYWORDS, ACRONYMS)
+    tag = ontology.SystemRule(tuple(KEYWORDS), tuple(ACRONYMS)).holds(F.col("name"), F.col("acronym"))
     return views.structures(b).select("id", "acronym", tag.alias("is_target"))
 
 
