@@ -12,6 +12,7 @@ fingerprints that are left exactly.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,12 @@ SEED = 42
 RADIUS = 3
 CELL_ROWS = 1024  # fingerprints compared together; fuller cells are compared in pairs of such blocks
 HASH_RUN = 1 << 16  # shingles counted at once
+PARTS, PART_BITS = 24, 16  # of a wide fingerprint
+WORDS = PARTS * PART_BITS // 64
+WIDE_RADIUS = 96  # of 384 bits; at a Jaccard similarity of 0.8 the mean is 58 and the standard deviation 7
+WIDE_ROWS = 50_000  # postings compared at once, if their buckets are no larger
+CROWD = 64  # linked postings of one bucket that are not compared with each other again
+_MIX = np.random.default_rng(SEED).integers(0, 1 << 63, (2, 1, WORDS), dtype=np.uint64)
 
 
 def fingerprint(text: str | None, width: int = 3) -> int:
@@ -151,6 +158,141 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     return pairs.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lambda b: _links(b, radius), "a bigint, b bigint")
 
 
+def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """SimHash of ``PARTS`` times 16 bits, as 64-bit words, from the 64-bit hashes of distinct shingles."""
+    ones = np.zeros(64 * WORDS, dtype=np.int64)
+    for at in range(0, hashes.size, 4096):
+        x = (hashes[at : at + 4096, None] ^ _MIX[0]) * (_MIX[1] * np.uint64(2) + np.uint64(1))
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(29)
+        ones += np.unpackbits(x.astype("<u8").view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > hashes.size, bitorder="little").view("<u8").astype(np.uint64)
+
+
+def wide_cells(prints: np.ndarray) -> np.ndarray:
+    """Grid cells of wide fingerprints, two for each part: one is dealt by the low byte of the part, one by the high byte.
+
+    A cell is the number of the part and the byte, the byte it is dealt by and the
+    other byte. Two fingerprints that differ in at most one bit of a part agree in
+    one of its bytes: they meet in that bucket, in one cell or in cells one step apart.
+    """
+    own = prints.astype("<u8").view(np.uint8).reshape(len(prints), PARTS, 2).astype(np.int32)
+    place = np.arange(2 * PARTS, dtype=np.int32).reshape(PARTS, 2) << 16
+    return (place + (own << 8) + own[:, :, ::-1]).reshape(len(prints), 2 * PARTS)
+
+
+def _pairs(source: np.ndarray, first: np.ndarray, count: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Every ``source`` with each of the ``count`` rows from ``first`` on, some at a time."""
+    some = count > 0
+    source, first, count = source[some], first[some], count[some]
+    ends = np.cumsum(count)
+    begin = 0
+    while begin < source.size:
+        done = int(ends[begin - 1]) if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, done + most, side="right")))
+        n = count[begin:end]
+        offset = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        yield np.repeat(source[begin:end], n), np.repeat(first[begin:end], n) + offset
+        begin = end
+
+
+def _wide_forest(cell: np.ndarray, node: np.ndarray, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning links of all nodes whose postings share a cell or are in cells one step apart; postings are sorted by cell."""
+    counts = unary(prints)
+    _, bucket = np.unique(cell >> 8, return_inverse=True)
+    key = (bucket << 8) | (cell & 255)
+    many = np.bincount(key, minlength=(int(bucket[-1]) + 1) << 8)
+    first = np.cumsum(many) - many
+    names, who = np.unique(node, return_inverse=True)
+    root = np.arange(names.size)
+    rows, steps = np.arange(cell.size), [0, *(1 << k for k in range(8))]
+    a, b = [], []
+
+    def compare(i: np.ndarray, j: np.ndarray) -> None:
+        apart = root[who[i]] != root[who[j]]
+        i, j = i[apart], j[apart]
+        for values in (counts, prints):  # the Manhattan bound first, then the exact distance
+            near = np.bitwise_count(values[i] ^ values[j]).sum(axis=1, dtype=np.int64) <= radius
+            i, j = i[near], j[near]
+        a.append(who[i])
+        b.append(who[j])
+
+    def joined() -> np.ndarray:
+        x, y = np.concatenate([np.empty(0, np.int64), *a]), np.concatenate([np.empty(0, np.int64), *b])
+        found = smallest_linked(names.size, x, y)
+        own = np.flatnonzero(found != np.arange(found.size))
+        a[:], b[:] = [own], [found[own]]
+        return found
+
+    for step in steps:  # one posting of each cell with all in its reach: this settles crowds
+        has = np.flatnonzero(many[key ^ step])
+        compare(has, first[key[has] ^ step])
+    root = joined()
+    group = bucket * names.size + root[who]
+    _, at, n = np.unique(group, return_inverse=True, return_counts=True)
+    size = n[at]
+    largest = np.zeros(int(bucket[-1]) + 1, np.int64)
+    np.maximum.at(largest, bucket, size)
+    crowded = largest[bucket] > CROWD
+    top = np.full(largest.size, -1)
+    fits = crowded & (size == largest[bucket])
+    np.maximum.at(top, bucket[fits], root[who[fits]])
+    inside = crowded & (root[who] == top[bucket])
+    plain, odd = rows[~crowded], rows[crowded & ~inside]
+    for step in steps:
+        goal = key[plain] ^ step
+        up = goal > key[plain]
+        begin = first[goal] if step else plain + 1
+        count = np.where(up, many[goal], 0) if step else first[goal] + many[goal] - begin
+        for i, j in _pairs(plain, begin, count):
+            compare(i, j)
+        goal = key[odd] ^ step
+        for i, j in _pairs(odd, first[goal], many[goal]):
+            once = inside[j] | (j > i)
+            compare(i[once], j[once])
+        if sum(x.size for x in a) > WIDE_ROWS:
+            root = joined()
+    joined()
+    return names[a[0]], names[b[0]]
+
+
+def wide_links(nodes: DataFrame, radius: int = WIDE_RADIUS) -> DataFrame:
+    """Links ``a, b`` that connect the nodes with wide fingerprints within ``radius``, from ``node``, ``cells`` and ``w0``, ``w1`` and so on.
+
+    The range join of :func:`links` over ``PARTS`` parts instead of two halves: a
+    bucket's cells and those one step apart are compared inside one task, by the
+    Manhattan bound on the counts and then exactly. Fingerprints at a distance below
+    ``2 * PARTS`` always meet; those of texts at a Jaccard similarity of 0.8 fail to
+    once in 2,300 pairs. A task gives a spanning forest, so a crowd yields as many
+    links as it has postings, and what one posting of a cell has linked is not compared again.
+    """
+    words = [f"w{k}" for k in range(WORDS)]
+    posted = nodes.select("node", *words, F.explode("cells").alias("cell"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        goal = WIDE_ROWS
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                held.append(batch)
+                if sum(x.num_rows for x in held) < goal:
+                    continue
+            if not held:
+                continue
+            table = pa.Table.from_batches(held)
+            cell = table.column("cell").to_numpy()
+            end = cell.size if batch is None else int(np.searchsorted(cell >> 8, cell[-1] >> 8))
+            held = table.slice(end).combine_chunks().to_batches()
+            goal = WIDE_ROWS if end else 2 * goal  # a bucket is kept whole
+            if end:
+                prints = np.stack([table.column(w).to_numpy()[:end].view(np.uint64) for w in words], axis=1)
+                a, b = _wide_forest(cell[:end].astype(np.int64), table.column("node").to_numpy()[:end], prints, radius)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    dealt = posted.repartition(F.shiftright("cell", 8)).sortWithinPartitions("cell")
+    return dealt.mapInArrow(run, "a bigint, b bigint")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, radius: int = RADIUS) -> DataFrame:
     """Every row's ``key``, ``fp`` and the group it belongs to: ``root``, a fingerprint, and ``component_id``, its smallest key.
 
