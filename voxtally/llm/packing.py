@@ -11,6 +11,7 @@ Documents then look up their place by their rank among equals.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections import defaultdict
@@ -28,6 +29,9 @@ from voxtally.session import cut_lineage
 
 MAX_WORDS = 450_000  # so many tokenised words are remembered by a worker
 LONG_WORD = 48  # words of more bytes are not remembered
+TAIL = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # what may follow a word's last letter and is tokenised apart from it
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")  # a to z and the small letters of Latin-1
+TOGETHER = 100  # words that are tokenised in one call
 
 
 class CapacityTree:
@@ -96,11 +100,14 @@ def best_fit(counts: dict[int, int], limit: int) -> np.ndarray:
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are parallel already
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-    tokenizer, whole = Tokenizer.from_file(path), Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer, {}, whole, [t.content for t in whole.get_added_tokens_decoder().values()]
+    tokenizer, whole, plain = (Tokenizer.from_file(path) for _ in range(3))
+    tokenizer.encode_special_tokens = plain.encode_special_tokens = True
+    # Words of PLAIN letters pass normalising and splitting unchanged.
+    plain.normalizer = normalizers.Sequence([])
+    plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    return tokenizer, plain, {}, whole, [t.content for t in whole.get_added_tokens_decoder().values()]
 
 
 def token_bytes(texts: list[str], path: str, special: bool = False) -> Iterator[bytes]:
@@ -112,30 +119,48 @@ def token_bytes(texts: list[str], path: str, special: bool = False) -> Iterator[
 
     The tokenizer lower-cases, drops white space and never joins across it, nor
     a letter with a mark after it. So lower-cased words between ASCII white space
-    are tokenised once, a final mark apart, and put together again.
+    are tokenised once, marks after the last letter apart, and put together again.
     """
-    tokenizer, known, whole, literals = _tokenizer(path)
+    tokenizer, plain, known, whole, literals = _tokenizer(path)
     marked_up = {i for i, t in enumerate(texts) if any(x in t for x in literals)} if special else set()
     split = [[] if i in marked_up else t.encode("utf-8").lower().split() for i, t in enumerate(texts)]
     if len(known) > MAX_WORDS:
         known.clear()
-    fresh = {w for words in split for w in words if w not in known}
-    marked = {w for w in fresh if w[-1:] in b".,;:!?" and w[-2:-1].isalpha()}
-    fresh = list((fresh - marked) | {part for w in marked for part in (w[:-1], w[-1:]) if part not in known})
-    found = {}
+    fresh = set().union(*split).difference(known)
+    stems = {w: stem for w in fresh if (stem := w.rstrip(TAIL)) is not w and stem[-1:].isalpha()}
+    fresh = list(fresh.difference(stems).union(stems.values(), (w[len(stem) :] for w, stem in stems.items())).difference(known))
     for at in range(0, len(fresh), 20_000):
         some = fresh[at : at + 20_000]
-        for word, coded in zip(some, tokenizer.encode_batch_fast([w.decode("utf-8") for w in some], add_special_tokens=False), strict=True):
-            found[word] = array("I", coded.ids).tobytes()
-    for word in marked:
-        stem, mark = word[:-1], word[-1:]
-        found[word] = (found[stem] if stem in found else known[stem]) + (found[mark] if mark in found else known[mark])
-    known.update((w, coded) for w, coded in found.items() if len(w) <= LONG_WORD)
+        easy = {w for w in some if PLAIN.fullmatch(w)}
+        known.update(_coded(plain, list(easy), "|"))
+        known.update(_coded(tokenizer, [w for w in some if w not in easy], "\x01"))
+    for word, stem in stems.items():
+        known[word] = known[stem] + known[word[len(stem) :]]
     for i, words in enumerate(split):
         if i in marked_up:
             yield array("I", whole.encode(texts[i], add_special_tokens=False).ids).tobytes()
             continue
-        yield b"".join([known[w] if w in known else found[w] for w in words])
+        yield b"".join(map(known.__getitem__, words))
+    for word in [w for w in (*fresh, *stems) if len(w) > LONG_WORD]:
+        del known[word]
+
+
+def _coded(tokenizer, words: list[bytes], mark: str) -> Iterator[tuple[bytes, bytes]]:
+    """Each word with its ids; many words go into one call, with ``mark`` between them. Words that have it go alone."""
+    texts = [w.decode("utf-8") for w in words]
+    odd = [i for i, t in enumerate(texts) if mark in t]
+    even = [i for i, t in enumerate(texts) if mark not in t] if odd else range(len(texts))
+    for i, coded in zip(odd, tokenizer.encode_batch_fast([texts[i] for i in odd], add_special_tokens=False), strict=True):
+        yield words[i], array("I", coded.ids).tobytes()
+    (between,) = tokenizer.encode(mark, add_special_tokens=False).ids
+    groups = [even[at : at + TOGETHER] for at in range(0, len(even), TOGETHER)]
+    joined = [f" {mark} ".join([texts[i] for i in g]) for g in groups]
+    for group, coded in zip(groups, tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+        ids = np.array(coded.ids, dtype="<u4")
+        raw, first = ids.tobytes(), 0
+        for i, end in zip(group, [*(4 * np.flatnonzero(ids == between)).tolist(), len(raw)], strict=True):
+            yield words[i], raw[first:end]
+            first = end + 4
 
 
 def pieces(docs: DataFrame, path: str, limit: int = 2048, end_id: int = 0, key: str = "doc_id", text: str = "text", ids: bool = False, special: bool = False) -> DataFrame:
