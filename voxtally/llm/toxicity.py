@@ -15,7 +15,7 @@ import math
 import re
 import sys
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from itertools import islice
 
@@ -35,7 +35,7 @@ WHOLE = 64  # letters of a word that is compared as one; longer runs of letters
 WINDOWS = ((6, 1), (8, 2), (12, 3), (16, 4))  # letters of the pieces of a long run, and of the way from one to the next
 DECAY = 0.6  # weight of a triple for each letter of its stretch
 LENGTH = 30  # a sentence without a full stop ends after so many words
-MAX_WORDS = 120_000  # words remembered by a worker
+MAX_WORDS = 300_000  # words remembered by a worker
 TOGETHER = 4_000  # words compared with the landmarks at once
 THRESHOLD = 0.7
 SURPRISE = 20.0  # log-likelihood ratio from which a word marks the sentences of toxic texts
@@ -56,11 +56,11 @@ def windows(word: str) -> Iterator[tuple[int, str]]:
         yield from ((at, word[at : at + width]) for width, step in WINDOWS for at in range(0, len(word) - width + step, step))
 
 
-def triples(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def triples(words: list[str], wanted: Callable[[np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Gapped letter triples of many words: word number, code and weight of each, in word order.
 
     The start of a word counts as a letter. Weights are scaled by word, so that
-    words of any length compare.
+    words of any length compare. ``wanted`` names the places of the codes to return.
     """
     gap = "\0" * (SPAN - 1)
     flat = np.frombuffer((gap.join(["^" + w for w in words]) + gap).encode("utf-32-le"), np.uint32).astype(np.int64)
@@ -74,6 +74,9 @@ def triples(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             parts.append((owner[at], (first[at] << 42) | (flat[at + j] << 21) | flat[at + k], np.full(at.size, DECAY**k)))
     owners, codes, weights = (np.concatenate(x) for x in zip(*parts, strict=True))
     scale = np.sqrt(np.bincount(owners, weights**2, len(words)))
+    if wanted:
+        kept = wanted(codes)
+        owners, codes, weights = owners[kept], codes[kept], weights[kept]
     order = np.argsort(owners, kind="stable")
     return owners[order], codes[order], (weights / scale[owners])[order]
 
@@ -87,14 +90,28 @@ class Model:
     alpha: np.ndarray
     bias: float
     weights: np.ndarray
+    words: dict[str, float] = field(default_factory=dict)
     known: dict[str, float] = field(default_factory=dict)
 
+    def __post_init__(self):
+        self.slots = np.zeros(1 << 16, dtype=bool)
+        self.slots[self._slot(self.codes)] = True
+
+    @staticmethod
+    def _slot(codes: np.ndarray) -> np.ndarray:
+        return (codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)
+
+    def _marked(self, codes: np.ndarray) -> np.ndarray:
+        """The places of the codes that landmarks have."""
+        maybe = np.flatnonzero(self.slots[self._slot(codes)])
+        at = np.minimum(np.searchsorted(self.codes, codes[maybe]), self.codes.size - 1)
+        return maybe[self.codes[at] == codes[maybe]]
+
     def likeness(self, words: list[str]) -> np.ndarray:
         """Kernel of each word with every landmark; cubed, so that only close words count."""
         found = np.zeros((len(words), self.table.shape[1]), dtype=np.float32)
         for at in range(0, len(words) if self.codes.size else 0, TOGETHER):
             self._add_likeness(words[at : at + TOGETHER], found[at : at + TOGETHER])
-        found **= 3
         return found
 
     def worst(self, word: str) -> dict[int, float]:
@@ -107,28 +124,34 @@ class Model:
         return found
 
     def _add_likeness(self, words: list[str], found: np.ndarray) -> None:
-        owners, codes, weights = triples(words)
-        at = np.minimum(np.searchsorted(self.codes, codes), self.codes.size - 1)
-        hit = np.flatnonzero(self.codes[at] == codes)
-        for begin in range(0, hit.size, 8_000):
-            some = hit[begin : begin + 8_000]
+        owners, codes, weights = triples(words, self._marked)
+        at = np.searchsorted(self.codes, codes)
+        weights = weights[:, None].astype(np.float32)
+        for begin in range(0, codes.size, 8_000):
+            some = slice(begin, begin + 8_000)
             starts = np.flatnonzero(np.concatenate([[True], np.diff(owners[some]) > 0]))
-            found[owners[some[starts]]] += np.add.reduceat(weights[some, None].astype(np.float32) * self.table[at[some]], starts)
+            found[owners[some][starts]] += np.add.reduceat(weights[some] * self.table[at[some]], starts)
+        own = np.unique(owners)
+        near = found[own]
+        found[own] = near * near * near
 
     def learn(self, chunks: set[str]) -> None:
-        """Remember the numbers of words not met before."""
-        if len(self.known) > MAX_WORDS:
-            self.known.clear()
-        fresh = [c for c in chunks if c not in self.known]
-        words = [letters(c) for c in fresh]
+        """Have the numbers of all pieces of some texts at hand. Words are remembered by their letters, and compared once."""
+        if len(self.words) > MAX_WORDS:
+            self.words.clear()
+        some = list(chunks)
+        read = [letters(c) for c in some]
+        fresh = list(set(read).difference(self.words))
         for at in range(0, len(fresh), 20_000):
-            some = words[at : at + 20_000]
-            values = self.likeness([w if len(w) <= WHOLE else "" for w in some]) @ self.alpha
-            for chunk, word, value in zip(fresh[at : at + 20_000], some, values.tolist(), strict=True):
-                if len(word) > WHOLE:
-                    value = max(self.worst(word).values())
-                value = value if len(word) > 2 else 0.0
-                self.known[chunk] = value + _END * (chunk[-1] in ".!?") + _LONE * (len(word) == 1)
+            words = fresh[at : at + 20_000]
+            values = self.likeness([w if len(w) <= WHOLE else "" for w in words]) @ self.alpha
+            size = np.array([len(w) for w in words])
+            for i in np.flatnonzero(size > WHOLE).tolist():
+                values[i] = max(self.worst(words[i]).values())
+            values = np.where(size > 2, values, 0.0) + _LONE * (size == 1)
+            self.words.update(zip(words, values.tolist(), strict=True))
+        values = np.array([self.words[w] for w in read]) + _END * np.array([c[-1] in ".!?" for c in some])
+        self.known = dict(zip(some, values.tolist(), strict=True))
 
     def margins(self, chunks: list[str]) -> np.ndarray:
         """Margins of the sentences of a whole text, given as its learned blank-separated pieces."""
@@ -265,13 +288,13 @@ def fit(texts: list[str], toxic: list[int], prior: float | None = None, seed: in
     parts = []
     for at in range(0, len(texts), 256):
         parts.append(model.features(texts[at : at + 256]))
-        model.known.clear()
+        model.words.clear()
     features = np.concatenate(parts)
     model.weights = _logistic(features, y.astype(float), 1.0)
     if prior is not None and 0 < prior < 1:
         share = y.mean()
         model.weights[0] += math.log(prior / (1 - prior)) - math.log(share / (1 - share))
-    model.known = {}
+    model.words, model.known = {}, {}
     return model
 
 
