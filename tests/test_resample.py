@@ -98,3 +98,12 @@ def test_crop(spark):
     got = dense(volume.crop(to_voxels(spark, array), (1, 1, 2), (3, 3, 5)), (2, 2, 3))
     np.testing.assert_array_equal(got, array[1:3, 1:3, 2:5])
     assert volume.crop(to_voxels(spark, array), (2, 0, 0), (1, 4, 5)).count() == 0
+
+
+def test_growing_axes_spread_after_the_shuffle(spark):
+    """What is shuffled are the voxels that go into a step, never those that come out."""
+    voxels = spark.createDataFrame([(z, y, x, z + y * x + 1) for z in range(3) for y in range(4) for x in range(5)], "z int, y int, x int, value bigint")
+    plan = volume.resample(voxels, (3, 4, 5), (7, 9, 11), order=1)._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(dealt) == 3
+    assert all(len(line.split("hashpartitioning(")[1].split("),")[0].split(", ")) <= 3 for line in dealt), dealt

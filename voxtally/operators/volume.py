@@ -92,28 +92,37 @@ def _linear_step(voxels: DataFrame, axis: str, n: int, t: int) -> DataFrame:
     return kept.withColumns({axis: F.col("_j").cast("int"), "value": F.col("value") * F.col("_w")}).drop("_j", "_w")
 
 
-def _add_up(parts: DataFrame, scale: int) -> DataFrame:
-    """Sum the shares of each target voxel and divide, truncating."""
-    total = F.call_function("div", F.sum("value"), F.lit(scale).cast("bigint"))
-    return parts.groupBy(*AXES).agg(total.alias("value")).filter("value <> 0")
-
-
 def _linear_pass(voxels: DataFrame, steps: list[tuple[str, int, int]]) -> DataFrame:
-    """One truncating pass over some axes."""
+    """One truncating pass over some axes.
+
+    Axes that shrink are summed up together, with partial sums before the shuffle.
+    Along an axis that grows, the voxels of each line are brought together before
+    they spread, so that what is shuffled is never larger than what goes in.
+    """
     steps = [s for s in steps if s[1] != s[2]]
-    out, scale = voxels, 1
-    for axis, n, t in steps:
+    if not steps:
+        return voxels
+    total, out, scale = F.sum("value").alias("value"), voxels, 1
+    shrinking = [s for s in steps if s[1] > s[2]]
+    for axis, n, t in shrinking:
         out, scale = _linear_step(out, axis, n, t), scale * 2 * t
-    return _add_up(out, scale) if steps else voxels
+    if shrinking:
+        out = out.groupBy(*AXES).agg(total)
+    for axis, n, t in steps:
+        if n < t:
+            lines = out.repartition(*[a for a in AXES if a != axis])
+            out, scale = _linear_step(lines, axis, n, t).groupBy(*AXES).agg(total), scale * 2 * t
+    shares = F.call_function("div", F.col("value"), F.lit(scale).cast("bigint"))
+    return out.select(*AXES, shares.alias("value")).filter("value <> 0")
 
 
 def resample_linear(voxels: DataFrame, source: Shape, target: Shape) -> DataFrame:
     """Order-1 resize of integer intensities in two passes, XY and then Z.
 
-    Each pass truncates to an integer. Partial sums run before the shuffle.
+    Each pass truncates to an integer.
     """
     z, y, x = [(a, s, t) for a, s, t in zip(AXES, source, target)]
-    return _linear_pass(_linear_pass(voxels, [y, x]), [z])
+    return _linear_pass(_linear_pass(voxels, [x, y]), [z])
 
 
 def resample(voxels: DataFrame, source: Shape, target: Shape, order: int = 0) -> DataFrame:
