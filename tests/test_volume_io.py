@@ -228,3 +228,24 @@ def test_tiff_headers_of_any_size(shape, dtype):
     assert [p[tiff.OFFSETS][0] for p in pages[:3]] == [offset + k * page for k in range(3)]
     assert pages[-1][tiff.OFFSETS][0] == offset + (shape[0] - 1) * page
     assert all(p[tiff.COUNTS] == (page,) and p[tiff.HEIGHT] == (shape[1],) for p in pages)
+
+
+def test_a_task_of_blocks_is_small_and_its_boxes_are_taken_one_by_one():
+    """Whatever the volume's size, a worker holds few boxes at once."""
+    import pyarrow as pa
+
+    from voxtally.functions.boxes import block_rows
+    from voxtally.sources.layout import BLOCK_TASK_BYTES
+    from voxtally.sources.reader import Stack, VolumeReader
+
+    big = Stack((layout.FileLayout("a", "tiff", (4096, 512, 512), "|u1", (4, 512, 512)),))
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr("voxtally.sources.reader.describe_stack", lambda path: big)
+        tasks = VolumeReader({"path": "a", "layout": "blocks", "parallel": "4"}).partitions()
+    assert max(sum(r.last - r.first for r in t.ranges) for t in tasks) << 20 <= BLOCK_TASK_BYTES
+    assert sum(r.last - r.first for t in tasks for r in t.ranges) == 1024
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([b"abc", None])], names=["z0", "data"])
+    rows = block_rows(batch)
+    assert next(rows)["z0"] == 1
+    rows = list(block_rows(batch))
+    assert [r["z0"] for r in rows] == [1, 2] and bytes(rows[0]["data"]) == b"abc" and rows[1]["data"] is None

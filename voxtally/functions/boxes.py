@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 
 
 def forward_offsets(connectivity: int) -> list[tuple[int, int, int]]:
@@ -15,6 +17,12 @@ def forward_offsets(connectivity: int) -> list[tuple[int, int, int]]:
     return [o for o in product((-1, 0, 1), repeat=3) if o > (0, 0, 0) and sum(map(abs, o)) <= reach]
 
 
+def block_rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch of boxes; the ``data`` of one is taken out when its turn comes, not all at once."""
+    for i in range(batch.num_rows):
+        yield {name: column[i].as_buffer() if name == "data" else column[i].as_py() for name, column in zip(batch.schema.names, batch.columns)}
+
+
 def smallest_linked(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """For each of n nodes, the smallest node reachable over the undirected links a-b."""
     parent = np.arange(n, dtype=np.int64)

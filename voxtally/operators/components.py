@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxtally.functions.boxes import label_box
+from voxtally.functions.boxes import block_rows, label_box
 from voxtally.operators.graph import connected_components
 from voxtally.schema import CELL_SCHEMA, HEMISPHERE_NA, Shape, VolumeMeta
 from voxtally.session import cut_lineage
@@ -100,7 +100,7 @@ def label_blocks(blocks: DataFrame, meta: VolumeMeta, connectivity: int, z_chunk
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
+            for r in block_rows(batch):
                 start, size = (r["z0"], r["y0"], r["x0"]), (r["dz"], r["dy"], r["dx"])
                 box = np.frombuffer(r["data"], dtype=dtype).reshape(size) > 0
                 spans = [cuts(s, n, c) for s, n, c in zip(start, size, (z_chunk, None, None))]

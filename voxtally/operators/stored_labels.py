@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voxtally.functions.boxes import block_rows
 from voxtally.functions.coords import clamp, native_to_atlas
 from voxtally.schema import HEMISPHERE_LEFT, HEMISPHERE_NA, HEMISPHERE_RIGHT, Shape
 from voxtally.sources.reader import Volume
@@ -52,7 +53,7 @@ def count_region_voxels(labels: StoredLabels, midline: int | None = None) -> Dat
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in block_rows(batch):
                 start, size = [row[f"{a}0"] for a in "zyx"], [row[f"d{a}"] for a in "zyx"]
                 ids, place = np.unique(np.frombuffer(row["data"], dtype), return_inverse=True)
                 place = place.reshape(size)

@@ -13,9 +13,10 @@ TIFF_SUFFIXES = (".tif", ".tiff")
 NIFTI_SUFFIXES = (".nii", ".nii.gz", ".gz")
 IMAGE_SUFFIXES = (".png", ".jpg", ".jpeg", ".bmp")
 
-# Raw bytes of one block and of one read task.
+# Raw bytes of one block and of one read task; a task of blocks may reach the next operator as one Arrow batch.
 BLOCK_BYTES = 4 * 1024**2
 TASK_BYTES = 128 * 1024**2
+BLOCK_TASK_BYTES = 16 * 1024**2
 
 
 @dataclass(frozen=True)

@@ -29,6 +29,7 @@ from voxtally.functions.coords import AXES, check_order, permute_shape
 from voxtally.schema import BLOCK_SCHEMA, VOXEL_SCHEMA, Shape, VolumeMeta, voxel_schema
 from voxtally.sources import nifti, png, tiff, zarr2
 from voxtally.sources.layout import (
+    BLOCK_TASK_BYTES,
     TASK_BYTES,
     Box,
     FileLayout,
@@ -111,7 +112,7 @@ def _narrowed(layout: FileLayout, wanted: Box, first: int, last: int) -> FileLay
     return tiff.with_pages(layout, ends[0][0], ends[1][1])
 
 
-def plan_tasks(stack: Stack, wanted: Box, parallel: int = 1) -> list[ReadTask]:
+def plan_tasks(stack: Stack, wanted: Box, parallel: int = 1, most: int = TASK_BYTES) -> list[ReadTask]:
     """Only files and boxes that overlap the wanted part, in evenly sized tasks.
 
     Large files are split between tasks and small ones share a task.
@@ -123,7 +124,7 @@ def plan_tasks(stack: Stack, wanted: Box, parallel: int = 1) -> list[ReadTask]:
             cells = prod(b - a for a, b in grid_span(layout.shape, layout.grid, local))
             spans.append((layout, start, local, cells))
     total = sum(layout.box_bytes() * cells for layout, _, _, cells in spans)
-    room = max(1, min(TASK_BYTES, total // max(1, parallel)))
+    room = max(1, min(most, total // max(1, parallel)))
     tasks, filled = [], room
     for layout, start, local, cells in spans:
         step = cells if layout.sequential else max(1, room // layout.box_bytes())
@@ -193,7 +194,7 @@ class VolumeReader(DataSourceReader):
         for logical, axis in enumerate(self.order):
             lo, hi = self.bounds[AXES[logical]]
             raw[axis] = (max(0, lo), min(hi, stack.shape[axis]))
-        return plan_tasks(stack, tuple(raw), self.parallel)
+        return plan_tasks(stack, tuple(raw), self.parallel, BLOCK_TASK_BYTES if self.blocks else TASK_BYTES)
 
     def read(self, partition: ReadTask | None) -> Iterator[pa.RecordBatch]:
         pack = block_batch if self.blocks else voxel_batch

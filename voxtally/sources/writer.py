@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from voxtally.functions.boxes import block_rows
 from voxtally.functions.coords import permute, permute_shape
 from voxtally.operators.volume import crop, pyramid_shapes, resample, resized_box
 from voxtally.schema import Shape, VolumeMeta
@@ -189,7 +190,7 @@ def _fragments(blocks: DataFrame, grid: Shape, dtype: np.dtype) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
+            for r in block_rows(batch):
                 start, size = (r["z0"], r["y0"], r["x0"]), (r["dz"], r["dy"], r["dx"])
                 data = np.frombuffer(r["data"], dtype).reshape(size)
                 spans = [range(s // g, -(-(s + n) // g)) for s, n, g in zip(start, size, grid)]
@@ -265,7 +266,7 @@ def _store(volume: DataFrame | Made, meta: VolumeMeta, grid: Shape, sink: Sink,
         out = np.zeros([b - a for a, b in box], dtype)
         for batch in batches:
             if dense:
-                for r in batch.to_pylist():
+                for r in block_rows(batch):
                     if r["data"] is not None:
                         size = (r["dz"], r["dy"], r["dx"])
                         at = tuple(slice(r[c] - s, r[c] - s + n) for c, s, n in zip(("z0", "y0", "x0"), start, size))
