@@ -142,14 +142,16 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
 
     Each task gives a spanning forest of what it compares, so a crowd of copies
     yields as many links as it has members. A cell with more than ``CELL_ROWS``
-    postings is dealt out as pairs of blocks; no posting is left out.
+    postings is dealt out as pairs of blocks; no posting is left out. Spark does not
+    count the rows that an explode adds and would broadcast the postings, so the join
+    asks for a merge.
     """
     if radius > RADIUS:
         raise ValueError("the two-half grid covers a radius of at most 3")
     posted = grid_rows(nodes)
     crowd = posted.groupBy("half", "cell").agg(F.count("*").alias("n")).filter("n > 1")
     blocks = F.ceil(F.col("n") / CELL_ROWS).cast("int")
-    met = posted.join(crowd, ["half", "cell"]).select(
+    met = posted.join(crowd.hint("merge"), ["half", "cell"]).select(
         "half", "cell", "fp", "own", F.pmod(F.xxhash64("fp"), blocks).cast("int").alias("block"),
         F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"),
     )
