@@ -11,16 +11,17 @@ from __future__ import annotations
 import logging
 import os
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from voxtally.config import Settings
+from voxtally.functions.boxes import block_rows
 from voxtally.operators import atlas, coloc, filtering, report, volume
 from voxtally.operators.components import detect_cells
 from voxtally.operators.stored_labels import StoredLabels, stored_labels
@@ -29,6 +30,7 @@ from voxtally.plans import journal
 from voxtally.schema import Shape, VolumeMeta
 from voxtally.session import cut_lineage, scratch
 from voxtally.sources import tables
+from voxtally.sources.ids import stored_ids
 from voxtally.sources.reader import Volume, open_volume
 from voxtally.sources.writer import expected_output_path, write_resized, write_volume
 
@@ -48,21 +50,30 @@ def extract_region(
 ) -> str | None:
     """One region with its descendants at native resolution; None when it has no voxels.
 
-    Every native box reads its atlas box, keeps the ids of the region (a part of
-    the ontology, so a bounded list) and grows; no voxel becomes a row.
+    Every native box reads its atlas box, keeps the ids of the region and grows; no
+    voxel becomes a row. The ids, which may be most of a large ontology, stay in
+    files that tasks look them up in.
     """
     path = expected_output_path(str(folder), name, output_type)
     if skip_existing and os.path.exists(path):
         return path
-    ids = np.array(sorted(r.id for r in subtree_ids(structures, region).collect()), dtype=np.int64)
-    if annotation.voxels().filter(F.col("value").isin(ids.tolist())).isEmpty():
-        log.warning("region %s (%d) has no voxels", region.name, region.id)
-        return None
-
-    def chosen(data: np.ndarray) -> np.ndarray:
-        return np.where(np.isin(data, ids), region.id, 0).astype(np.uint32)
-
-    return write_resized(annotation, native, str(folder), name, output_type, resize_order, None, chosen, "uint32")
+    dtype = np.dtype(annotation.meta.dtype).newbyteorder("<")
+    with stored_ids(subtree_ids(structures, region)) as ids:
+
+        def meets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in block_rows(batch):
+                    data = np.frombuffer(row["data"], dtype)
+                    if ids.holds(data[data != 0]).any():
+                        yield pa.RecordBatch.from_arrays([pa.array([row["z0"]], pa.int32())], names=["z0"])
+
+        def chosen(data: np.ndarray) -> np.ndarray:
+            return np.where(ids.holds(data), region.id, 0).astype(np.uint32)
+
+        if annotation.blocks().mapInArrow(meets, "z0 int").isEmpty():
+            log.warning("region %s (%d) has no voxels", region.name, region.id)
+            return None
+        return write_resized(annotation, native, str(folder), name, output_type, resize_order, None, chosen, "uint32")
 
 
 def extract_regions(annotation: Volume, structures: DataFrame, acronyms: list[str], native: Shape, folder: str, **options) -> dict[str, dict]:
