@@ -29,6 +29,8 @@ UNKNOWN = "und"
 STRANGE = 2  # windows in no language for each one of an average language
 CALIBRATED, CLEAN = 2000, 0.998  # held-out texts that set the limit of the stage, and the share of them that has to stay
 LEAST_LIMIT = 60.0  # evidence against all languages, as a logarithm, without which no text goes
+SHORT = (8, 16, 32, 64, 128, 256)  # a text of fewer bytes has a limit of its own
+SHORT_SEEN, SHORT_LIMIT = 500, 20.0  # starts of texts that such a limit takes at least, and the least evidence
 SCRIPTS = ((0x61, 26), (0x3B1, 25), (0x430, 32), (0x561, 38), (0x5D0, 27), (0x627, 36), (0x905, 53), (0xE01, 46), (0x10D0, 33), (0x3041, 86), (0x4E00, 8000), (0xAC00, 11172))
 
 
@@ -250,14 +252,15 @@ def held_out(key: str = "doc_id") -> F.Column:
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE, strange: bool = False) -> Network:
+def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE, strange: bool = False, spare: bool = True) -> Network:
     """Fit on at most ``sample`` texts of each language that are not held out, ``PIECES`` windows of each.
 
     The texts are chosen by a hash of their key, the windows by a hash over the
     whole text. Rows without text or language are not used. With ``strange`` the
-    network also learns ``und`` from made-up windows in no language.
+    network also learns ``und`` from made-up windows in no language; without
+    ``spare`` it learns from held-out texts too.
     """
-    usable = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.length(text) > 0) & ~held_out(key))
+    usable = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.length(text) > 0) & ~(held_out(key) & spare))
     counts = {r[0]: r[1] for r in usable.groupBy(lang).count().collect()}
     chance = F.pmod(F.xxhash64(F.col(key), F.lit(3)), F.lit(1 << 20)) / float(1 << 20)
     found: list[tuple[str, str]] = []
@@ -265,10 +268,24 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
         some = usable.filter((F.col(lang) == name) & (chance < 1.1 * sample / n)).select(key, text).limit(sample)
         starts = F.transform(F.sequence(F.lit(1), F.lit(PIECES)), lambda i: 1 + F.pmod(F.xxhash64(F.col(key), i), F.greatest(F.lit(1), F.length(text) - WINDOW + 1)).cast("int"))
         pieces = some.select(key, F.explode(F.array_distinct(starts)).alias("start"), text).select(key, "start", F.substring(F.col(text), F.col("start"), F.lit(WINDOW)).alias("piece"))
-        found += [(name, r["piece"]) for r in sorted(pieces.collect())]
+        found += [(name, r["piece"]) for r in sorted(pieces.collect(), key=lambda r: (r[0] is None, r))]
     return fit(found + strangers(found) if strange else found)
 
 
+def train_anyhow(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Network:
+    """A network that knows strangers, from what there is: labelled texts outside the held-out fifth, else all labelled ones, else all with letters as one language.
+
+    It has no language but ``und`` only where no text has a letter.
+    """
+    lettered = docs.filter(F.col(text).rlike(r"\p{L}")).select(key, text, F.col(lang).cast("string").alias(lang))
+    same = lettered.withColumn(lang, F.lit("any"))
+    for rows, spare in ((docs, True), (lettered, False), (same, False)):
+        network = train(rows, key, text, lang, strange=True, spare=spare)
+        if set(network.languages) - {UNKNOWN}:
+            break
+    return network
+
+
 def label(docs: DataFrame, network: Network, text: str = "text", lang: str = "lang_pred", score: str = "score") -> DataFrame:
     """All rows and columns with the predicted language and its score (0 to 1) added. Narrow: no shuffle.
 
@@ -310,21 +327,44 @@ def _judged(docs: DataFrame, network: Network, text: str, name: str) -> DataFram
     return docs.mapInArrow(run, f"{schema}, `{name}` double")
 
 
-def calibrate(docs: DataFrame, network: Network, key: str = "doc_id", text: str = "text", lang: str = "lang") -> float:
-    """The strangeness that ``CLEAN`` of about ``CALIBRATED`` held-out lettered texts with a language stay below, at least ``LEAST_LIMIT``."""
+def _some_held_out(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
+    """``key`` and ``text`` of about ``CALIBRATED`` held-out lettered texts with a language."""
     usable = docs.filter(held_out(key) & F.col(key).isNotNull() & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(key, text)
     chance = F.pmod(F.xxhash64(F.col(key), F.lit(5)), F.lit(1 << 20)) / float(1 << 20)
-    some = usable.filter(chance < CALIBRATED / max(1, usable.count()))
+    return usable.filter(chance < CALIBRATED / max(1, usable.count()))
+
+
+def calibrate(docs: DataFrame, network: Network, key: str = "doc_id", text: str = "text", lang: str = "lang") -> float:
+    """The strangeness that ``CLEAN`` of about ``CALIBRATED`` held-out lettered texts with a language stay below, at least ``LEAST_LIMIT``."""
+    some = _some_held_out(docs, key, text, lang)
     found = sorted(r[0] for r in _judged(some, network, text, "__odds").select("__odds").collect())
     return max(LEAST_LIMIT, 1.0 + found[math.ceil(CLEAN * len(found)) - 1]) if found else LEAST_LIMIT
 
 
-def drop_strange(docs: DataFrame, network: Network, limit: float, text: str = "text") -> DataFrame:
-    """The documents with letters whose strangeness is at most ``limit``, with their columns."""
+def calibrate_short(docs: DataFrame, network: Network, limit: float, key: str = "doc_id", text: str = "text", lang: str = "lang") -> list[tuple[int, float]]:
+    """By size below which it holds, the strangeness that the starts of the held-out texts stay below, at least ``SHORT_LIMIT``; ``limit`` at most, and where few have the size."""
+    starts = F.array_distinct(F.transform(F.array(*map(F.lit, SHORT)), lambda n: F.substring(F.col(text), F.lit(1), n - 1)))
+    pieces = _some_held_out(docs, key, text, lang).select(F.explode(starts).alias(text)).filter(F.col(text).rlike(r"\p{L}"))
+    size = F.octet_length(text)
+    found = _judged(pieces, network, text, "__odds").groupBy(_by_size(size, [(n, n) for n in SHORT], None).alias("below")).agg(F.count("*"), F.max("__odds")).collect()
+    seen = {r[0]: max(SHORT_LIMIT, 1.0 + r[2]) for r in found if r[1] >= SHORT_SEEN}
+    return [(n, min(limit, seen.get(n, limit))) for n in SHORT]
+
+
+def _by_size(size: F.Column, values: list[tuple[int, float]], rest: float | None) -> F.Column:
+    found = F.lit(rest)
+    for below, value in reversed(values):
+        found = F.when(size < below, value).otherwise(found)
+    return found
+
+
+def drop_strange(docs: DataFrame, network: Network, limit: float, text: str = "text", short: list[tuple[int, float]] | None = None) -> DataFrame:
+    """The documents with letters whose strangeness is at most ``limit``, or that of their size in ``short``, with their columns."""
     name = fresh_name(docs, "odds")
-    return _judged(docs, network, text, name).filter(F.col(name) <= limit).select(*docs.columns)
+    most = _by_size(F.octet_length(text), short or [], limit)
+    return _judged(docs, network, text, name).filter(F.col(name) <= most).select(*docs.columns)
 
 
 def drop_letterless(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The documents with a letter, with their columns: all that can be told where no language was trained."""
+    """The documents with a letter, with their columns."""
     return docs.filter(F.coalesce(F.col(text), F.lit("")).rlike(r"\p{L}"))
